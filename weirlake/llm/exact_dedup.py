@@ -18,6 +18,8 @@ STATE_CONF = {
     STATE + "rocksdb.boundedMemoryUsage": "true",
     STATE + "rocksdb.maxMemoryUsageMB": "256",
     STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+    # Else each state partition holds megabytes of preallocated, empty files.
+    STATE + "rocksdb.allowFAllocate": "false",
 }
 
 
