@@ -3,14 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weirlake.llm.exact_dedup import exact_dedup
+from weirlake.llm.secrets import BASE, MORE, find_secrets, written
+from weirlake.llm.url_filter import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"),
+    )
+
+
+def _op2_sql() -> str:
+    """Spans from the lengths of matches and of the texts between them, for each rule by itself."""
+
+    def spans(n: int, rule) -> str:
+        p = rule.regex.replace("'", "''")
+        kept = f"WHERE length(v) >= {rule.least}" if rule.least else ""
+        return f"""
+        SELECT doc_id, {n} AS o, '{rule.kind}' AS kind, s, e FROM (
+            SELECT doc_id, vs[i] AS v,
+                   coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s,
+                   s + length(ms[i]) AS e
+            FROM (SELECT doc_id, gaps, ms, vs, unnest(range(1, len(ms) + 1)) AS i FROM (
+                SELECT doc_id, string_split_regex(text, '{p}') AS gaps, regexp_extract_all(text, '{p}', 0) AS ms, regexp_extract_all(text, '{p}', {rule.group}) AS vs
+                FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) WHERE regexp_matches(text, '{p}')))
+        ) {kept}"""
+
+    every = " UNION ALL ".join(spans(n, r) for n, r in enumerate([*BASE, *MORE]))
+    name = "kind || ':' || s::BIGINT || ':' || e::BIGINT"
+    return f"""
+WITH found AS ({every}),
+by_doc AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg({name}, ',' ORDER BY s, o) FILTER (o < {len(BASE)}) AS base, string_agg({name}, ',' ORDER BY s, o) AS spans
+    FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN by_doc b ON d.doc_id = b.doc_id
+"""
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _table(spark, sf_dir, "documents"))
 
@@ -25,9 +71,12 @@ FROM documents
 """
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
+    "op2_secret_scans": op2_secret_scans,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
+    "op2_secret_scans": _op2_sql(),
     "op10_exact_dedup": OP10_SQL,
 }
