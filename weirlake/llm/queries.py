@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirlake.llm.decontaminate import contaminated
 from weirlake.llm.exact_dedup import exact_dedup
 from weirlake.llm.secrets import BASE, MORE, find_secrets, written
 from weirlake.llm.url_filter import filter_urls
@@ -57,6 +58,31 @@ FROM documents d LEFT JOIN by_doc b ON d.doc_id = b.doc_id
 """
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP6_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+    SELECT DISTINCT item_id, list_aggregate(w[i:i + 9], 'string_agg', ' ') AS win, least(10, len(w)) AS n
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+grams AS (
+    SELECT doc_id, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS win
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, g.n, item_id FROM grams g JOIN wins v ON g.win = v.win AND g.n = v.n),
+counted AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _table(spark, sf_dir, "documents"))
 
@@ -73,10 +99,12 @@ FROM documents
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_secret_scans": op2_secret_scans,
+    "op6_decontamination": op6_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
     "op2_secret_scans": _op2_sql(),
+    "op6_decontamination": OP6_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
