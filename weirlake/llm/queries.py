@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from weirlake.llm.decontaminate import contaminated
 from weirlake.llm.exact_dedup import exact_dedup
+from weirlake.llm.packing import pack
 from weirlake.llm.secrets import BASE, MORE, find_secrets, written
+from weirlake.llm.tokens import count_tokens
 from weirlake.llm.url_filter import filter_urls
 
 
+def _vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -83,6 +91,14 @@ FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _table(spark, sf_dir, "documents"))
 
@@ -100,6 +116,8 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_secret_scans": op2_secret_scans,
     "op6_decontamination": op6_decontamination,
+    "op7_token_counts": op7_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
