@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from weirlake.llm.decontaminate import contaminated
 from weirlake.llm.exact_dedup import exact_dedup
+from weirlake.llm.langid import identify_languages
 from weirlake.llm.packing import pack
+from weirlake.llm.quality import score_quality
 from weirlake.llm.secrets import BASE, MORE, find_secrets, written
 from weirlake.llm.tokens import count_tokens
 from weirlake.llm.url_filter import filter_urls
@@ -66,6 +68,14 @@ FROM documents d LEFT JOIN by_doc b ON d.doc_id = b.doc_id
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -115,6 +125,8 @@ FROM documents
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_secret_scans": op2_secret_scans,
+    "op4_language_id": op4_language_id,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
