@@ -9,6 +9,7 @@ from weirlake.llm.decontaminate import contaminated
 from weirlake.llm.exact_dedup import exact_dedup
 from weirlake.llm.langid import identify_languages
 from weirlake.llm.packing import pack
+from weirlake.llm.pii import find_pii
 from weirlake.llm.quality import score_quality
 from weirlake.llm.secrets import BASE, MORE, find_secrets, written
 from weirlake.llm.tokens import count_tokens
@@ -68,6 +69,15 @@ FROM documents d LEFT JOIN by_doc b ON d.doc_id = b.doc_id
 """
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")),
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"),
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -125,6 +135,7 @@ FROM documents
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_secret_scans": op2_secret_scans,
+    "op3_pii": op3_pii,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
