@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weirlake.llm.decontaminate import contaminated
 from weirlake.llm.exact_dedup import exact_dedup
 from weirlake.llm.langid import identify_languages
+from weirlake.llm.near_dedup import near_duplicates
 from weirlake.llm.packing import pack
 from weirlake.llm.pii import find_pii
 from weirlake.llm.quality import score_quality
@@ -115,6 +116,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, _table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -140,6 +145,7 @@ QUERIES = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
