@@ -9,24 +9,31 @@ every word in place, proximity matches have them all within reach in any order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.llm.common import ascii_lower, saved
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words: any ASCII character but digits and letters.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Anchor words that one pass over the texts looks for; more take more passes.
 BLOCK = 20_000
 
 
-def words_of(text: Column) -> Column:
-    """Words of a text with A-Z lowered; null has none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
+    """``rows`` with ``words`` for ``text``: A-Z lowered, null has none.
+
+    Splitting at the gaps costs a fifth of extracting the words; a gap at either end leaves an empty string there.
+    """
+    split = rows.withColumn("words", F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP)).drop(text)
+    first = F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0)
+    last = F.when(F.element_at("words", -1) == "", 1).otherwise(0)
+    return split.withColumn("words", F.slice("words", first + 1, F.greatest(F.size("words") - first - last, F.lit(0))))
 
 
 def windows_of(items: DataFrame, size: int) -> DataFrame:
     """(item_id, win, n): each run of ``size`` consecutive item words, or the whole of a shorter item."""
-    words = items.select("item_id", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    words = with_words(items.select("item_id", "text")).filter(F.size("words") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))
     return (
         words.select("item_id", "words", F.explode(starts).alias("at"))
@@ -39,9 +46,10 @@ def anchored(windows: DataFrame, docs: DataFrame) -> DataFrame:
     """The windows whose words all occur in the texts, with their rarest word and its offset."""
     spoken = windows.select("item_id", "win", "n", F.posexplode("win").alias("offset", "term"))
     asked = spoken.select("term").distinct()
-    # Counted before the join: each task sends a word once, however often the text has it.
-    count = docs.select(F.explode(words_of(F.col("text"))).alias("term")).groupBy("term").count()
-    known = saved(count.join(asked, "term", "left_semi"), "terms")
+    # Counted before the join, so each task sends a word once, however often its texts have it. A
+    # semi-join here would be pushed below the count and send every word.
+    count = with_words(docs.select("text")).select(F.explode("words").alias("term")).groupBy("term").count()
+    known = saved(count.join(asked, "term"), "terms")
     rarest = F.min_by(F.struct("term", "offset"), F.struct("count", "offset")).alias("a")
     return (
         spoken.join(known, "term").groupBy("item_id", "win", "n").agg(rarest, F.count(F.lit(1)).alias("known"))
@@ -60,7 +68,7 @@ def store_postings(rows: DataFrame, anchors: DataFrame, reach: int, block: int =
     out = []
     for b in range(blocks):
         asked = [r.term for r in terms.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b).toLocalIterator()]
-        found = rows.select("doc_id", "key", words_of(F.col("text")).alias("words"))
+        found = with_words(rows.select("doc_id", "key", "text"))
         at = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(asked), i))) if asked else F.array().cast("array<int>")
         found = found.select("doc_id", "key", "words", at.alias("at"))
         before = lambda i: F.least(i, F.lit(reach))
