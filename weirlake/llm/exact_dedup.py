@@ -92,3 +92,16 @@ def exact_dedup(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
         (F.col("row_no") == F.col("best.row_no")).alias("kept"), F.col("digest").alias("text_sha256"),
     )
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns; rows alike in id and text keep one."""
+    digest = F.sha2(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), 256)
+    found = saved(exact_dedup(spark, docs, id_col, text_col), "dedup-rows")
+    judged = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    gone = judged.filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
+    keyed = docs.withColumn("_sha", digest)
+    left = keyed.join(gone, keyed[id_col].eqNullSafe(F.col("_gone_id")) & (F.col("_sha") == F.col("_gone_sha")), "left_anti")
+    if not judged.filter("kept and rows > 1").isEmpty():
+        left = left.dropDuplicates([id_col, "_sha"])
+    return left.drop("_sha")

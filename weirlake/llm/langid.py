@@ -231,14 +231,18 @@ def fit_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     return fit_crf(texts)
 
 
-def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model=None) -> DataFrame:
+def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model=None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, shares (one per language, in order of name).
 
     Texts that are null or have no letter are ``und`` with score 0, as are all where nothing could be
     learned. Only ``text`` is used to predict; ``lang`` only to learn. Null ids and null languages are not learned
-    from; repeated rows keep a row each; ties go to the first name; other columns are not read.
+    from; repeated rows keep a row each; ties go to the first name; other columns are not read, but for
+    those of ``carry``, which come out unchanged as a struct ``carried``.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+        F.struct(F.lit(True).alias("_"), *(F.col(c) for c in carry)).alias("carried"),
+    )
     model = model or fit_languages(rows)
     model = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -255,10 +259,11 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     score.append(float(min(1.0, s[k])) if t else 0.0)
                     shares.append([float(x) for x in s] if t else [])
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["held_out"], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.list_(pa.float64()))],
-                ["doc_id", "held_out", "lang_pred", "score", "shares"],
+                [b["doc_id"], b["held_out"], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(shares, pa.list_(pa.float64())), *kept(b)],
+                ["doc_id", "held_out", "lang_pred", "score", "shares", *(["carried"] if carry else [])],
             )
 
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double, shares array<double>"
-    )
+    kept = lambda b: [b["carried"]] if carry else []
+    asked = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text", *(["carried"] if carry else []))
+    more = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
+    return asked.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, shares array<double>" + more)
