@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,3 +65,11 @@ def spans_of(text: Column, pattern: str, kind: str, keep=None, group: int = 0) -
 def bernoulli(row_id: Column, fraction: float) -> Column:
     """A repeatable coin for a row id, used only to draw bounded fitting samples."""
     return F.pmod(F.xxhash64(row_id.cast("string"), F.lit("sample")), F.lit(1_000_000)) < int(fraction * 1_000_000)
+
+
+def once_a_worker(key: str, make):
+    """What ``make`` returned the first time in this Python process; workers serve many tasks."""
+    held = sys.modules.setdefault("_weirlake_worker", types.ModuleType("_weirlake_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]

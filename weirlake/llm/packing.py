@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import saved
+from weirlake.llm.common import once_a_worker, saved
 from weirlake.llm.tokens import LONG_WORD, MOST_WORDS, Words, load_spec
 
 
@@ -45,7 +45,7 @@ class Ids(dict):
         return ids
 
     def trim(self) -> None:
-        if len(self) > MOST_WORDS // 2:
+        if len(self) > MOST_WORDS:
             self.clear()
             self.update(self.fixed)
 
@@ -55,8 +55,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int, end_id: int, id_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spec = load_spec(vocabulary)
-        words, ids = Words(spec), Ids(spec)
+        words, ids = once_a_worker(f"ids {vocabulary}", lambda: (lambda spec: (Words(spec), Ids(spec)))(load_spec(vocabulary)))
         get, end, step = ids.__getitem__, np.array([end_id], "<u4").tobytes(), 4 * size
         part, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for b in batches:
