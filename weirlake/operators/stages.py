@@ -38,7 +38,7 @@ def to_target(authority: DataFrame, qualification: DataFrame, targets: DataFrame
     t = targets.select(*KEY, F.col("authority_checked_at").alias("t_seen"))
     a = authority.filter("authority_status = 'AUTHORITY_VERIFIED'").select(*KEY, "checked_at")
     both = a.join(qualification.select(*KEY, "score"), KEY).join(t, KEY, "left")
-    return both.filter(F.col("t_seen").isNull() | (F.col("t_seen") <> F.col("checked_at"))).select(*KEY, "score").orderBy(F.desc("score"), *KEY)
+    return both.filter(F.col("t_seen").isNull() | (F.col("t_seen") != F.col("checked_at"))).select(*KEY, "score").orderBy(F.desc("score"), *KEY)
 
 
 def to_fetch(targets: DataFrame, state: DataFrame) -> DataFrame:
