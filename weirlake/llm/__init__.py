@@ -1,8 +1 @@
 """Training-data operators. Nothing outside this subpackage (and corpus_pipeline.py) imports it."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions go to the executors whole, so workers need no copy of this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
