@@ -27,16 +27,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def inline(name: str, columns: str, rows: list[tuple], outputs: dict, sql: dict[str, str] | None = None, keep: tuple[str, ...] = ()):
-    """A query of column expressions over fixed rows; ``sql`` gives the expressions of the oracle."""
+def inline(name: str, columns: str, rows: list[tuple], outputs: Callable[[], dict], sql: dict[str, str]):
+    """A query of column expressions over fixed rows; ``sql`` gives the expressions of the oracle.
+
+    Columns need a running session, so ``outputs`` makes them when the query is asked for.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.createDataFrame(rows, columns).select(*keep, *(c.alias(n) for n, c in outputs.items()))
+        return spark.createDataFrame(rows, columns).select(*(c.alias(n) for n, c in outputs().items()))
 
     QUERIES[name] = run
-    if sql is not None:
-        cols = ", ".join([*keep, *(f"{e} AS {n}" for n, e in sql.items())])
-        ORACLES[name] = f"SELECT {cols} FROM {t.values_sql(columns, rows)}"
+    ORACLES[name] = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in sql.items()) + f" FROM {t.values_sql(columns, rows)}"
 
 
 # --- text -----------------------------------------------------------------------------------------
@@ -245,31 +246,31 @@ _ADDRESSES = [
     (1, "git+https://www.github.com/Own/Repo.git"), (2, "git@github.com:own/repo.git"), (3, "git@gitlab.com:own/repo"), (4, "http://Example.org//a//b/"),
     (5, "https://github.com/own/repo/"), (6, "not a url"), (7, ""), (8, None), (9, "https://gitlab.com/x/y.git"),
 ]
-inline("repository_urls", "id int, url string", _ADDRESSES, {"id": F.col("id"), "repository": urls.normalize_repository_url(F.col("url"))}, {
+inline("repository_urls", "id int, url string", _ADDRESSES, lambda: {"id": F.col("id"), "repository": urls.normalize_repository_url(F.col("url"))}, {
     "id": "id", "repository": "CASE id WHEN 1 THEN 'https://github.com/Own/Repo' WHEN 2 THEN 'https://github.com/own/repo' WHEN 3 THEN 'https://gitlab.com/own/repo' WHEN 4 THEN 'https://example.org/a/b' "
     "WHEN 5 THEN 'https://github.com/own/repo' WHEN 6 THEN 'not a url' WHEN 9 THEN 'https://gitlab.com/x/y' END"})
 
 inline("upload_and_landing", "id int, url string", [
     (1, "https://x.org/uploads/"), (2, "https://x.org/uploads/publications"), (3, "https://x.org/wp-content/uploads/a.pdf"), (4, "https://x.org/up/a"), (5, "https://search.maven.org/artifact/a"), (6, "https://docs.x.org/guide/a.md"),
-], {
+], lambda: {
     "id": F.col("id"), "upload": urls.is_upload_directory(F.col("url")), "landing": urls.is_landing(F.col("url")), "doc_like": urls.doc_like_path(urls.part(F.col("url"), "path")), "doc_signal": urls.doc_signal(F.col("url")),
 }, {"id": "id", "upload": "id IN (1, 2)", "landing": "id = 5", "doc_like": "id = 6", "doc_signal": "id = 6"})
 
 inline("git_link_scores", "id int, url string, label string", [
     (1, "https://github.com/o/r/edit/main/docs/a.md", "Edit this page"), (2, "https://github.com/o/r/blob/main/src/a.py", "source"), (3, "https://github.com/o/r/tree/main/guide", ""), (4, "https://github.com/o/r", "GitHub"),
     (5, "https://github.com/o", "x"), (6, "https://example.org/o/r", "edit page"),
-], {"id": F.col("id"), "score": urls.git_link_score(F.col("url"), F.col("label")).cast("double")}, {"id": "id", "score": "(CASE id WHEN 1 THEN 15 + 85 + 35 + 25 WHEN 2 THEN 15 + 75 + 15 - 45 WHEN 3 THEN 15 + 65 + 25 WHEN 4 THEN 15 + 15 END)::DOUBLE"})
+], lambda: {"id": F.col("id"), "score": urls.git_link_score(F.col("url"), F.col("label")).cast("double")}, {"id": "id", "score": "(CASE id WHEN 1 THEN 15 + 85 + 35 + 25 WHEN 2 THEN 15 + 75 + 15 - 45 WHEN 3 THEN 15 + 65 + 25 WHEN 4 THEN 15 + 15 END)::DOUBLE"})
 
 inline("package_urls", "id int, registry string, name string, version string", [
     (1, "npm", "@scope/pkg", "1.0.0"), (2, "maven", "org.a:b", "2.0+x"), (3, "pypi", "a b", None), (4, "golang", "github.com/a/b", "v1"), (5, "unknown", "a", "1"), (6, "Cargo ", "serde", ""),
-], {"id": F.col("id"), "registry": urls.normalize_registry(F.col("registry")), "purl": urls.build_purl(F.col("registry"), F.col("name"), F.col("version"))}, {
+], lambda: {"id": F.col("id"), "registry": urls.normalize_registry(F.col("registry")), "purl": urls.build_purl(F.col("registry"), F.col("name"), F.col("version"))}, {
     "id": "id", "registry": "CASE id WHEN 1 THEN 'npmjs.org' WHEN 2 THEN 'repo1.maven.org' WHEN 3 THEN 'pypi.org' WHEN 4 THEN 'proxy.golang.org' WHEN 5 THEN 'unknown' ELSE 'crates.io' END",
     "purl": "CASE id WHEN 1 THEN 'pkg:npm/%40scope/pkg@1.0.0' WHEN 2 THEN 'pkg:maven/org.a/b@2.0+x' WHEN 3 THEN 'pkg:pypi/a%20b' WHEN 4 THEN 'pkg:golang/github.com/a/b@v1' WHEN 6 THEN 'pkg:cargo/serde' END"})
 
 _VERSIONS = [
     (1, "1.10.0"), (2, "1.9.9"), (3, "2.0.0-rc.1"), (4, "v3.1.0"), (5, "dev-main"), (6, "1.0.0+build"), (7, "v1.2.3+incompatible"), (8, "1.0alpha1"), (9, "5.0.1.RELEASE"), (10, "2.0b"), (11, "2.0b3"), (12, ""), (13, "1.2.3.4.5"),
 ]
-inline("version_flags", "id int, v string", _VERSIONS, {
+inline("version_flags", "id int, v string", _VERSIONS, lambda: {
     "id": F.col("id"), "prerelease": versions.is_prerelease(F.col("v")), "nuget": F.array_join(versions.nuget_key(F.col("v")).cast("array<string>"), "."), "go": F.array_join(versions.go_key(F.col("v")).cast("array<string>"), "."),
     "maven_stable": versions.is_maven_stable(F.col("v")), "numbers": F.array_join(versions.version_key(F.col("v")).cast("array<string>"), "."), "strategy": versions.ref_strategy(F.col("v")),
 }, {
@@ -288,71 +289,83 @@ def latest_stable(spark, sf_dir):
 
 inline("size_and_time", "id int, size string, ts string", [
     (1, "12.5 MB", "2024-01-02T03:04:05Z"), (2, "1KB", "2024-01-02T03:04:05.123456789Z"), (3, "7", "2024-01-02T03:04:05.5Z"), (4, "x", "yesterday"), (5, None, None), (6, "2 gb", "2024-13-02T03:04:05Z"),
-], {"id": F.col("id"), "bytes": versions.size_bytes(F.col("size")).cast("double"), "nanos": versions.nanosecond_key(F.col("ts"))}, {
+], lambda: {"id": F.col("id"), "bytes": versions.size_bytes(F.col("size")).cast("double"), "nanos": versions.nanosecond_key(F.col("ts"))}, {
     "id": "id", "bytes": "(CASE id WHEN 1 THEN 13107200 WHEN 2 THEN 1024 WHEN 3 THEN 7 WHEN 6 THEN 2147483648 END)::DOUBLE",
     "nanos": "CASE id WHEN 1 THEN '2024-01-02T03:04:05.000000000Z' WHEN 2 THEN '2024-01-02T03:04:05.123456789Z' WHEN 3 THEN '2024-01-02T03:04:05.500000000Z' WHEN 6 THEN '2024-13-02T03:04:05.000000000Z' ELSE '' END"})
 
 inline("index_names", "id int, path string, uinfo string, module string", [
     (1, "se/rd/serde", "g|a|1|NA|jar", "github.com/Azure/go"), (2, "3/a/abc", "g|a||NA|jar", "x"), (3, "config.json", "g|a|1", "A"), (4, "1/a", "g|a|1|c|pom|x", ""), (5, ".github/x", None, None), (6, "se/rd/x/y", "", "b"),
-], {"id": F.col("id"), "crate": versions.crate_name(F.col("path")), "artifact": versions.uinfo(F.col("uinfo"))["artifact_id"], "escaped": versions.go_proxy_escape(F.col("module"))}, {
+], lambda: {"id": F.col("id"), "crate": versions.crate_name(F.col("path")), "artifact": versions.uinfo(F.col("uinfo"))["artifact_id"], "escaped": versions.go_proxy_escape(F.col("module"))}, {
     "id": "id", "crate": "CASE id WHEN 1 THEN 'serde' WHEN 2 THEN 'abc' WHEN 4 THEN 'a' END", "artifact": "CASE WHEN id IN (1, 4) THEN 'a' END", "escaped": "CASE id WHEN 1 THEN 'github.com/!azure/go' WHEN 3 THEN '!a' ELSE module END"})
 
 _EVIDENCE = [(i, "https://github.com/a/b" if i & 1 else None, ("https://github.com/a/b.git" if i & 2 else "https://github.com/c/d") if i & 4 else None, "https://h.org" if i & 8 else None, "https://d.org" if i & 16 else "", "1.0" if i & 32 else None) for i in range(64)]
 _OFFICIAL = "(CASE WHEN rr IS NOT NULL THEN 40 ELSE 0 END + CASE WHEN dr IS NULL THEN 0 WHEN rr IS NOT NULL AND (id & 2) > 0 THEN 30 ELSE 10 END + CASE WHEN hp IS NOT NULL THEN 5 ELSE 0 END + CASE WHEN dc <> '' THEN 15 ELSE 0 END + CASE WHEN ver IS NOT NULL THEN 10 ELSE 0 END)"
-_score = scoring.officiality(*(F.col(c) for c in ("rr", "dr", "hp", "dc", "ver")))
-inline("officiality", "id int, rr string, dr string, hp string, dc string, ver string", _EVIDENCE, {
-    "id": F.col("id"), "score": _score["score"], "status": scoring.officiality_status(_score["score"]), "n_evidence": F.size(_score["evidence"]),
+def _score():
+    return scoring.officiality(*(F.col(c) for c in ("rr", "dr", "hp", "dc", "ver")))
+
+
+inline("officiality", "id int, rr string, dr string, hp string, dc string, ver string", _EVIDENCE, lambda: {
+    "id": F.col("id"), "score": _score()["score"], "status": scoring.officiality_status(_score()["score"]), "n_evidence": F.size(_score()["evidence"]),
 }, {
     "id": "id", "score": _OFFICIAL, "status": f"CASE WHEN {_OFFICIAL} >= 80 THEN 'VERIFIED_OFFICIAL' WHEN {_OFFICIAL} >= 55 THEN 'PROBABLE_OFFICIAL' WHEN {_OFFICIAL} >= 30 THEN 'CANDIDATE' ELSE 'UNVERIFIED' END",
     "n_evidence": "(rr IS NOT NULL)::INT + (dr IS NOT NULL)::INT + (hp IS NOT NULL)::INT + (dc <> '')::INT + (ver IS NOT NULL)::INT"})
 
 _REPOS = [None, "https://github.com/a/b", "https://github.com/c/d"]
 _CROSS = [(27 * v + 9 * i + 3 * j + k, _REPOS[i], _REPOS[j], _REPOS[k], "1.0" if v else None, v) for v in (0, 1) for i in range(3) for j in range(3) for k in range(3)]
-_auth = scoring.authority_decision(F.col("n"), F.col("e"), F.col("d"), F.lit("https://h.org"), F.lit("https://d.org"), F.col("ver"), F.lit(True), F.col("errs"))
+
+
+def _auth():
+    return scoring.authority_decision(F.col("n"), F.col("e"), F.col("d"), F.lit("https://h.org"), F.lit("https://d.org"), F.col("ver"), F.lit(True), F.col("errs"))
+
+
 _MATCH, _CONFLICT = "coalesce(n = e, FALSE) OR coalesce(n = d, FALSE)", "coalesce(n <> e, FALSE) OR coalesce(n <> d, FALSE) OR coalesce(e <> d, FALSE)"
 _RAW = f"least(100, (CASE WHEN coalesce(n, e, d) IS NOT NULL THEN 40 ELSE 0 END) + (CASE WHEN ({_MATCH}) OR coalesce(e = d, FALSE) THEN (CASE WHEN ({_MATCH}) OR coalesce(n, e, d) = e THEN 30 ELSE 10 END) ELSE 0 END) + 20 + (CASE WHEN ver IS NOT NULL THEN 10 ELSE 0 END) + 10)"
 _AUTH_SCORE = f"CASE WHEN {_CONFLICT} THEN least(79, {_RAW}) ELSE {_RAW} END"
-inline("authority_decisions", "id int, n string, e string, d string, ver string, errs int", _CROSS, {
-    "id": F.col("id"), "repository": _auth["repository"], "match": _auth["match"], "conflict": _auth["conflict"], "score": _auth["score"], "status": _auth["status"],
+inline("authority_decisions", "id int, n string, e string, d string, ver string, errs int", _CROSS, lambda: {
+    "id": F.col("id"), "repository": _auth()["repository"], "match": _auth()["match"], "conflict": _auth()["conflict"], "score": _auth()["score"], "status": _auth()["status"],
 }, {
     "id": "id", "repository": "coalesce(n, e, d)", "match": _MATCH, "conflict": _CONFLICT, "score": _AUTH_SCORE,
     "status": f"CASE WHEN {_CONFLICT} THEN 'AUTHORITY_CONFLICT' WHEN ({_AUTH_SCORE}) >= 80 AND ({_MATCH}) THEN 'AUTHORITY_VERIFIED' WHEN errs > 0 THEN 'AUTHORITY_PARTIAL_RETRY' WHEN ({_AUTH_SCORE}) >= 55 THEN 'AUTHORITY_PROBABLE' ELSE 'AUTHORITY_REVIEW' END"})
 
-_tgt = scoring.documentation_target(F.col("dc"), F.col("w"), F.col("r"))
+
+def _tgt():
+    return scoring.documentation_target(F.col("dc"), F.col("w"), F.col("r"))
+
+
 inline("documentation_targets", "id int, dc string, w string, r string", [
     (1, "https://github.com/a/b/wiki", None, "git@github.com:A/b.git"), (2, "https://docs.x.org/", "https://x.org", None), (3, "https://y.io", "https://x.org", None), (4, None, "https://x.org/?utm_source=a", "https://github.com/a/b"),
     (5, "", None, "https://github.com/a/b"), (6, None, None, None),
-], {"id": F.col("id"), "url": _tgt["url"], "kind": _tgt["kind"], "confidence": _tgt["confidence"]}, {
+], lambda: {"id": F.col("id"), "url": _tgt()["url"], "kind": _tgt()["kind"], "confidence": _tgt()["confidence"]}, {
     "id": "id", "url": "CASE id WHEN 1 THEN 'https://github.com/a/b/wiki' WHEN 2 THEN 'https://docs.x.org/' WHEN 3 THEN 'https://y.io/' WHEN 4 THEN 'https://x.org/' WHEN 5 THEN 'https://github.com/a/b' END",
     "kind": "CASE WHEN id < 4 THEN 'DOCUMENTATION_URL' WHEN id = 4 THEN 'OFFICIAL_WEBSITE_DISCOVERY' WHEN id = 5 THEN 'CANONICAL_REPOSITORY_DISCOVERY' ELSE 'MISSING' END",
     "confidence": "CASE id WHEN 1 THEN 'VERIFIED_REPOSITORY_RELATION' WHEN 2 THEN 'VERIFIED_WEBSITE_RELATION' WHEN 3 THEN 'AUTHORITY_DERIVED' WHEN 6 THEN 'MISSING' ELSE 'DISCOVERY_REQUIRED' END"})
 
 inline("file_formats", "id int, url string, ctype string", [
     (1, "https://x/a.CSV?x=1", ""), (2, "https://x/a", "text/csv"), (3, "https://x/a.bin", "application/json"), (4, "https://x/a", "application/vnd.ms-excel"), (5, "https://x/a.pdf", "application/pdf"), (6, "https://x/a", None), (7, "https://p.org/datasets/x.json", ""), (8, "https://x/a.parquet", "x"),
-], {"id": F.col("id"), "format": scoring.format_of(F.col("url"), F.col("ctype")), "connector": scoring.connector_of(F.col("url"), "p.org")}, {
+], lambda: {"id": F.col("id"), "format": scoring.format_of(F.col("url"), F.col("ctype")), "connector": scoring.connector_of(F.col("url"), "p.org")}, {
     "id": "id", "format": "CASE id WHEN 1 THEN 'csv' WHEN 2 THEN 'csv' WHEN 3 THEN 'json' WHEN 4 THEN 'xlsx' WHEN 5 THEN 'pdf' WHEN 6 THEN 'binary' WHEN 7 THEN 'json' ELSE 'parquet' END",
     "connector": "CASE id WHEN 7 THEN 'data_gouv_ci' WHEN 1 THEN 'http_file' WHEN 8 THEN 'http_file' ELSE 'public_web' END"})
 
 inline("repair_actions", "id int, con string, url string, status string, sha string, host string", [
     (1, None, "https://x/a", "CORRUPTED", "s", "x"), (2, "http_file", "https://x/a", "CORRUPTED", "s", "x"), (3, "public_web", "https://x/uploads/", "CORRUPTED", "s", "x"), (4, "public_web", "https://x/a.pdf", "FAILED", "s", "x"),
     (5, "public_web", "https://x/a.pdf", "CORRUPTED", "", "x"), (6, "public_web", "https://x/a.pdf", "LOCAL_MISSING", "s", "y"), (7, "public_web", "https://x/a.pdf", "LOCAL_MISSING", "s", "x"), (8, "public_web", "https://x/a%20", "FAILED", "s", "x"),
-], {"id": F.col("id"), "action": scoring.repair_action(F.col("con"), F.col("url"), urls.crawl_url(F.col("url")), urls.is_upload_directory(F.col("url")), F.col("status"), F.col("sha"), F.col("host"))}, {
+], lambda: {"id": F.col("id"), "action": scoring.repair_action(F.col("con"), F.col("url"), urls.crawl_url(F.col("url")), urls.is_upload_directory(F.col("url")), F.col("status"), F.col("sha"), F.col("host"))}, {
     "id": "id", "action": "CASE id WHEN 1 THEN 'UNKNOWN_SOURCE' WHEN 3 THEN 'TOMBSTONE_INVALID_LEGACY_URL' WHEN 8 THEN 'TOMBSTONE_INVALID_LEGACY_URL' WHEN 7 THEN 'DIRECT_URL_REPAIR' ELSE 'SOURCE_RESYNC' END"})
 
 inline("physical_states", "id int, res string, gone boolean, err string, got boolean, here boolean", [
     (1, "DOWNLOADED", False, None, True, True), (2, "UNCHANGED", False, "", None, True), (3, "DOWNLOADED", False, None, True, False), (4, "ERROR", False, None, False, False), (5, None, True, None, None, None), (6, "UPSTREAM_GHOST", False, "x", None, None), (7, None, None, None, None, None), (8, "DOWNLOADED", False, "x", True, True),
-], {"id": F.col("id"), "state": scoring.physical_state(*(F.col(c) for c in ("res", "gone", "err", "got", "here")))}, {
+], lambda: {"id": F.col("id"), "state": scoring.physical_state(*(F.col(c) for c in ("res", "gone", "err", "got", "here")))}, {
     "id": "id", "state": "CASE id WHEN 1 THEN 'FETCHED' WHEN 2 THEN 'UNCHANGED' WHEN 3 THEN 'LOCAL_MISSING' WHEN 4 THEN 'FAILED' WHEN 5 THEN 'REMOVED' WHEN 6 THEN 'UPSTREAM_GHOST' WHEN 7 THEN 'DISCOVERED' ELSE 'FAILED' END"})
 
 inline("feed_decisions", "id int, dl bigint, fav bigint, tries int, res string, pend int, raw string", [
     (i, i * 370_001, i * 777, i, "success" if i % 3 else "error", i % 2, str(i * 13) if i % 4 else "x") for i in range(20)
-], {
+], lambda: {
     "id": F.col("id"), "priority": scoring.harvest_priority(F.col("dl"), F.col("fav")), "backoff": scoring.backoff_seconds(F.col("tries")), "outcome": scoring.completion(F.col("res"), F.col("pend"), F.col("tries")), "bounded": scoring.bounded_int(F.col("raw")),
 }, {
     "id": "id", "priority": "least(100, 40 + least(40, dl // 100000) + least(20, fav // 100))", "backoff": "least(86400, 300 * pow(2, least(tries, 12)))::BIGINT",
     "outcome": "CASE WHEN res = 'success' AND pend = 0 THEN 'SUCCESS' WHEN res = 'success' THEN 'PARTIAL' WHEN tries >= 5 THEN 'REVIEW_EXHAUSTED' ELSE 'RETRY' END", "bounded": "greatest(0, least(100, coalesce(TRY_CAST(raw AS INT), 0)))"})
 
-inline("ghost_states", "id int, a int, b int, c int", [(1, 404, 404, 404), (2, 200, 404, 404), (3, 404, 500, 404)], {"id": F.col("id"), "ghost": changes.is_ghost(F.col("a"), F.col("b"), F.col("c"))}, {"id": "id", "ghost": "a = 404 AND b = 404 AND c = 404"})
+inline("ghost_states", "id int, a int, b int, c int", [(1, 404, 404, 404), (2, 200, 404, 404), (3, 404, 500, 404)], lambda: {"id": F.col("id"), "ghost": changes.is_ghost(F.col("a"), F.col("b"), F.col("c"))}, {"id": "id", "ghost": "a = 404 AND b = 404 AND c = 404"})
 
 # --- scores over tables ---------------------------------------------------------------------------
 

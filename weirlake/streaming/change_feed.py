@@ -74,6 +74,6 @@ def require_bootstrap(cursor: int | None, bootstrapped: bool) -> None:
 
 def windowed_counts(events: DataFrame, window: str = "1 day", late: str = "2 days") -> DataFrame:
     """Counts of event types in time windows, as a stream or at rest; on a stream, rows later than ``late`` are left out."""
-    timed = events.withWatermark("ts", late) if events.isStreaming else events
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
     grouped = timed.groupBy(F.window("ts", window), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     return grouped.select(F.col("window.start").alias("window_start"), "event_type", "n", "total")
