@@ -29,7 +29,9 @@ AGREE = 16
 #: Buckets above this size take the exact way.
 BUCKET = 32
 MOST_WORDS = 400_000
-SKETCH = 1 << 20
+#: Counters of the sketch, and how many go in a row.
+SKETCH = 1 << 18
+SEGMENT = 1 << 12
 BLOOM = 1 << 24
 
 
@@ -221,6 +223,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return saved(both.select("a", "za", "b", "zb").mapInArrow(run, "a long, b long"), "near-links")
 
 
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    """The counter of the sketch that each shingle has."""
+    return (shingles >> np.uint64(46)).astype(np.int64)
+
+
 def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(token, node, pos, n): the rarest shingles of each text, of which two similar texts share one.
 
@@ -232,13 +239,22 @@ def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
         make, count = Shingler(words), np.zeros(SKETCH, np.int64)
         for b in batches:
             for z in b["z"]:
-                np.add.at(count, (make.set_of(zlib.decompress(z.as_py())) >> np.uint64(44)).astype(np.int64), 1)
-        at = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["at", "n"])
-
-    got = texts.select("z").mapInArrow(tally, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+                np.add.at(count, _cell(make.set_of(zlib.decompress(z.as_py()))), 1)
+        rows = [(i, zlib.compress(x.tobytes(), 1)) for i, x in enumerate(count.reshape(-1, SEGMENT)) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["segment", "counts"])
+
+    def total(key, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(SEGMENT, np.int64)
+        for b in parts:
+            for x in b["counts"]:
+                count += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([count.tobytes()], pa.binary())], ["segment", "counts"])
+
+    kind = "segment int, counts binary"
+    got = texts.select("z").mapInArrow(tally, kind).groupBy("segment").applyInArrow(total, kind).collect()
     sketch = np.zeros(SKETCH, np.int32)
-    sketch[got["at"].to_numpy()] = np.minimum(got["n"].to_numpy(), 2**31 - 1)
+    for r in got:
+        sketch[r["segment"] * SEGMENT : (r["segment"] + 1) * SEGMENT] = np.minimum(np.frombuffer(r["counts"], np.int64), 2**31 - 1)
     common = texts.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +263,7 @@ def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
             token, node, pos, n = [], [], [], []
             for k, z in zip(b["node"].to_pylist(), b["z"], strict=True):
                 s = make.set_of(zlib.decompress(z.as_py()))
-                order = np.lexsort((s, common.value[(s >> np.uint64(44)).astype(np.int64)]))
+                order = np.lexsort((s, common.value[_cell(s)]))
                 most = len(s) - -(-percent * len(s) // 100) + 1
                 token.append(s[order[:most]])
                 node.append(np.full(most, k))
