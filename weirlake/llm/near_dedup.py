@@ -243,12 +243,12 @@ def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
         rows = [(i, zlib.compress(x.tobytes(), 1)) for i, x in enumerate(count.reshape(-1, SEGMENT)) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["segment", "counts"])
 
-    def total(key, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def total(table):
+        # One group holds a row a task of one segment.
         count = np.zeros(SEGMENT, np.int64)
-        for b in parts:
-            for x in b["counts"]:
-                count += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([count.tobytes()], pa.binary())], ["segment", "counts"])
+        for x in table["counts"]:
+            count += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+        return pa.table({"segment": table["segment"].slice(0, 1), "counts": pa.array([count.tobytes()], pa.binary())})
 
     kind = "segment int, counts binary"
     got = texts.select("z").mapInArrow(tally, kind).groupBy("segment").applyInArrow(total, kind).collect()
