@@ -115,6 +115,8 @@ def contaminated(
             F.array_sort(F.collect_set(F.when(F.col("near"), F.col("item_id")))).alias("near_items"),
         ).withColumn("n_hit", F.size(F.array_distinct(places)).cast("long"))
     )
+    # Read back, so that the join can split a key that very many copies share.
+    hits = saved(hits, "hits")
     no_names, no_spans = F.array().cast("array<string>"), F.array().cast("array<struct<start:int,n:int>>")
     out = stored.filter("block = 0").select("doc_id", "key", "n_words").join(hits, "key", "left")
     out = out.select(

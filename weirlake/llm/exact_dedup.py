@@ -7,6 +7,8 @@ again has its full bytes compared before its rows are called equal.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,17 +25,18 @@ STATE_CONF = {
 }
 
 
-def _fold(landing: DataFrame, path: str, state_dir: str) -> DataFrame:
-    """Run the landed rows through the keyed state; one row per digest touched: keeper, copies, locator."""
+def _fold(landing: DataFrame, state_dir: str) -> DataFrame:
+    """Run what has landed through the keyed state; one row per digest touched: keeper, copies, locator."""
     spark = landing.sparkSession
+    schema = landing.schema.add("run", "string")
     out = f"{state_dir}/updates"
     before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     for k, v in STATE_CONF.items():
         spark.conf.set(k, v)
     try:
-        best = F.max(F.struct("doc_id", "row_no", "locator")).alias("best")
+        best = F.max(F.struct("doc_id", "run", "row_no", "locator")).alias("best")
         state = (
-            spark.readStream.schema(landing.schema).parquet(path)
+            spark.readStream.schema(schema).parquet(f"{state_dir}/landing")
             .groupBy("digest", "n_bytes").agg(best, F.count(F.lit(1)).alias("copies"))
         )
 
@@ -49,8 +52,9 @@ def _fold(landing: DataFrame, path: str, state_dir: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    schema = f"digest string, n_bytes int, best {landing.select(F.struct('doc_id', 'row_no', 'locator').alias('b')).schema[0].dataType.simpleString()}, copies bigint, batch int"
-    seen = spark.read.schema(schema).option("basePath", out).parquet(out)
+    key = landing.schema["doc_id"].dataType.simpleString()
+    kind = f"digest string, n_bytes int, best struct<doc_id:{key},run:string,row_no:bigint,locator:string>, copies bigint, batch int"
+    seen = spark.read.schema(kind).option("basePath", out).parquet(out)
     return seen.groupBy("digest", "n_bytes").agg(F.max("copies").alias("copies"), F.max("best").alias("best"))
 
 
@@ -68,7 +72,8 @@ def exact_dedup(
     if rows.isEmpty():
         return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.sha2("text", 256).alias("text_sha256"))
     state_dir = state_dir or shared_dir(spark, "dedup-state")
-    path = shared_dir(spark, "dedup-landing")
+    run = uuid.uuid4().hex
+    path = f"{state_dir}/landing/run={run}"
     digest = F.sha2(F.encode("text", "UTF-8"), 256)
     landing = rows.select(
         digest.alias("digest"), F.octet_length("text").alias("n_bytes"), "doc_id",
@@ -76,7 +81,7 @@ def exact_dedup(
     )
     landing.write.parquet(path)
     landed = spark.read.schema(landing.schema).parquet(path)
-    groups = saved(_fold(landed, path, state_dir), "dedup-groups")
+    groups = saved(_fold(landing, state_dir), "dedup-groups")
 
     # Full bytes on hits: a digest of unequal texts would keep more than one. Each task sends a text
     # once, however many copies it has, so a large group of copies does not meet in one task.
@@ -90,7 +95,7 @@ def exact_dedup(
     found = landed.join(groups.select("digest", "copies", "best"), "digest", "left")
     return found.select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
-        (F.col("row_no") == F.col("best.row_no")).alias("kept"), F.col("digest").alias("text_sha256"),
+        ((F.col("best.run") == run) & (F.col("row_no") == F.col("best.row_no"))).alias("kept"), F.col("digest").alias("text_sha256"),
     )
 
 
