@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.functions import markup, scoring, text, urls, versions
-from weirlake.operators import audit, changes, claims, corpus, stages
+from weirlake.operators import audit, changes, claims, corpus, ledger, stages
 from weirlake.plans import tables as t
 from weirlake.plans.query import search_documents
+from weirlake.sources import adapters, records, registry, web
 from weirlake.streaming.change_feed import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -793,3 +794,143 @@ def event_windows(spark, sf_dir):
 @query("event_props", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract(props, '$.k') AS BIGINT) >= 50")
 def event_props(spark, sf_dir):
     return t.table(spark, sf_dir, "events").select("event_id", F.expr("try_variant_get(parse_json(props), '$.k', 'bigint')").alias("k")).filter("k >= 50")
+
+
+# --- sources over tables --------------------------------------------------------------------------
+
+
+@query("area_rows", "SELECT c_custkey, c_name AS id FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'CIV_' ELSE 'X_' END || c_custkey || '_' || CASE WHEN c_custkey % 2 = 0 THEN 'A' ELSE 'M' END AS c_name, CASE WHEN c_custkey % 7 = 0 THEN 'civ' ELSE 'FRA' END AS a FROM customer) WHERE (upper(a) = 'CIV' OR starts_with(c_name, 'CIV_')) AND c_name LIKE '%A'")
+def area_rows(spark, sf_dir):
+    k = F.col("c_custkey")
+    rid = F.concat(F.when(k % 3 == 0, "CIV_").otherwise("X_"), k.cast("string"), F.lit("_"), F.when(k % 2 == 0, "A").otherwise("M"))
+    c = t.table(spark, sf_dir, "customer").select("c_custkey", rid.alias("id"), F.when(k % 7 == 0, "civ").otherwise("FRA").alias("ref_area"), F.lit(None).cast("string").alias("freq"))
+    return records.reference_area(c, "CIV", ("a",)).select("c_custkey", "id")
+
+
+@query("alias_rows", "SELECT n_nationkey FROM nation WHERE n_name IN ('FRANCE', 'KENYA')")
+def alias_rows(spark, sf_dir):
+    n = t.table(spark, sf_dir, "nation").withColumn("other", F.lit(None).cast("string"))
+    return records.country_rows(n, ["other", "n_name"], [" france", "Kenya "]).select("n_nationkey")
+
+
+@query("request_batches", "SELECT n // 60 AS batch, count(*) AS n_keys, min(k) AS low FROM (SELECT s_suppkey AS k, row_number() OVER (ORDER BY s_suppkey) - 1 AS n FROM supplier) GROUP BY 1")
+def request_batches(spark, sf_dir):
+    b = records.batches(t.table(spark, sf_dir, "supplier"), "s_suppkey", 60)
+    return b.select("batch", F.size("keys").cast("long").alias("n_keys"), F.array_min("keys").alias("low"))
+
+
+@query("tree_diff", t.with_derived("before", "now") + """ SELECT 'docs/' || coalesce(b.k, n.k) || '.md' AS path, CASE WHEN b.k IS NULL THEN 'ADDED' WHEN n.k IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM before b FULL JOIN now n ON b.k = n.k WHERE b.signature IS DISTINCT FROM n.signature""")
+def tree_diff(spark, sf_dir):
+    tree = lambda n: t.derived(spark, sf_dir, n).select(F.concat(F.lit("docs/"), F.col("k").cast("string"), F.lit(".md")).alias("path"), F.col("signature").cast("string").alias("sha"))
+    return web.tree_diff(tree("before"), tree("now"), ("docs/",))
+
+
+@query("revalidation", t.with_derived("before", "now") + """ SELECT CAST(n.k AS VARCHAR) AS url, CASE WHEN n.signature = b.signature THEN 'SKIP' ELSE 'FETCH' END AS action FROM now n LEFT JOIN before b ON b.k = n.k UNION ALL SELECT CAST(k AS VARCHAR), 'REMOVE' FROM before WHERE k NOT IN (SELECT k FROM now)""")
+def revalidation(spark, sf_dir):
+    rows = lambda n: t.derived(spark, sf_dir, n).select(F.col("k").cast("string").alias("url"), F.col("signature").cast("string").alias("lastmod"))
+    return web.revalidation_plan(rows("now"), rows("before"), True)
+
+
+@query("link_catalogue", rf"SELECT page_url, count(*) AS n, count(*) FILTER (d) AS n_downloads FROM (SELECT DISTINCT url AS page_url, replace(trim(h), '&amp;', '&') AS h, regexp_matches(h, '(?i)\.(csv|json|jsonl|parquet|xlsx?|zip|gz|pdf|dta|sav|pbf)([?#]|$)') AS d FROM (SELECT url, unnest({_LINKS}) AS h FROM pages)) GROUP BY 1")
+def link_catalogue(spark, sf_dir):
+    return web.link_catalogue(t.table(spark, sf_dir, "pages")).groupBy("page_url").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_download").alias("n_downloads"))
+
+
+@query("page_chunks")
+def page_chunks(spark, sf_dir):
+    return web.page_chunks(t.table(spark, sf_dir, "pages"), "pages")
+
+
+@query("repair_plan", t.with_derived("artifacts") + " SELECT source_id, artifact_id, status FROM artifacts WHERE status IN ('LOCAL_MISSING', 'CORRUPTED', 'FAILED')")
+def repair_plan(spark, sf_dir):
+    return ledger.repair_plan(t.derived(spark, sf_dir, "artifacts")).select("source_id", "artifact_id", "status")
+
+
+@query("run_close_out", "SELECT l_shipdate AS run_id, count(DISTINCT (l_orderkey, l_linenumber)) AS artifacts, sum(l_quantity)::BIGINT AS bytes FROM lineitem GROUP BY 1")
+def run_close_out(spark, sf_dir):
+    li = t.table(spark, sf_dir, "lineitem")
+    return ledger.finish_runs(li.select(F.col("l_shipdate").alias("run_id"), F.col("l_orderkey").alias("source_id"), F.col("l_linenumber").alias("artifact_id"), F.col("l_quantity").cast("long").alias("size_bytes")))
+
+
+_STATS = "CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 0 END"
+
+
+def _runs(spark, sf_dir):
+    k = F.col("o_orderkey")
+    stats = F.struct(F.when(k % 5 == 0, 1).otherwise(0).alias("failed"), F.when(k % 7 == 0, 2).alias("backlog_count"), F.lit(0).alias("deferred_budget"), F.lit(None).cast("int").alias("skipped_oversize"))
+    o = t.table(spark, sf_dir, "orders")
+    return o.select(k.alias("source_id"), F.when(k % 3 == 0, "error").otherwise("success").alias("status"), stats.alias("stats"), F.col("o_orderdate").cast("timestamp").alias("last_attempt"), F.when(k % 2 == 0, 24).alias("retry_hours"))
+
+
+@query("partial_runs", f"SELECT o_orderkey AS source_id, CASE WHEN o_orderkey % 3 = 0 THEN 'error' WHEN {_STATS} > 0 THEN 'partial' ELSE 'success' END AS status FROM orders")
+def partial_runs(spark, sf_dir):
+    return ledger.mark_partial(_runs(spark, sf_dir)).select("source_id", "status")
+
+
+@query("retry_due", f"SELECT o_orderkey AS source_id FROM orders WHERE {_STATS} > 0 AND o_orderkey % 4 <> 0 AND TIMESTAMP '1995-06-17 12:00:00' >= o_orderdate + CASE WHEN o_orderkey % 2 = 0 THEN INTERVAL 24 HOUR ELSE INTERVAL 6 HOUR END")
+def retry_due(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    return ledger.retry_due(runs, F.lit("1995-06-17 12:00:00").cast("timestamp"), runs.filter("source_id % 4 = 0"))
+
+
+@query("baseline", t.with_derived("sources") + f" SELECT source_id FROM sources WHERE enabled AND auto_sync AND {_PUBLIC} AND sync_status = 'SUCCESS' AND delivery_status <> 'EMPTY'")
+def baseline(spark, sf_dir):
+    return _sources(spark, sf_dir).filter("enabled and auto_sync and public and sync_status = 'SUCCESS' and delivery_status <> 'EMPTY'").select("source_id").orderBy("source_id")
+
+
+@query("registry_audit", t.with_derived("sources", "artifacts") + " SELECT s.source_id, s.priority, coalesce(n, 0) AS artifacts FROM sources s LEFT JOIN (SELECT source_id, count(*) AS n FROM artifacts GROUP BY 1) a ON a.source_id = s.source_id")
+def registry_audit(spark, sf_dir):
+    n = t.derived(spark, sf_dir, "artifacts").groupBy("source_id").agg(F.count(F.lit(1)).alias("artifacts"))
+    return t.derived(spark, sf_dir, "sources").select("source_id", "priority").join(n, "source_id", "left").fillna(0, ["artifacts"])
+
+
+@query("classified_rows", "SELECT p_type, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def classified_rows(spark, sf_dir):
+    li = t.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
+    both = records.classified(li, t.table(spark, sf_dir, "part").select("p_partkey", "p_type"), "p_partkey")
+    return both.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("unmapped_datasets", "SELECT o_orderkey AS id, o_orderpriority AS domain FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') ORDER BY o_orderpriority, o_orderkey LIMIT 50")
+def unmapped_datasets(spark, sf_dir):
+    o = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("domain"))
+    mapped = t.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
+    return o.join(mapped, "id", "left_anti").orderBy("domain", "id").limit(50)
+
+
+@query("catalogue_top", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0 ORDER BY c_custkey % 100 DESC, c_custkey % 37 DESC, lower(c_name) LIMIT 100")
+def catalogue_top(spark, sf_dir):
+    k = F.col("c_custkey")
+    return t.table(spark, sf_dir, "customer").filter("c_acctbal > 0").orderBy(F.desc(k % 100), F.desc(k % 37), F.lower("c_name")).limit(100).select("c_custkey", "c_name")
+
+
+@query("upsert_nonempty", "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 <> 0 THEN 'new' ELSE c_name END AS name, c_mktsegment AS segment FROM customer")
+def upsert_nonempty(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = t.table(spark, sf_dir, "customer").select(k.alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    new = c.filter("k % 3 = 0").select("k", F.when(F.col("k") % 4 != 0, "new").otherwise("").alias("name"), F.lit("").alias("segment"))
+    return changes.upsert(c, new, ["k"], {"name": "nonempty", "segment": "nonempty"})
+
+
+@query("site_crawl")
+def site_crawl(spark, sf_dir):
+    pages = t.table(spark, sf_dir, "pages").select("url", "html").filter("url is not null")
+    return web.crawl(pages, pages.agg(F.min("url")).first()[0].split("#")[0])
+
+
+@query("package_records", "SELECT * FROM (VALUES ('crates.io', 'c', '0.3.0', 'https://github.com/a/c'), ('rubygems.org', 'r', '4.0', NULL)) AS t(registry, name, latest_stable_version, canonical_repository)")
+def package_records(spark, sf_dir):
+    rows = [("crates.io", '{"crate": {"id": "c", "max_stable_version": "0.3.0", "repository": "https://github.com/a/c"}}'), ("rubygems.org", '{"name": "r", "version": "4.0"}')]
+    v = spark.createDataFrame(rows, "registry string, j string").select("registry", F.lit("x").alias("asked"), F.expr("parse_json(j)").alias("payload"))
+    return adapters.native_metadata(v).select("registry", "name", "latest_stable_version", "canonical_repository")
+
+
+@query("config_layers", "SELECT * FROM (VALUES ('a.b', '3'), ('a.c', '2'), ('d', '\"x\"')) AS t(path, value)")
+def config_layers(spark, sf_dir):
+    return registry.layered(spark, [{"a": {"b": 1, "c": 2}}, {"a": {"b": 3}, "d": "x"}])
+
+
+@query("manifests", t.with_derived("sources") + """ SELECT source_id, '{"schema_version":3,"source_id":' || source_id || ',"status":{"sync_status":"' || sync_status || '"}}' AS manifest FROM sources""")
+def manifests(spark, sf_dir):
+    s = t.derived(spark, sf_dir, "sources")
+    return s.select("source_id", F.to_json(F.struct(F.lit(3).alias("schema_version"), "source_id", F.struct("sync_status").alias("status"))).alias("manifest"))
