@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.functions import markup, scoring, text, urls, versions
-from weirlake.operators import audit, changes, claims, corpus, ledger, stages
+from weirlake.operators import audit, changes, claims, corpus, ledger, stages, technologies
 from weirlake.plans import tables as t
 from weirlake.plans.query import search_documents
 from weirlake.sources import adapters, records, registry, web
@@ -934,3 +934,46 @@ def config_layers(spark, sf_dir):
 def manifests(spark, sf_dir):
     s = t.derived(spark, sf_dir, "sources")
     return s.select("source_id", F.to_json(F.struct(F.lit(3).alias("schema_version"), "source_id", F.struct("sync_status").alias("status"))).alias("manifest"))
+
+
+@query("conflict_recheck", t.with_derived("authority", "qualification") + " SELECT a.registry, a.name, q.score FROM authority a JOIN qualification q ON a.registry = q.registry AND a.name = q.name WHERE authority_status = 'AUTHORITY_REVIEW' ORDER BY q.score DESC, a.registry, a.name LIMIT 25")
+def conflict_recheck(spark, sf_dir):
+    a = t.derived(spark, sf_dir, "authority").replace({"AUTHORITY_REVIEW": "AUTHORITY_CONFLICT"}, subset=["authority_status"])
+    return technologies.conflicts_to_recheck(a, t.derived(spark, sf_dir, "qualification")).select("registry", "name", "score")
+
+
+@query("recalibration", t.with_derived("candidates", "qualification") + """, s AS (SELECT q.registry, q.name, q.score AS old, q.score AS native, least(100, round_even(q.score * 0.45::DOUBLE + q.score * 0.35::DOUBLE + c.priority * 0.20::DOUBLE, 0)::INT) AS score, c.priority FROM qualification q JOIN candidates c ON c.registry = q.registry AND c.name = q.name),
+    d AS (SELECT *, CASE WHEN (native >= 55 AND score >= 40) OR (priority >= 80 AND native >= 30) THEN 'READY_FOR_AUTHORITY' WHEN native >= 30 THEN 'QUALIFIED_ON_DEMAND' ELSE 'NEEDS_METADATA' END AS status FROM s) SELECT registry, name, score, status FROM d WHERE score <> old OR status <> 'QUALIFIED_ON_DEMAND'""")
+def recalibration(spark, sf_dir):
+    q = t.derived(spark, sf_dir, "qualification").select("registry", "name", "score", F.lit("QUALIFIED_ON_DEMAND").alias("status"), F.col("score").alias("importance"), F.col("score").alias("native"), F.lit("1").alias("stable"), F.lit(None).cast("string").alias("repository"))
+    return technologies.recalibrated(q, t.derived(spark, sf_dir, "candidates"))
+
+
+@query("catalogue_audit", "SELECT c_mktsegment AS category, count(*) AS n, count(*) FILTER (c_custkey % 3 <> 0) AS with_repository, count(*) FILTER (c_custkey % 4 <> 0) AS with_documentation, count(*) FILTER (c_custkey % 100 >= 80) AS verified FROM customer GROUP BY 1")
+def catalogue_audit(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = t.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("category"), F.when(k % 3 != 0, "r").alias("canonical_repository"), F.when(k % 4 != 0, "d").otherwise("").alias("documentation_url"), (k % 100).alias("officiality_score"))
+    return technologies.catalogue_audit(c)
+
+
+@query("registry_stats", _LIVE + ", a AS (SELECT package, max(live) > 0 AS alive FROM v GROUP BY 1) SELECT 'nuget.org' AS registry, count(*) AS packages, count(*) FILTER (alive) AS live, count(*) FILTER (NOT alive) AS deleted FROM a")
+def registry_stats(spark, sf_dir):
+    alive = changes.package_alive(changes.liveness(t.derived(spark, sf_dir, "index_events")))
+    return technologies.registry_stats(alive.withColumn("registry", F.lit("nuget.org")))
+
+
+@query("fetch_coverage", t.with_derived("targets", "fetched") + " SELECT count(*) FILTER (f.status = 'SUCCESS' AND f.target_url = t.target_url) AS covered, count(*) FILTER (f.status = 'SUCCESS' AND f.target_url <> t.target_url) AS migrations_due FROM targets t JOIN fetched f ON t.registry = f.registry AND t.name = f.name")
+def fetch_coverage(spark, sf_dir):
+    return technologies.fetch_coverage(t.derived(spark, sf_dir, "targets"), t.derived(spark, sf_dir, "fetched"))
+
+
+@query("source_metadata", t.with_derived("sources") + " SELECT source_id, CASE WHEN source_id % 4 = 0 THEN 'en' ELSE 'fr' END AS language, domain AS primary_domain, CASE WHEN domain = 'multidomain' THEN 'PARTIAL' ELSE 'CONFIGURED' END AS classification_status FROM sources")
+def source_metadata(spark, sf_dir):
+    s = t.derived(spark, sf_dir, "sources").withColumn("options", F.when(F.col("source_id") % 4 == 0, F.create_map(F.lit("language"), F.lit("en"))).otherwise(F.create_map(F.lit("language"), F.lit(""))))
+    return technologies.source_metadata(s, "XX", "Nowhere").select("source_id", "language", "primary_domain", "classification_status")
+
+
+@query("unique_merge", "SELECT c_custkey, array_to_string(list_distinct([x FOR x IN [c_mktsegment, 'A', c_mktsegment, 'B'] IF x <> '']), ',') = '' AS none, len(list_distinct([c_mktsegment, 'A', 'B'])) AS n FROM customer")
+def unique_merge(spark, sf_dir):
+    m = technologies.merged_unique(F.array("c_mktsegment", F.lit("A")), F.array("c_mktsegment", F.lit(""), F.lit("B")), F.lit(None).cast("array<string>"))
+    return t.table(spark, sf_dir, "customer").select("c_custkey", (F.array_join(m, ",") == "").alias("none"), F.size(m).alias("n"))
