@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import bernoulli
+from weirlake.llm.common import saved
 
 #: Bounds of the fitting sample: documents of each language, and characters of one of them.
 SAMPLE_DOCS = 300
 SAMPLE_CHARS = 20_000
 FEATURES = 1 << 17
-MOST_WORDS = 300_000
+#: A table of so many language names at most is broadcast.
+MOST_LANGS = 10_000
+MOST_WORDS = 150_000
 #: Words chained at once in a worker.
 CHAIN = 400_000
 BLOCK = 128
@@ -223,11 +225,15 @@ def fit_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     Up to about ``sample_docs`` whole documents of each language, of at most ``sample_chars`` characters.
     """
     rows = docs.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out(F.col("doc_id"))).filter(F.char_length("text") <= sample_chars)
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # One row a language: how many documents it has, and so what share of them to draw.
+    counts = saved(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total")), "languages")
+    langs = counts.count()
+    share = F.least(F.lit(1.0), F.lit(1.2 * sample_docs) / F.col("total"))
+    drawn = rows.join(F.broadcast(counts) if langs <= MOST_LANGS else counts, "lang").filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
     texts: dict[str, list[str]] = {}
-    for lang, n in sorted(counts.items()):
-        drawn = rows.filter(F.col("lang") == lang).filter(bernoulli(F.col("doc_id"), min(1.0, 1.2 * sample_docs / n))).limit(sample_docs)
-        texts[lang] = sorted(r["text"] for r in drawn.select("text").collect())
+    for r in drawn.select("lang", "text").limit(4 * sample_docs * max(1, langs)).collect():
+        texts.setdefault(r["lang"], []).append(r["text"])
+    texts = {k: sorted(v)[:sample_docs] for k, v in sorted(texts.items())}
     return fit_crf(texts)
 
 

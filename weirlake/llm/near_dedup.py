@@ -28,7 +28,7 @@ HASHES = 4 * SIDE
 AGREE = 16
 #: Buckets above this size take the exact way.
 BUCKET = 32
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 #: Counters of the sketch, and how many go in a row.
 SKETCH = 1 << 18
 SEGMENT = 1 << 12
@@ -77,8 +77,8 @@ class Shingler:
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         low = np.full(HASHES, 2**64 - 1, np.uint64)
-        for at in range(0, len(shingles), 65536):
-            x = shingles[at : at + 65536, None] * self.a + self.b
+        for at in range(0, len(shingles), 16384):
+            x = shingles[at : at + 16384, None] * self.a + self.b
             x ^= x >> np.uint64(31)
             x *= np.uint64(0xBF58476D1CE4E5B9)
             low = np.minimum(low, x.min(0))
@@ -129,10 +129,11 @@ def table_keys(nodes: DataFrame) -> DataFrame:
 def _members(keys: DataFrame, by: str) -> DataFrame:
     """``keys`` with ``many``, the size of their group, for groups of two or more.
 
-    Sizes are counted map-side first, so a group of any size is as many rows as there are tasks.
+    Sizes are counted map-side first, so a group of any size is as many rows as there are tasks; they
+    are read back, so that the join can split a group that is too large for a task.
     """
     sizes = keys.groupBy(by).agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
-    return keys.join(sizes, by)
+    return keys.join(saved(sizes, "near-sizes"), by)
 
 
 def _pairs_within(members: DataFrame, by: str, cols: list[str]) -> DataFrame:

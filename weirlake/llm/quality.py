@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import bernoulli
+from weirlake.llm.common import bernoulli, saved
 
 #: Rows of the fitting sample: trusted positives, and unlabelled rows. The only bounds here; scoring reads every row.
 POSITIVES = 6_000
@@ -84,11 +84,15 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "x array<double>")
 
 
+def _drawn(ids: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` of the ids, drawn by their hash."""
+    total = ids.count()
+    return ids.filter(bernoulli(F.col("doc_id"), min(1.0, 1.1 * most / max(total, 1)))).limit(most)
+
+
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """Statistics of at most ``most`` rows drawn by a hash of their ids."""
-    total = rows.count()
-    drawn = rows.filter(bernoulli(F.col("doc_id"), min(1.0, 1.1 * most / max(total, 1)))).limit(most)
-    return np.array([r.x for r in _with_statistics(drawn).collect()], dtype=float).reshape(-1, STATS)
+    """Statistics of at most ``most`` rows."""
+    return np.array([r.x for r in _with_statistics(rows.limit(most)).collect()], dtype=float).reshape(-1, STATS)
 
 
 def score_quality(
@@ -109,8 +113,10 @@ def score_quality(
     web = rows.filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
     model = None
     if prior:
-        p = _sample(web.join(known.filter("quality = 1"), "doc_id", "left_semi"), positives)
-        u = _sample(web, unlabelled)
+        # Ids are drawn first: a bounded list, so that no text has to move to meet it.
+        trusted = saved(_drawn(known.filter("quality = 1").select("doc_id"), positives), "trusted")
+        p = _sample(web.join(F.broadcast(trusted), "doc_id", "left_semi"), positives)
+        u = _sample(_drawn(web, unlabelled), unlabelled)
         if len(p) and len(u):
             model = fit_nnpu(p, u, min(max(prior, 0.01), 0.99))
     prior = 0.5 if prior is None else float(prior)

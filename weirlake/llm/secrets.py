@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import ascii_lower, spans_of
+from weirlake.llm.common import ascii_lower, saved, spans_of
 from weirlake.llm.trigrams import trigram_query
 
 
@@ -82,7 +82,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rules = [*base, *more]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    marked = rows.join(candidates(rows, rules), "key", "left")
+    # Read back, so that the join can split a key that very many copies share.
+    marked = rows.join(saved(candidates(rows, rules), "secret-candidates"), "key", "left")
     none = F.array().cast("array<struct<s:int,e:int,kind:string,v:string>>")
     found: list[Column] = []
     for n, r in enumerate(rules):

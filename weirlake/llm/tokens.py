@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from weirlake.llm.common import once_a_worker
 
 #: Words kept in each Python worker; the table starts anew when it is full.
-MOST_WORDS = 600_000
+MOST_WORDS = 500_000
 #: Longer words are merged whenever they occur.
 LONG_WORD = 64
 #: White space as the tokenizer's regex engine sees it (fixed values).
