@@ -91,3 +91,27 @@ def properties(text: Column) -> Column:
     pair = F.transform(lines, lambda x: F.struct(F.trim(F.regexp_extract(x, r"^\s*([^=:]*?)\s*[=:]", 1)).alias("key"), F.trim(F.regexp_extract(x, r"^[^=:]*[=:]\s*(.*)$", 1)).alias("value")))
     last = F.filter(pair, lambda p, i: ~F.exists(F.slice(pair, i + 2, F.size(pair)), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(last)
+
+
+def pdf_text():
+    """An Arrow UDF from PDF bytes to the text of all pages, null for files that cannot be read.
+
+    It needs the pypdf library, which is optional; asking for it without the library is an error.
+    """
+    import pypdf  # noqa: F401
+
+    @F.pandas_udf(StringType())
+    def text(files: pd.Series) -> pd.Series:
+        import io
+
+        from pypdf import PdfReader
+
+        def one(raw):
+            try:
+                return "\n".join(p.extract_text() or "" for p in PdfReader(io.BytesIO(raw)).pages)
+            except Exception:
+                return None
+
+        return files.map(lambda raw: None if raw is None else one(raw))
+
+    return text

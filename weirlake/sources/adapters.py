@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirlake.functions.markup import xml_text
 from weirlake.functions.scoring import listed, officiality_status
-from weirlake.functions.urls import normalize_repository_url
-from weirlake.functions.versions import go_key, latest_stable, nuget_key
+from weirlake.functions.urls import is_landing, normalize_repository_url
+from weirlake.functions.versions import go_key, is_maven_stable, latest_stable, nuget_key
 from weirlake.sources.records import field, first_present
 
 
@@ -123,3 +124,19 @@ def entities(rows: DataFrame) -> DataFrame:
     score = F.least(F.lit(90), sum((F.when(F.col(c).isNotNull(), n).otherwise(0) for c, n, _ in parts), F.lit(0)))
     evidence = F.concat(F.array(F.lit("WIKIDATA_ENTITY")), listed(*((F.col(c).isNotNull(), e) for c, _, e in parts)))
     return got.withColumn("officiality_score", score).withColumn("officiality_status", officiality_status(F.col("officiality_score"))).withColumn("evidence", evidence)
+
+
+def maven(rows: DataFrame) -> DataFrame:
+    """Records of (asked, metadata, pom), both XML texts, asked as ``group:artifact``.
+
+    The release is taken if it is stable, else the latest, else the last listed stable version.
+    """
+    listed_versions = F.regexp_extract_all(F.coalesce("metadata", F.lit("")), F.lit(r"<(?:\w+:)?version>\s*([^<\s]+)\s*</(?:\w+:)?version>"), F.lit(1))
+    release, latest = xml_text(F.col("metadata"), "release"), xml_text(F.col("metadata"), "latest")
+    stable = F.coalesce(F.when(is_maven_stable(release), release), F.when(is_maven_stable(latest), latest), F.try_element_at(F.filter(listed_versions, is_maven_stable), F.lit(-1)))
+    scm = F.regexp_extract(F.coalesce("pom", F.lit("")), r"(?s)<(?:\w+:)?scm>(.*?)</(?:\w+:)?scm>", 1)
+    repo = F.coalesce(xml_text(scm, "url"), F.regexp_replace(xml_text(scm, "connection"), "^scm:git:", ""))
+    body = F.regexp_replace(F.coalesce("pom", F.lit("")), r"(?s)<(?:\w+:)?(scm|licenses|developers|organization|parent|dependencies|build)>.*?</(?:\w+:)?\1>", "")
+    site = xml_text(body, "url")
+    out = rows.select(*_record("maven", F.col("asked"), stable, repo, _none(), F.when(~is_landing(site), site)))
+    return out.withColumn("registry", F.lit("repo1.maven.org"))
