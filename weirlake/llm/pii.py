@@ -3,8 +3,9 @@
 Patterns propose spans. Several labelers vote on each: a strict check of the form, a gazetteer, the words
 before it, and its surroundings; none of them is trusted outright. Expectation-maximisation over the
 counts of vote patterns (a table whose size the labelers fix) estimates how reliable each is, and the
-posteriors train a logistic span classifier on what a span looks like. Its word is final for the
-proposals of the method; the base spans that the contract fixes always stay.
+posteriors train a logistic span classifier on what a span looks like. All spans are voted on and
+trained from: the base spans that the contract fixes, which always stay, near misses of theirs, which are
+never given out, and the proposals of the method, on which the classifier's word is final.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ from pyspark.sql import functions as F
 from weirlake.llm.common import saved
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "ssn", "iban", "local_phone", "hidden_email", "person")
+MORE_KINDS = ("ssn", "iban", "local_phone", "hidden_email", "person")
+#: Matches of a base pattern that fail its check; they only train.
+MISSES = ("ip_miss", "card_miss", "phone_miss")
+KINDS = (*BASE_KINDS, *MORE_KINDS, *MISSES)
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -40,8 +44,10 @@ PERSON = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20[A
 NAMES = frozenset("anna anne antonio carlos carmen charles claire daniel david elena emma franz hans jean john jose juan karl laura louis luis lukas maria marie mary michael paul pedro peter pierre robert sofia sophie thomas william".split())
 ENDINGS = frozenset("com org net edu gov io de fr es uk it eu info".split())
 COUNTRIES = frozenset("AT BE CH DE ES FR GB IE IT LU NL PT".split())
+DIAL_CODES = ("1", "31", "32", "33", "34", "39", "41", "43", "44", "49", "351", "352", "353")
 #: Words that announce each kind.
 CUES = {
+    "email": ("mail", "contact", "write", "@"), "ip": ("ip", "host", "server", "address", "login"), "card": ("card", "visa", "payment", "credit"), "phone": ("phone", "tel", "call", "mobile", "fax"),
     "ssn": ("ssn", "social security"), "iban": ("iban", "account", "konto", "compte", "cuenta"),
     "local_phone": ("phone", "tel", "call", "mobile", "fax"), "hidden_email": ("mail", "contact", "write"),
     "person": ("name", "contact", "signed", "dear"),
@@ -58,9 +64,9 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def base_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the contract's spans, by start and then kind."""
-    out = []
+def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """((start, end, kind) of the contract's spans, and of near misses), each by start and then kind."""
+    out, missed = [], []
     at, free = text.find("@"), 0
     while at >= 0:
         # The mailbox is the run before the sign, from where the last match ended at the earliest.
@@ -70,15 +76,26 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
             free = d.end()
         at = text.find("@", max(at + 1, free))
     if DIGIT.search(text):
-        out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in m.group().split("."))]
+        for m in IP.finditer(text):
+            ok = all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in m.group().split("."))
+            (out if ok else missed).append((m.start(), m.end(), "ip" if ok else "ip_miss"))
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14:
                 digits = m.group().replace(" ", "").replace("-", "")
-                if 14 <= len(digits) <= 19 and luhn(digits):
-                    out.append((m.start(), m.end(), "card"))
+                if 14 <= len(digits) <= 19:
+                    ok = luhn(digits)
+                    (out if ok else missed).append((m.start(), m.end(), "card" if ok else "card_miss"))
         if "+" in text:
-            out += [(m.start(), m.end(), "phone") for m in PHONE.finditer(text) if 10 <= len(DIGIT.findall(m.group())) <= 15]
-    return sorted(out, key=lambda x: (x[0], BASE_KINDS.index(x[2])))
+            for m in PHONE.finditer(text):
+                ok = 10 <= len(DIGIT.findall(m.group())) <= 15
+                (out if ok else missed).append((m.start(), m.end(), "phone" if ok else "phone_miss"))
+    order = lambda x: (x[0], KINDS.index(x[2]))
+    return sorted(out, key=order), sorted(missed, key=order)
+
+
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    """The contract's spans."""
+    return scan(text)[0]
 
 
 _BOX = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -95,41 +112,54 @@ def _iban_ok(value: str) -> bool:
     return 15 <= len(v) <= 34 and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
 
 
-def proposals(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str, str]]:
+def _form(kind: str, v: str, digits: str) -> bool:
+    if kind.endswith("_miss"):
+        return False
+    return {
+        "email": lambda: not v.startswith((".", "-")) and ".." not in v, "ip": lambda: all(p == "0" or not p.startswith("0") for p in v.split(".")), "card": lambda: len(digits) in (14, 15, 16, 19), "phone": lambda: v[1] != "0",
+        "ssn": lambda: v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000", "iban": lambda: _iban_ok(v),
+        "local_phone": lambda: digits[0] not in "01" and digits[3] not in "01", "hidden_email": lambda: v.count(" ") <= 4, "person": lambda: len(v.split()) >= 2,
+    }[kind]()
+
+
+def _listed(kind: str, v: str, digits: str) -> bool | None:
+    """What a gazetteer says of a span; null where none applies."""
+    return {
+        "email": lambda: v.rsplit(".", 1)[-1].lower() in ENDINGS, "ip": lambda: 1 <= int(v.split(".")[0][-4:]) <= 223, "card": lambda: digits[0] in "3456", "phone": lambda: digits.startswith(DIAL_CODES),
+        "iban": lambda: v[:2] in COUNTRIES, "hidden_email": lambda: re.split(r"[^A-Za-z]", v)[-1].lower() in ENDINGS, "person": lambda: any(w.lower() in NAMES for w in v.split()[1:]),
+    }.get(kind, lambda: None)()
+
+
+def voted(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str, str]]:
     """(start, end, kind, votes, looks): votes of the labelers as one of ``+-0`` each."""
-    found = []
-    if DIGIT.search(text):
-        found += [(m, "ssn") for m in SSN.finditer(text)] + [(m, "local_phone") for m in LOCAL_PHONE.finditer(text)] + [(m, "iban") for m in IBAN.finditer(text)]
-    low = None
-    if "at" in text and any(c in text for c in "[({"):
-        found += [(m, "hidden_email") for m in HIDDEN_EMAIL.finditer(text)]
-    found += [(m, "person") for m in PERSON.finditer(text)]
+    low = text.lower() if spans else ""
+    low = low if len(low) == len(text) else text
+    sign = lambda x: "0" if x is None else "+" if x else "-"
     out = []
-    for m, kind in found:
-        s, e, v = m.start(), m.end(), m.group()
-        if any(s < b and a < e for a, b, _ in taken):
-            continue
-        low = text.lower() if low is None and len(text.lower()) == len(text) else low
-        near = (low if low is not None else text)[max(0, s - REACH) : s]
+    for s, e, kind in spans:
+        v = text[s:e]
         digits = "".join(DIGIT.findall(v))
-        form = {
-            "ssn": lambda: v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000",
-            "iban": lambda: _iban_ok(v), "local_phone": lambda: digits[0] not in "01" and digits[3] not in "01",
-            "hidden_email": lambda: v.count(" ") <= 4, "person": lambda: len(v.split()) >= 2,
-        }[kind]()
-        listed = {
-            "iban": lambda: v[:2] in COUNTRIES, "hidden_email": lambda: re.split(r"[^A-Za-z]", v)[-1].lower() in ENDINGS,
-            "person": lambda: any(w.lower() in NAMES for w in v.split()[1:]), "ssn": lambda: None, "local_phone": lambda: None,
-        }[kind]()
-        cue = any(c in near for c in CUES[kind])
+        own = kind.removesuffix("_miss")
+        cue = any(c in low[max(0, s - REACH) : s] for c in CUES[own])
         # Among other figures or table cells a run of digits is most likely data.
         around = text[max(0, s - 3) : s] + text[e : e + 3]
         crowded = bool(DIGIT.search(around)) or "|" in around
-        sign = lambda x: "0" if x is None else "+" if x else "-"
-        votes = sign(form) + sign(listed) + ("+" if cue else "0") + ("-" if crowded else "0")
-        looks = f"{kind} n{min(len(digits), 20) // 4} r{int(len(set(digits)) <= 2 and bool(digits))} c{int(cue)} d{int(crowded)} u{int(v.isupper())}"
+        votes = sign(_form(kind, v, digits)) + sign(_listed(kind, v, digits)) + ("+" if cue else "0") + ("-" if crowded else "0")
+        looks = f"{own} n{min(len(digits), 20) // 4} r{int(len(set(digits)) <= 2 and bool(digits))} c{int(cue)} d{int(crowded)} u{int(v.isupper())} f{votes[0]}"
         out.append((s, e, kind, votes, looks))
-    return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
+    return out
+
+
+def proposals(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the method's own patterns, by start; those that overlap a base span are left out."""
+    found = []
+    if DIGIT.search(text):
+        found += [(m, "ssn") for m in SSN.finditer(text)] + [(m, "local_phone") for m in LOCAL_PHONE.finditer(text)] + [(m, "iban") for m in IBAN.finditer(text)]
+    if "at" in text and any(c in text for c in "[({"):
+        found += [(m, "hidden_email") for m in HIDDEN_EMAIL.finditer(text)]
+    found += [(m, "person") for m in PERSON.finditer(text)]
+    spans = [(m.start(), m.end(), kind) for m, kind in found if not any(m.start() < b and a < m.end() for a, b, _ in taken)]
+    return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
 def estimate_reliability(counts: dict[str, int], rounds: int = 50, prior: float = 0.5) -> tuple[dict[str, float], np.ndarray]:
@@ -179,9 +209,9 @@ def train_classifier(rows: list[tuple[str, float, float]], steps: int = 400) ->
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """One row per input row: doc_id, base, found: arrays of (s, e, kind, p) by start, then kind.
 
-    Offsets are code points, ends exclusive; ``p`` is 1 for base spans, else the classifier's word, at
-    least ``threshold``. Null text counts as empty and has no spans; repeated rows and null ids keep a
-    row each; an empty table gives none; with no proposals nothing is trained; other columns are not read.
+    Offsets are code points, ends exclusive; ``p`` is the classifier's word, at least ``threshold`` but
+    for base spans, which stay whatever it is. Null text counts as empty and has no spans; repeated rows and null
+    ids keep a row each; an empty table gives none; without any span nothing is trained; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("kind", pa.string()), ("votes", pa.string()), ("looks", pa.string())]))
@@ -191,29 +221,25 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
             out = []
             for t in b["text"]:
                 text = t.as_py()
-                base = base_spans(text)
-                more = proposals(text, base)
-                out.append([{"s": s, "e": e, "kind": k, "votes": None, "looks": None} for s, e, k in base] + [{"s": s, "e": e, "kind": k, "votes": v, "looks": x} for s, e, k, v, x in more])
+                base, missed = scan(text)
+                spans = voted(text, [*base, *missed, *proposals(text, base)])
+                out.append([{"s": s, "e": e, "kind": k, "votes": v, "looks": x} for s, e, k, v, x in spans])
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(out, span)], ["doc_id", "spans"])
 
     kind = "array<struct<s:int,e:int,kind:string,votes:string,looks:string>>"
     seen = saved(rows.mapInArrow(run, f"doc_id long, spans {kind}"), "pii-spans")
     # Distinct (votes, looks) pairs are bounded by the labelers and the looks, not by the texts.
-    tally = seen.select(F.explode("spans").alias("x")).filter("x.votes is not null").groupBy("x.votes", "x.looks").agg(F.count(F.lit(1)).alias("n")).collect()
+    tally = seen.select(F.explode("spans").alias("x")).groupBy("x.votes", "x.looks").agg(F.count(F.lit(1)).alias("n")).collect()
     counts: dict[str, int] = {}
     for r in tally:
         counts[r["votes"]] = counts.get(r["votes"], 0) + r["n"]
     posterior, _ = estimate_reliability(counts)
     weight = train_classifier(sorted((r["looks"], posterior[r["votes"]], float(r["n"])) for r in tally))
     score = {r["looks"]: 1 / (1 + np.exp(-(weight[""] + sum(weight[t] for t in r["looks"].split())))) for r in tally}
-    p = F.lit(1.0)
-    if score:
-        table = F.create_map(*(x for k in sorted(score) for x in (F.lit(k), F.lit(float(score[k])))))
-        told = lambda x: F.when(x["votes"].isNull(), p).otherwise(F.element_at(table, x["looks"]))
-    else:
-        told = lambda x: p
+    table = F.create_map(*(x for k in sorted(score) for x in (F.lit(k), F.lit(float(score[k]))))) if score else F.create_map().cast("map<string,double>")
+    told = lambda x: F.try_element_at(table, x["looks"])
     order = F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))))
     judged = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), order[x["kind"]].alias("o"), x["e"].alias("e"), x["kind"].alias("kind"), told(x).alias("p")))
-    judged = F.filter(F.array_sort(judged), lambda x: x["p"] >= threshold)
+    judged = F.filter(F.array_sort(judged), lambda x: x["kind"].isin(*BASE_KINDS) | (x["kind"].isin(*MORE_KINDS) & (x["p"] >= threshold)))
     found = F.transform(judged, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), x["p"].alias("p")))
     return seen.select("doc_id", found.alias("found")).select("doc_id", F.filter("found", lambda x: x["kind"].isin(*BASE_KINDS)).alias("base"), "found")
