@@ -10,7 +10,7 @@ which gives the same posteriors as going word by word.
 from __future__ import annotations
 
 import re
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import saved
+from weirlake.llm.common import once_a_worker, saved
 
 #: Bounds of the fitting sample: documents of each language, and characters of one of them.
 SAMPLE_DOCS = 300
@@ -26,7 +26,7 @@ SAMPLE_CHARS = 20_000
 FEATURES = 1 << 17
 #: A table of so many language names at most is broadcast.
 MOST_LANGS = 10_000
-MOST_WORDS = 150_000
+MOST_WORDS = 300_000
 #: Words chained at once in a worker.
 CHAIN = 400_000
 BLOCK = 128
@@ -37,12 +37,46 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def features_of(word: str) -> list[int]:
-    """Hashed prefixes, suffixes, character trigrams and the word itself; of very long words both ends."""
-    w = word if len(word) <= 40 else word[:20] + word[-20:]
-    edge = f"^{w}$"
-    names = [f"w{w}", *(f"p{w[:k]}" for k in (1, 2, 3)), *(f"s{w[-k:]}" for k in (1, 2, 3, 4)), *(f"c{c}" for c in set(w) if c > "\x7f"), *(f"g{edge[i : i + 3]}" for i in range(len(edge) - 2))]
-    return [zlib.crc32(x.encode("utf-8", "replace")) % FEATURES for x in dict.fromkeys(names)]
+def features_of(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashed features as (words that have it, hash) for each kind and place; a word is there once at most.
+
+    Kinds are the word itself, prefixes up to 3, suffixes up to 4, character trigrams with the word's
+    edges, and each character beyond ASCII. Of words over 40 characters both ends count.
+    """
+    short = [f"^{w if len(w) <= 40 else w[:20] + w[-20:]}$" for w in words]
+    size = np.fromiter(map(len, short), np.int64, len(short))
+    width = int(size.max(initial=0))
+    code = np.array(short, dtype=f"U{max(width, 1)}").view(np.uint32).reshape(len(short), -1).astype(np.uint64)
+    every = np.arange(len(short))
+
+    def mixed(kind: int, *parts) -> np.ndarray:
+        h = np.uint64((kind + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        for x in parts:
+            h = (h ^ x) * np.uint64(0xC2B2AE3D27D4EB4F)
+            h = h ^ (h >> np.uint64(29))
+        return (h % np.uint64(FEATURES)).astype(np.int64)
+
+    whole = np.zeros(len(short), np.uint64)
+    for i in range(width):
+        has = size > i
+        whole[has] = whole[has] * np.uint64(0x100000001B3) ^ code[has, i]
+    out = [(every, mixed(0, whole))]
+    for k in (1, 2, 3):
+        rows = every[size >= k + 2]
+        if len(rows):
+            out.append((rows, mixed(k, *(code[rows, 1 + i] for i in range(k)))))
+    for k in (1, 2, 3, 4):
+        rows = every[size >= k + 2]
+        if len(rows):
+            out.append((rows, mixed(10 + k, *(code[rows, size[rows] - 1 - k + i] for i in range(k)))))
+    for i in range(width - 2):
+        rows = every[size > i + 2]
+        out.append((rows, mixed(20, code[rows, i], code[rows, i + 1], code[rows, i + 2])))
+    for i in range(1, width):
+        rows = every[(size > i) & (code[:, i] > 127)]
+        if len(rows):
+            out.append((rows, mixed(30, code[rows, i])))
+    return out
 
 
 def _sequences(texts: dict[str, list[list[str]]], langs: list[str], rng, count: int, length: int):
@@ -72,9 +106,10 @@ def fit_crf(texts: dict[str, list[str]], epochs: int = 4, count: int = 1200, len
         return langs, np.zeros((FEATURES, 0)), np.zeros((0, 0)), np.zeros(0)
     xs, y = _sequences(docs, langs, rng, count, length)
     vocab = {w: i for i, w in enumerate(dict.fromkeys(w for x in xs for w in x))}
-    feats = [features_of(w) for w in vocab]
-    start = np.cumsum([0, *map(len, feats)])
-    flat = np.concatenate([np.array(f) for f in feats])
+    feats = features_of(list(vocab))
+    of, flat = np.concatenate([r for r, _ in feats]), np.concatenate([h for _, h in feats])
+    order = np.argsort(of, kind="stable")
+    flat, start = flat[order], np.r_[0, np.cumsum(np.bincount(of, minlength=len(vocab)))]
     ids = np.array([[vocab[w] for w in x] for x in xs])
     weight, trans, first = np.zeros((FEATURES, size)), np.zeros((size, size)), np.zeros(size)
     sq_w, sq_t, sq_f = np.full_like(weight, 1e-6), np.full_like(trans, 1e-6), np.full_like(first, 1e-6)
@@ -180,7 +215,9 @@ class Labeller:
         table = self.table
         fresh = [w for w in dict.fromkeys(words) if w not in table]
         if fresh:
-            rows = np.stack([self.weight[features_of(w)].sum(0, dtype="float64") for w in fresh])
+            rows = np.zeros((len(fresh), len(self.langs)))
+            for who, h in features_of(fresh):
+                rows[who] += self.weight[h]
             rows = np.exp(np.maximum(rows - rows.max(1, keepdims=True), -30))
             for i, w in enumerate(fresh, len(table)):
                 table[w] = i
@@ -250,10 +287,14 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.struct(F.lit(True).alias("_"), *(F.col(c) for c in carry)).alias("carried"),
     )
     model = model or fit_languages(rows)
-    model = docs.sparkSession.sparkContext.broadcast(model)
+    model, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(model.value)
+        held = once_a_worker("labeller", dict)
+        if held.get("id") != token:
+            held.clear()
+            held |= {"id": token, "labeller": Labeller(model.value)}
+        labeller = held["labeller"]
         langs = labeller.langs
         for b in batches:
             pred, score, shares = [], [], []
