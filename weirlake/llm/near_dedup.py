@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import saved
+from weirlake.llm.common import once_a_worker, saved
 
 #: Pairs of minhashes in each collection; tables are their product.
 SIDE = 8
@@ -85,6 +85,11 @@ class Shingler:
         return (low >> np.uint64(32)).astype(np.uint32)
 
 
+def _shingler(words: int) -> Shingler:
+    """A worker's own shingler: its word table serves all its tasks."""
+    return once_a_worker(f"shingler {words}", lambda: Shingler(words))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -93,7 +98,7 @@ def signatures(rows: DataFrame, words: int) -> DataFrame:
     """(doc_id, n, k1, k2, sig): set size, 128-bit hash of the set, and its minhashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler(words)
+        make = _shingler(words)
         for b in batches:
             n, k1, k2, sig = [], [], [], []
             for t in b["text"]:
@@ -182,7 +187,7 @@ def _texts_of(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     found = asked.mapInArrow(pick, "doc_id long, z binary").join(nodes.select("doc_id", "node", "k1", "k2"), "doc_id")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler(words)
+        make = _shingler(words)
         for b in batches:
             ok = []
             for z, k1, k2 in zip(b["z"], b["k1"].to_pylist(), b["k2"].to_pylist(), strict=True):
@@ -209,7 +214,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     both = spread.join(right, "b").join(left, ["a", "salt"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, last, own = Shingler(words), None, None
+        make, last, own = _shingler(words), None, None
         for b in batches:
             ok = []
             for a, za, zb in zip(b["a"].to_pylist(), b["za"], b["zb"], strict=True):
@@ -237,7 +242,7 @@ def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, count = Shingler(words), np.zeros(SKETCH, np.int64)
+        make, count = _shingler(words), np.zeros(SKETCH, np.int64)
         for b in batches:
             for z in b["z"]:
                 np.add.at(count, _cell(make.set_of(zlib.decompress(z.as_py()))), 1)
@@ -259,7 +264,7 @@ def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
     common = texts.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler(words)
+        make = _shingler(words)
         for b in batches:
             token, node, pos, n = [], [], [], []
             for k, z in zip(b["node"].to_pylist(), b["z"], strict=True):
