@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from weirlake.functions.bind import let
+
 #: Characters that compatibility normalisation surely leaves alone.
 _STABLE = r"\x00-\x7F¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
@@ -71,13 +73,15 @@ def score_text(cleaned: Column) -> Column:
     """0 to 1 from the share of letters, the share of distinct words and the length."""
     n = F.char_length(cleaned)
     words = F.filter(F.split(fold(cleaned), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
-    total = F.size(words)
-    alpha = (n - F.char_length(F.regexp_replace(cleaned, r"\p{L}+", ""))) / F.greatest(n, F.lit(1))
-    unique = F.size(F.array_distinct(words)) / F.greatest(total, F.lit(1))
     length = F.least(F.lit(1.0), F.log10(F.greatest(n, F.lit(10)).cast("double")) / 4.0)
-    value = 0.45 * alpha + 0.35 * F.least(F.lit(1.0), unique * 2.0) + 0.20 * length
-    scored = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)), 4)
-    return F.when(F.coalesce(n, F.lit(0)) == 0, 0.0).when((n < 80) | (total < 12), 0.15).otherwise(scored)
+
+    def score(w: Column) -> Column:
+        alpha = (n - F.char_length(F.regexp_replace(cleaned, r"\p{L}+", ""))) / F.greatest(n, F.lit(1))
+        unique = F.size(F.array_distinct(w)) / F.greatest(F.size(w), F.lit(1))
+        value = 0.45 * alpha + 0.35 * F.least(F.lit(1.0), unique * 2.0) + 0.20 * length
+        return F.when(F.size(w) < 12, 0.15).otherwise(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)), 4))
+
+    return F.when(F.coalesce(n, F.lit(0)) == 0, 0.0).when(n < 80, 0.15).otherwise(let(words, score))
 
 
 def acceptable(score: Column, threshold: float = LEAST_QUALITY) -> Column:
@@ -155,16 +159,19 @@ def keyword_scores(text: Column, taxonomy: dict[str, tuple[str, ...]]) -> Column
 
     Counts do not overlap and word boundaries do not matter. Topics without a hit are left out.
     """
-    low = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
-    count = lambda w: ((F.char_length(low) - F.char_length(F.replace(low, F.lit(w), F.lit("")))) / len(w)).cast("int")
-    hits = []
-    for name, words in taxonomy.items():
-        total = count(words[0])
-        for w in words[1:]:
-            total = total + count(w)
-        hits.append(F.struct((-total).alias("minus"), F.lit(name).alias("name")))
-    found = F.filter(F.array_sort(F.array(*hits)), lambda x: x["minus"] < 0)
-    return F.transform(found, lambda x: F.struct((-x["minus"]).alias("score"), x["name"].alias("name")))
+
+    def scores(low: Column) -> Column:
+        count = lambda w: ((F.char_length(low) - F.char_length(F.replace(low, F.lit(w), F.lit("")))) / len(w)).cast("int")
+        hits = []
+        for name, words in taxonomy.items():
+            total = count(words[0])
+            for w in words[1:]:
+                total = total + count(w)
+            hits.append(F.struct((-total).alias("minus"), F.lit(name).alias("name")))
+        found = F.filter(F.array_sort(F.array(*hits)), lambda x: x["minus"] < 0)
+        return F.transform(found, lambda x: F.struct((-x["minus"]).alias("score"), x["name"].alias("name")))
+
+    return let(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " ")), scores)
 
 
 def infer_domains(source_domain: Column, text: Column, taxonomy: dict[str, tuple[str, ...]]) -> Column:
@@ -172,14 +179,17 @@ def infer_domains(source_domain: Column, text: Column, taxonomy: dict[str, tuple
 
     Otherwise the best topic leads with 0.65 and 0.05 a hit, up to six; without any hit: multidomain, 0.5.
     """
-    scores = keyword_scores(text, taxonomy)
     names = lambda xs: F.transform(xs, lambda x: x["name"])
     fixed = (F.coalesce(source_domain, F.lit("")) != "") & (source_domain != "multidomain")
-    best = F.get(scores, F.lit(0))
-    open_ = F.struct(best["name"].alias("primary"), names(F.slice(scores, 2, 3)).alias("secondary"), F.least(F.lit(0.98), 0.65 + F.least(best["score"], F.lit(6)) * 0.05).alias("confidence"))
-    none = F.struct(F.lit("multidomain").alias("primary"), F.array().cast("array<string>").alias("secondary"), F.lit(0.5).alias("confidence"))
-    own = F.struct(source_domain.alias("primary"), F.slice(F.filter(names(scores), lambda n: n != source_domain), 1, 3).alias("secondary"), F.lit(1.0).alias("confidence"))
-    return F.when(fixed, own).when(F.size(scores) == 0, none).otherwise(open_)
+
+    def chosen(scores: Column) -> Column:
+        best = F.get(scores, F.lit(0))
+        open_ = F.struct(best["name"].alias("primary"), names(F.slice(scores, 2, 3)).alias("secondary"), F.least(F.lit(0.98), 0.65 + F.least(best["score"], F.lit(6)) * 0.05).alias("confidence"))
+        none = F.struct(F.lit("multidomain").alias("primary"), F.array().cast("array<string>").alias("secondary"), F.lit(0.5).alias("confidence"))
+        own = F.struct(source_domain.alias("primary"), F.slice(F.filter(names(scores), lambda n: n != source_domain), 1, 3).alias("secondary"), F.lit(1.0).alias("confidence"))
+        return F.when(fixed, own).when(F.size(scores) == 0, none).otherwise(open_)
+
+    return let(keyword_scores(text, taxonomy), chosen)
 
 
 #: Document types in order of precedence, with their keywords (fixed values).
@@ -209,10 +219,14 @@ def infer_document_type(url: Column, text: Column, default: str = "OTHER", rules
     norm = lambda c: F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"\s+", " "))
     hay = F.concat(F.lit(" "), norm(url), F.lit(" "), norm(F.left(text, F.lit(12000))), F.lit(" "))
     either = lambda c, words: F.greatest(*(c.contains(w) for w in words)) if len(words) > 1 else c.contains(words[0])
-    out = None
-    for name, words in rules:
-        out = F.when(either(hay, words), name) if out is None else out.when(either(hay, words), name)
-    return out.when(either(norm(url), DATASET_TOKENS), "DATASET").otherwise(default)
+
+    def first(h: Column) -> Column:
+        out = None
+        for name, words in rules:
+            out = F.when(either(h, words), name) if out is None else out.when(either(h, words), name)
+        return out.when(either(norm(url), DATASET_TOKENS), "DATASET").otherwise(default)
+
+    return let(hay, first)
 
 
 def search_terms(query: str) -> list[str]:

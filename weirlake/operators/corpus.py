@@ -8,23 +8,25 @@ import json
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weirlake.functions.bind import once
 from weirlake.functions.text import LEAST_QUALITY, chunk_id, chunks, clean_text, fingerprint, score_text
 
 
 def scored(rows: DataFrame, text: str = "text", full_fold: bool = False) -> DataFrame:
     """``rows`` with ``cleaned``, ``quality`` and ``fingerprint``."""
-    out = rows.withColumn("cleaned", clean_text(F.col(text)))
-    return out.withColumn("quality", score_text(F.col("cleaned"))).withColumn("fingerprint", fingerprint(F.col("cleaned"), full_fold))
+    out = once(rows, {"cleaned": clean_text(F.col(text))})
+    return once(out, {"quality": score_text(F.col("cleaned")), "fingerprint": fingerprint(F.col("cleaned"), full_fold)})
 
 
 def first_copies(rows: DataFrame, order: str, key: str = "fingerprint") -> DataFrame:
     """The first row in ``order`` (a unique column) of each key.
 
-    Keys combine map-side to their least order value, so a key with very many copies costs a row a
-    task; the rows themselves move once, by the order value.
+    Rows combine map-side to the least of each key, so a key with very many copies costs a row a task, and
+    what ``rows`` computes is computed once.
     """
-    first = rows.groupBy(key).agg(F.min(order).alias(order))
-    return rows.join(first, [key, order], "left_semi")
+    rest = [c for c in rows.columns if c not in (key, order)]
+    least = rows.groupBy(key).agg(F.min(F.struct(order, *rest)).alias("_first"))
+    return least.select(*(F.col(key) if c == key else F.col(f"_first.{c}").alias(c) for c in rows.columns))
 
 
 def global_rank(rows: DataFrame, order: str, width: int = 10_000) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirlake.functions.bind import once
 from weirlake.functions.scoring import present, qualification_score, qualification_status
 from weirlake.functions.text import infer_document_type, infer_domains
 from weirlake.functions.urls import normalize_repository_url
@@ -92,7 +93,7 @@ def source_metadata(sources: DataFrame, country_code: str, country_name: str) ->
 def classified_documents(documents: DataFrame, metadata: DataFrame, taxonomy: dict[str, tuple[str, ...]]) -> DataFrame:
     """Documents (source_id, url, text) with their source's metadata, refined by what the text says."""
     both = documents.join(metadata, "source_id")
-    found = both.withColumn("_d", infer_domains(F.col("source_domain"), F.col("text"), taxonomy))
+    found = once(both, {"_d": infer_domains(F.col("source_domain"), F.col("text"), taxonomy)})
     kind = infer_document_type(F.col("url"), F.col("text"), "")
     return found.withColumns({
         "primary_domain": F.col("_d.primary"), "secondary_domains_json": F.to_json("_d.secondary"), "classification_confidence": F.col("_d.confidence"),

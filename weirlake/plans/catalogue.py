@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.functions import markup, scoring, text, urls, versions
+from weirlake.functions.bind import once
 from weirlake.operators import audit, changes, claims, corpus, ledger, stages, technologies
 from weirlake.plans import tables as t
 from weirlake.plans.query import search_documents
@@ -60,7 +61,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("doc_clean_stats", f"SELECT doc_id, length(c) AS n_chars, md5(c) AS digest FROM ({_CLEANED})")
 def doc_clean_stats(spark, sf_dir):
-    c = _docs(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("c"))
+    c = once(_docs(spark, sf_dir), {"c": text.clean_text(F.col("text"))})
     return c.select("doc_id", F.char_length("c").cast("long").alias("n_chars"), F.md5(F.encode("c", "UTF-8")).alias("digest"))
 
 
@@ -100,7 +101,7 @@ def _chunk_sql(size: int, overlap: int) -> str:
 
 
 def _chunks(spark, sf_dir, size, overlap):
-    rows = _docs(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+    rows = once(_docs(spark, sf_dir), {"cleaned": text.clean_text(F.col("text"))})
     out = corpus.chunked(rows, "doc_id", size=size, overlap=overlap)
     return out.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), "chunk_id", F.col("n_chars").cast("long").alias("n_chars"), F.md5(F.encode("chunk", "UTF-8")).alias("digest"))
 
@@ -124,7 +125,7 @@ def _topic_sql() -> str:
 
 @query("doc_domains", _topic_sql())
 def doc_domains(spark, sf_dir):
-    found = _docs(spark, sf_dir).select("doc_id", text.infer_domains(F.lit("multidomain"), F.col("text"), TOPICS).alias("d"))
+    found = once(_docs(spark, sf_dir), {"d": text.infer_domains(F.lit("multidomain"), F.col("text"), TOPICS)})
     return found.select("doc_id", F.col("d.primary").alias("primary_domain"), F.array_join("d.secondary", ",").alias("secondary"), "d.confidence")
 
 
