@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType
 from weirlake.functions.bind import let
 
 #: Characters that compatibility normalisation surely leaves alone.
-_STABLE = r"\x00-\x7F¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž"
+_STABLE = r"¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 #: White space other than line feeds that may be left at a line's ends.
 _SPACE = r"[\t\x0b\x0c\r \x85   -     　]"
@@ -33,9 +33,15 @@ def _casefold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else t.casefold())
 
 
+def _may_change(text: Column) -> Column:
+    """Whether normalisation may change a text; only its characters beyond ASCII go through the long class."""
+    beyond = F.regexp_replace(text, r"[\x00-\x7F]+", "")
+    return F.when(F.octet_length(text) == F.char_length(text), False).otherwise(beyond.rlike(f"[^{_STABLE}]"))
+
+
 def normalized(text: Column) -> Column:
     """NFKC form; texts of stable characters never leave the JVM."""
-    return F.coalesce(_nfkc(F.when(text.rlike(f"[^{_STABLE}]"), text)), text)
+    return F.coalesce(_nfkc(F.when(_may_change(text), text)), text)
 
 
 def clean_native(text: Column) -> Column:
