@@ -31,6 +31,15 @@ def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
     return split.withColumn("words", F.slice("words", first + 1, F.greatest(F.size("words") - first - last, F.lit(0))))
 
 
+def each(words: str = "words"):
+    """Explodes an array column without naming it as it is.
+
+    Exploding a bare column makes Catalyst infer a filter on its size, and the filter, pushed below, computes the
+    column several times over.
+    """
+    return F.explode(F.slice(words, 1, F.size(words)))
+
+
 def windows_of(items: DataFrame, size: int) -> DataFrame:
     """(item_id, win, n): each run of ``size`` consecutive item words, or the whole of a shorter item."""
     words = with_words(items.select("item_id", "text")).filter(F.size("words") > 0)
@@ -48,7 +57,7 @@ def anchored(windows: DataFrame, docs: DataFrame) -> DataFrame:
     asked = spoken.select("term").distinct()
     # Counted before the join, so each task sends a word once, however often its texts have it. A
     # semi-join here would be pushed below the count and send every word.
-    count = with_words(docs.select("text")).select(F.explode("words").alias("term")).groupBy("term").count()
+    count = with_words(docs.select("text")).select(each().alias("term")).groupBy("term").count()
     known = saved(count.join(asked, "term"), "terms")
     rarest = F.min_by(F.struct("term", "offset"), F.struct("count", "offset")).alias("a")
     return (
