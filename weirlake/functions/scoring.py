@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weirlake.functions.bind import let
 from weirlake.functions.urls import canonical_documentation_url, hosts_related, is_http, normalize_repository_url, part
 
 OFFICIAL_PROVIDERS = ("minist", "direction", "anstat", "bceao", "gouv", "office", "autorité", "autorite")
@@ -53,19 +54,29 @@ def source_score(priority: Column, provider: Column, rights: Column, domain: Col
     return F.round(F.least(F.lit(1.0), score), 4)
 
 
-def officiality(registry_repo: Column, deps_repo: Column, homepage: Column, docs: Column, version: Column) -> Column:
-    """(score, evidence)."""
-    match = present(deps_repo) & present(registry_repo) & normalize_repository_url(deps_repo).eqNullSafe(normalize_repository_url(registry_repo))
-    points = lambda c, n: F.when(c, n).otherwise(0)
-    score = (
-        points(present(registry_repo), 40) + points(match, 30) + points(present(deps_repo) & ~match, 10)
-        + points(present(homepage), 5) + points(present(docs), 15) + points(present(version), 10)
-    )
-    evidence = listed(
+def _points(condition: Column, n: int) -> Column:
+    return F.when(condition, n).otherwise(0)
+
+
+def _evidence(registry_repo: Column, deps_repo: Column, match: Column, homepage: Column, docs: Column, version: Column) -> Column:
+    return listed(
         (present(registry_repo), "REGISTRY_REPOSITORY"), (match, "DEPS_DEV_REPOSITORY_MATCH"), (present(deps_repo) & ~match, "DEPS_DEV_REPOSITORY"),
         (present(homepage), "HOMEPAGE"), (present(docs), "DOCUMENTATION_URL"), (present(version), "STABLE_VERSION"),
     )
-    return F.struct(F.least(score, F.lit(100)).alias("score"), evidence.alias("evidence"))
+
+
+def officiality(registry_repo: Column, deps_repo: Column, homepage: Column, docs: Column, version: Column) -> Column:
+    """(score, evidence)."""
+    same = present(deps_repo) & present(registry_repo) & normalize_repository_url(deps_repo).eqNullSafe(normalize_repository_url(registry_repo))
+
+    def scored(match: Column) -> Column:
+        score = (
+            _points(present(registry_repo), 40) + _points(match, 30) + _points(present(deps_repo) & ~match, 10)
+            + _points(present(homepage), 5) + _points(present(docs), 15) + _points(present(version), 10)
+        )
+        return F.struct(F.least(score, F.lit(100)).alias("score"), _evidence(registry_repo, deps_repo, match, homepage, docs, version).alias("evidence"))
+
+    return let(same, scored)
 
 
 def officiality_status(score: Column) -> Column:
@@ -103,44 +114,65 @@ def qualification_status(stable: Column, repository: Column, native: Column, sco
 
 def authority_decision(native_repo: Column, eco_repo: Column, deps_repo: Column, homepage: Column, docs: Column, stable: Column, has_native: Column, errors: Column) -> Column:
     """(repository, alternate, match, conflict, score, status, evidence) from three sources' repositories."""
-    n, e, d = (normalize_repository_url(c) for c in (native_repo, eco_repo, deps_repo))
     yes = lambda c: F.coalesce(c, F.lit(False))
-    match = yes(n == e) | yes(n == d)
-    conflict = yes(n != e) | yes(n != d) | yes(e != d)
-    repo = F.coalesce(n, e, d)
-    alternate = F.when(yes(e != repo), e).when(yes(d != repo), d)
-    corroborating = F.when(match, n).when(yes(e == d), e)
-    base = officiality(repo, corroborating, homepage, docs, stable)
-    raised = F.when(has_native, F.least(F.lit(100), base["score"] + 10)).otherwise(base["score"])
-    score = F.when(conflict, F.least(raised, F.lit(79))).otherwise(raised)
-    status = (
-        F.when(conflict, "AUTHORITY_CONFLICT").when((score >= 80) & match, "AUTHORITY_VERIFIED")
-        .when(F.coalesce(errors, F.lit(0)) > 0, "AUTHORITY_PARTIAL_RETRY").when(score >= 55, "AUTHORITY_PROBABLE").otherwise("AUTHORITY_REVIEW")
-    )
-    evidence = F.array_distinct(F.concat(
-        listed((has_native, "NATIVE_REGISTRY_METADATA_REUSED")), base["evidence"],
-        listed((yes(n == e), "ECOSYSTEMS_REPOSITORY_MATCH"), (yes(n == d), "DEPSDEV_REPOSITORY_MATCH"), (conflict, "REPOSITORY_CONFLICT")),
-    ))
-    return F.struct(
-        repo.alias("repository"), alternate.alias("alternate"), match.alias("match"), conflict.alias("conflict"), score.alias("score"),
-        status.alias("status"), evidence.alias("evidence"),
-    )
+    repos = F.struct(*(normalize_repository_url(c).alias(n) for n, c in (("n", native_repo), ("e", eco_repo), ("d", deps_repo))))
+
+    def compared(r: Column) -> Column:
+        n, e, d = r["n"], r["e"], r["d"]
+        repo, match = F.coalesce(n, e, d), yes(n == e) | yes(n == d)
+        return F.struct(
+            repo.alias("repository"), F.when(yes(e != repo), e).when(yes(d != repo), d).alias("alternate"), match.alias("match"), (yes(n != e) | yes(n != d) | yes(e != d)).alias("conflict"),
+            F.when(match, n).when(yes(e == d), e).alias("corroborating"), yes(n == e).alias("by_eco"), yes(n == d).alias("by_deps"),
+        )
+
+    def decided(c: Column) -> Column:
+        # The repositories are normalised by now, so they are compared as they are.
+        same = present(c["corroborating"]) & (c["corroborating"] == c["repository"])
+        base = F.struct(
+            F.least(F.lit(100), _points(present(c["repository"]), 40) + _points(same, 30) + _points(present(c["corroborating"]) & ~same, 10) + _points(present(homepage), 5) + _points(present(docs), 15) + _points(present(stable), 10)).alias("score"),
+            _evidence(c["repository"], c["corroborating"], same, homepage, docs, stable).alias("evidence"),
+        )
+        raised = F.when(has_native, F.least(F.lit(100), base["score"] + 10)).otherwise(base["score"])
+        score = F.when(c["conflict"], F.least(raised, F.lit(79))).otherwise(raised)
+        evidence = F.array_distinct(F.concat(
+            listed((has_native, "NATIVE_REGISTRY_METADATA_REUSED")), base["evidence"],
+            listed((c["by_eco"], "ECOSYSTEMS_REPOSITORY_MATCH"), (c["by_deps"], "DEPSDEV_REPOSITORY_MATCH"), (c["conflict"], "REPOSITORY_CONFLICT")),
+        ))
+        return F.struct(c.alias("c"), score.alias("score"), evidence.alias("evidence"))
+
+    def told(x: Column) -> Column:
+        c = x["c"]
+        status = (
+            F.when(c["conflict"], "AUTHORITY_CONFLICT").when((x["score"] >= 80) & c["match"], "AUTHORITY_VERIFIED")
+            .when(F.coalesce(errors, F.lit(0)) > 0, "AUTHORITY_PARTIAL_RETRY").when(x["score"] >= 55, "AUTHORITY_PROBABLE").otherwise("AUTHORITY_REVIEW")
+        )
+        return F.struct(
+            c["repository"].alias("repository"), c["alternate"].alias("alternate"), c["match"].alias("match"), c["conflict"].alias("conflict"),
+            x["score"].alias("score"), status.alias("status"), x["evidence"].alias("evidence"),
+        )
+
+    return let(let(let(repos, compared), decided), told)
 
 
 def documentation_target(docs: Column, website: Column, repository: Column) -> Column:
     """(url, kind, status, confidence): documentation, else website, else repository."""
-    d, w, r = canonical_documentation_url(docs), canonical_documentation_url(website), normalize_repository_url(repository)
+    urls = F.struct(canonical_documentation_url(docs).alias("d"), canonical_documentation_url(website).alias("w"), normalize_repository_url(repository).alias("r"))
     segments = lambda u: F.transform(F.slice(F.filter(F.split(part(u, "path"), "/"), lambda x: x != ""), 1, 2), F.lower)
-    on_github = (part(d, "host") == "github.com") & (part(r, "host") == "github.com") & (F.size(segments(d)) == 2) & (segments(d) == segments(r))
-    confidence = F.when(F.coalesce(on_github, F.lit(False)), "VERIFIED_REPOSITORY_RELATION").when(w.isNotNull() & hosts_related(d, w), "VERIFIED_WEBSITE_RELATION").otherwise("AUTHORITY_DERIVED")
     pick = lambda url, kind, status, conf: F.struct(url.alias("url"), F.lit(kind).alias("kind"), F.lit(status).alias("status"), conf.alias("confidence"))
     look = F.lit("DISCOVERY_REQUIRED")
-    return (
-        F.when(d.isNotNull(), pick(d, "DOCUMENTATION_URL", "READY_FOR_DOCS_CONNECTOR", confidence))
-        .when(w.isNotNull(), pick(w, "OFFICIAL_WEBSITE_DISCOVERY", "DOCS_DISCOVERY_REQUIRED", look))
-        .when(r.isNotNull() & is_http(r), pick(canonical_documentation_url(r), "CANONICAL_REPOSITORY_DISCOVERY", "DOCS_DISCOVERY_REQUIRED", look))
-        .otherwise(pick(F.lit(None).cast("string"), "MISSING", "DOCS_TARGET_MISSING", F.lit("MISSING")))
-    )
+
+    def chosen(u: Column) -> Column:
+        d, w, r = u["d"], u["w"], u["r"]
+        on_github = (part(d, "host") == "github.com") & (part(r, "host") == "github.com") & (F.size(segments(d)) == 2) & (segments(d) == segments(r))
+        confidence = F.when(F.coalesce(on_github, F.lit(False)), "VERIFIED_REPOSITORY_RELATION").when(w.isNotNull() & hosts_related(d, w), "VERIFIED_WEBSITE_RELATION").otherwise("AUTHORITY_DERIVED")
+        return (
+            F.when(d.isNotNull(), pick(d, "DOCUMENTATION_URL", "READY_FOR_DOCS_CONNECTOR", confidence))
+            .when(w.isNotNull(), pick(w, "OFFICIAL_WEBSITE_DISCOVERY", "DOCS_DISCOVERY_REQUIRED", look))
+            .when(r.isNotNull() & is_http(r), pick(canonical_documentation_url(r), "CANONICAL_REPOSITORY_DISCOVERY", "DOCS_DISCOVERY_REQUIRED", look))
+            .otherwise(pick(F.lit(None).cast("string"), "MISSING", "DOCS_TARGET_MISSING", F.lit("MISSING")))
+        )
+
+    return let(urls, chosen)
 
 
 def delivery_status(connector: Column, metadata_only: Column, rows: Column, raw_files: Column, document_files: Column) -> Column:

@@ -6,6 +6,7 @@ result as a new snapshot. Folding a batch at once equals folding its events one
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,26 +161,29 @@ def diff_events(diff: DataFrame) -> DataFrame:
 
 
 def transfer_plan(items: DataFrame, per_item: int, budget: int, by: str | None = None) -> DataFrame:
-    """(…, decision): items in order of ``ord`` are taken while they fit what is left of the budget.
+    """(…, item_id, decision): items in order of ``ord`` are taken while they fit what is left of the budget.
 
     Too large ones are skipped and ones that do not fit now are deferred, but later, smaller items may
     still fit, so this is a fold over a run's catalogue and not a running sum. Unknown sizes are taken
-    at no cost. ``by`` separates runs; a run is one catalogue and folds in one row.
+    at no cost. ``by`` (text) separates runs; each decision depends on all before it, so a run folds in one task.
     """
-    key = [F.col(by)] if by else [F.lit(0).alias("_run")]
-    listed = items.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", "item_id", "size"))).alias("x"))
-    start = F.struct(F.lit(budget).cast("long").alias("left"), F.array().cast("array<struct<item_id:string,decision:string>>").alias("out"))
-
-    def step(acc, x):
-        n = F.coalesce(x["size"], F.lit(0)).cast("long")
-        what = F.when(x["size"] > per_item, "SKIPPED_OVERSIZE").when(x["size"] > acc["left"], "DEFERRED_BUDGET").otherwise("TAKEN")
-        return F.struct(
-            F.when(what == "TAKEN", F.greatest(F.lit(0).cast("long"), acc["left"] - n)).otherwise(acc["left"]).alias("left"),
-            F.array_append(acc["out"], F.struct(x["item_id"].cast("string").alias("item_id"), what.alias("decision"))).alias("out"),
-        )
-
-    folded = listed.select(*([by] if by else []), F.explode(F.aggregate("x", start, step, lambda a: a["out"])).alias("d"))
-    return folded.select(*([by] if by else []), "d.item_id", "d.decision")
+    key = F.lit("") if by is None else F.col(by).cast("string")
+    rows = items.select(key.alias("run"), "ord", F.col("item_id").cast("string").alias("item_id"), F.col("size").cast("long").alias("size"))
+
+    def fold(table):
+        t, left, decisions = table.sort_by([("ord", "ascending"), ("item_id", "ascending")]), budget, []
+        for size in t["size"].to_pylist():
+            if size is not None and size > per_item:
+                decisions.append("SKIPPED_OVERSIZE")
+            elif size is not None and size > left:
+                decisions.append("DEFERRED_BUDGET")
+            else:
+                left -= max(0, size or 0)
+                decisions.append("TAKEN")
+        return t.select(["run", "item_id"]).append_column("decision", pa.array(decisions, pa.string()))
+
+    out = rows.groupBy("run").applyInArrow(fold, "run string, item_id string, decision string")
+    return out.drop("run") if by is None else out.withColumnRenamed("run", by)
 
 
 def fair_selection(candidates: DataFrame, group: str, order: list, limit: int, rotation: list[str] | None = None) -> DataFrame:

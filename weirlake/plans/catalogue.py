@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.functions import markup, scoring, text, urls, versions
@@ -29,14 +29,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def inline(name: str, columns: str, rows: list[tuple], outputs: Callable[[], dict], sql: dict[str, str]):
+def inline(name: str, columns: str, rows: list[tuple], outputs: Callable[[], dict], sql: dict[str, str], shared: Callable[[], Column] | None = None):
     """A query of column expressions over fixed rows; ``sql`` gives the expressions of the oracle.
 
-    Columns need a running session, so ``outputs`` makes them when the query is asked for.
+    Columns need a running session, so ``outputs`` makes them when the query is asked for. ``shared`` is
+    evaluated once, as ``shared``.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.createDataFrame(rows, columns).select(*(c.alias(n) for n, c in outputs().items()))
+        df = spark.createDataFrame(rows, columns)
+        df = once(df, {"shared": shared()}) if shared else df
+        return df.select(*(c.alias(n) for n, c in outputs().items()))
 
     QUERIES[name] = run
     ORACLES[name] = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in sql.items()) + f" FROM {t.values_sql(columns, rows)}"
@@ -307,10 +310,10 @@ def _score():
 
 
 inline("officiality", "id int, rr string, dr string, hp string, dc string, ver string", _EVIDENCE, lambda: {
-    "id": F.col("id"), "score": _score()["score"], "status": scoring.officiality_status(_score()["score"]), "n_evidence": F.size(_score()["evidence"]),
+    "id": F.col("id"), "score": F.col("shared")["score"], "status": scoring.officiality_status(F.col("shared")["score"]), "n_evidence": F.size(F.col("shared")["evidence"]),
 }, {
     "id": "id", "score": _OFFICIAL, "status": f"CASE WHEN {_OFFICIAL} >= 80 THEN 'VERIFIED_OFFICIAL' WHEN {_OFFICIAL} >= 55 THEN 'PROBABLE_OFFICIAL' WHEN {_OFFICIAL} >= 30 THEN 'CANDIDATE' ELSE 'UNVERIFIED' END",
-    "n_evidence": "(rr IS NOT NULL)::INT + (dr IS NOT NULL)::INT + (hp IS NOT NULL)::INT + (dc <> '')::INT + (ver IS NOT NULL)::INT"})
+    "n_evidence": "(rr IS NOT NULL)::INT + (dr IS NOT NULL)::INT + (hp IS NOT NULL)::INT + (dc <> '')::INT + (ver IS NOT NULL)::INT"}, _score)
 
 _REPOS = [None, "https://github.com/a/b", "https://github.com/c/d"]
 _CROSS = [(27 * v + 9 * i + 3 * j + k, _REPOS[i], _REPOS[j], _REPOS[k], "1.0" if v else None, v) for v in (0, 1) for i in range(3) for j in range(3) for k in range(3)]
@@ -324,10 +327,10 @@ _MATCH, _CONFLICT = "coalesce(n = e, FALSE) OR coalesce(n = d, FALSE)", "coalesc
 _RAW = f"least(100, (CASE WHEN coalesce(n, e, d) IS NOT NULL THEN 40 ELSE 0 END) + (CASE WHEN ({_MATCH}) OR coalesce(e = d, FALSE) THEN (CASE WHEN ({_MATCH}) OR coalesce(n, e, d) = e THEN 30 ELSE 10 END) ELSE 0 END) + 20 + (CASE WHEN ver IS NOT NULL THEN 10 ELSE 0 END) + 10)"
 _AUTH_SCORE = f"CASE WHEN {_CONFLICT} THEN least(79, {_RAW}) ELSE {_RAW} END"
 inline("authority_decisions", "id int, n string, e string, d string, ver string, errs int", _CROSS, lambda: {
-    "id": F.col("id"), "repository": _auth()["repository"], "match": _auth()["match"], "conflict": _auth()["conflict"], "score": _auth()["score"], "status": _auth()["status"],
+    "id": F.col("id"), "repository": F.col("shared")["repository"], "match": F.col("shared")["match"], "conflict": F.col("shared")["conflict"], "score": F.col("shared")["score"], "status": F.col("shared")["status"],
 }, {
     "id": "id", "repository": "coalesce(n, e, d)", "match": _MATCH, "conflict": _CONFLICT, "score": _AUTH_SCORE,
-    "status": f"CASE WHEN {_CONFLICT} THEN 'AUTHORITY_CONFLICT' WHEN ({_AUTH_SCORE}) >= 80 AND ({_MATCH}) THEN 'AUTHORITY_VERIFIED' WHEN errs > 0 THEN 'AUTHORITY_PARTIAL_RETRY' WHEN ({_AUTH_SCORE}) >= 55 THEN 'AUTHORITY_PROBABLE' ELSE 'AUTHORITY_REVIEW' END"})
+    "status": f"CASE WHEN {_CONFLICT} THEN 'AUTHORITY_CONFLICT' WHEN ({_AUTH_SCORE}) >= 80 AND ({_MATCH}) THEN 'AUTHORITY_VERIFIED' WHEN errs > 0 THEN 'AUTHORITY_PARTIAL_RETRY' WHEN ({_AUTH_SCORE}) >= 55 THEN 'AUTHORITY_PROBABLE' ELSE 'AUTHORITY_REVIEW' END"}, _auth)
 
 
 def _tgt():
@@ -337,10 +340,10 @@ def _tgt():
 inline("documentation_targets", "id int, dc string, w string, r string", [
     (1, "https://github.com/a/b/wiki", None, "git@github.com:A/b.git"), (2, "https://docs.x.org/", "https://x.org", None), (3, "https://y.io", "https://x.org", None), (4, None, "https://x.org/?utm_source=a", "https://github.com/a/b"),
     (5, "", None, "https://github.com/a/b"), (6, None, None, None),
-], lambda: {"id": F.col("id"), "url": _tgt()["url"], "kind": _tgt()["kind"], "confidence": _tgt()["confidence"]}, {
+], lambda: {"id": F.col("id"), "url": F.col("shared")["url"], "kind": F.col("shared")["kind"], "confidence": F.col("shared")["confidence"]}, {
     "id": "id", "url": "CASE id WHEN 1 THEN 'https://github.com/a/b/wiki' WHEN 2 THEN 'https://docs.x.org/' WHEN 3 THEN 'https://y.io/' WHEN 4 THEN 'https://x.org/' WHEN 5 THEN 'https://github.com/a/b' END",
     "kind": "CASE WHEN id < 4 THEN 'DOCUMENTATION_URL' WHEN id = 4 THEN 'OFFICIAL_WEBSITE_DISCOVERY' WHEN id = 5 THEN 'CANONICAL_REPOSITORY_DISCOVERY' ELSE 'MISSING' END",
-    "confidence": "CASE id WHEN 1 THEN 'VERIFIED_REPOSITORY_RELATION' WHEN 2 THEN 'VERIFIED_WEBSITE_RELATION' WHEN 3 THEN 'AUTHORITY_DERIVED' WHEN 6 THEN 'MISSING' ELSE 'DISCOVERY_REQUIRED' END"})
+    "confidence": "CASE id WHEN 1 THEN 'VERIFIED_REPOSITORY_RELATION' WHEN 2 THEN 'VERIFIED_WEBSITE_RELATION' WHEN 3 THEN 'AUTHORITY_DERIVED' WHEN 6 THEN 'MISSING' ELSE 'DISCOVERY_REQUIRED' END"}, _tgt)
 
 inline("file_formats", "id int, url string, ctype string", [
     (1, "https://x/a.CSV?x=1", ""), (2, "https://x/a", "text/csv"), (3, "https://x/a.bin", "application/json"), (4, "https://x/a", "application/vnd.ms-excel"), (5, "https://x/a.pdf", "application/pdf"), (6, "https://x/a", None), (7, "https://p.org/datasets/x.json", ""), (8, "https://x/a.parquet", "x"),
