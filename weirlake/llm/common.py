@@ -68,8 +68,19 @@ def bernoulli(row_id: Column, fraction: float) -> Column:
 
 
 def once_a_worker(key: str, make):
-    """What ``make`` returned the first time in this Python process; workers serve many tasks."""
-    held = sys.modules.setdefault("_weirlake_worker", types.ModuleType("_weirlake_worker")).__dict__
+    """What ``make`` returned the first time in this Python process; workers serve many tasks.
+
+    Only the last key's value is held, so that one operator's tables do not stay beside the next one's.
+    """
+    held = sys.modules.setdefault("_weirlake_worker", types.ModuleType("_weirlake_worker")).__dict__.setdefault("held", {})
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]
+
+
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Arrow batches of fewer rows where the session has Spark's default: rows here are whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))

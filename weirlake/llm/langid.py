@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker, saved
+from weirlake.llm.common import once_a_worker, saved, small_batches
 
 #: Bounds of the fitting sample: documents of each language, and characters of one of them.
 SAMPLE_DOCS = 300
@@ -282,6 +282,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     from; repeated rows keep a row each; ties go to the first name; other columns are not read, but for
     those of ``carry``, which come out unchanged as a struct ``carried``.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
         F.struct(F.lit(True).alias("_"), *(F.col(c) for c in carry)).alias("carried"),

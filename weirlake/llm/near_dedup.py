@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker, saved
+from weirlake.llm.common import once_a_worker, saved, small_batches
 
 #: Pairs of minhashes in each collection; tables are their product.
 SIDE = 8
@@ -352,6 +352,7 @@ def near_duplicates(
     no id stands for it. Rows that repeat an id are each judged by their own text. An empty table gives
     no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
     seen = saved(signatures(rows, words), "near-signatures")
     nodes = seen.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("doc_id"), F.max("sig").alias("sig"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import bernoulli, saved
+from weirlake.llm.common import bernoulli, saved, small_batches
 
 #: Rows of the fitting sample: trusted positives, and unlabelled rows. The only bounds here; scoring reads every row.
 POSITIVES = 6_000
@@ -106,6 +106,7 @@ def score_quality(
     each. With no positives to learn from every score is the estimated prior (0.5 without labels). An
     empty table gives no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality")).filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))

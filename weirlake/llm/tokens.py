@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker
+from weirlake.llm.common import once_a_worker, small_batches
 
 #: Words kept in each Python worker; the table starts anew when it is full.
 MOST_WORDS = 500_000
@@ -140,6 +140,7 @@ def count_tokens(
     inside a text count as one token. Null text counts as empty (0 tokens); repeated rows and null ids
     keep a row each; an empty table gives none; other columns are not read. Whole texts are counted.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
