@@ -481,6 +481,8 @@ def test_near_duplicate_edges(spark, docs, empty):
     null = sorted((r.n_shingles, r.component_id if r.component_id is not None else -1, r.kept) for r in got if r.doc_id is None)
     assert null[0] == (0, -1, True) and null[1][1] == 7 and not null[1][2]
     assert near_dedup.near_duplicates(spark, empty).count() == 0
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(spark, docs, 3, 70)
 
 
 def test_components_of_chains(spark):

@@ -352,6 +352,8 @@ def near_duplicates(
     no id stands for it. Rows that repeat an id are each judged by their own text. An empty table gives
     no rows; other columns are not read.
     """
+    if percent < 80:
+        raise ValueError("the tables and the minhash filter are laid out for similarities of 0.8 or more")
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
     seen = saved(signatures(rows, words), "near-signatures")
