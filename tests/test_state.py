@@ -111,10 +111,10 @@ def test_search_is_literal(spark):
 
 def test_csv_encodings_and_delimiters(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("﻿année;valeur\n2020;é\n".encode())
-    (tmp_path / "b.csv").write_bytes("nom|x\ncafé|1\n".encode("cp1252"))
+    (tmp_path / "b.csv").write_bytes("nom|x\ncafé €|1\n".encode("cp1252"))
     assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "a.csv")).collect()] == [("2020", "é")]
     assert files.read_csv(spark, str(tmp_path / "a.csv")).columns == ["année", "valeur"]
-    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "b.csv")).collect()] == [("café", "1")]
+    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "b.csv")).collect()] == [("café €", "1")]
     with pytest.raises(ValueError):
         files.sniff_csv(b"\nx")
 

@@ -43,9 +43,16 @@ def _head(spark: SparkSession, path: str) -> bytes:
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All cells as text; delimiter and encoding sniffed; a byte-order mark is no part of the header."""
     encoding, delimiter = sniff_csv(_head(spark, path))
-    name = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}[encoding]
+    name = "UTF-8" if encoding.startswith("utf-8") else "ISO-8859-1"
     df = spark.read.option("header", True).option("sep", delimiter).option("encoding", name).option("multiLine", True).option("escape", '"').csv(path)
-    return df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    df = df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
+    if encoding != "cp1252":
+        return df
+    # Spark reads no windows-1252; it differs from Latin-1 in the control range only.
+    there = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+    table = {b: bytes([b]).decode("cp1252") for b in there}
+    old, new = "".join(map(chr, there)), "".join(table.values())
+    return df.select(*(F.translate(F.col(f"`{c}`"), old, new).alias(c.translate(table)) for c in df.columns))
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
