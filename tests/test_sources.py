@@ -109,6 +109,17 @@ def test_crawl_is_breadth_first_and_bounded(spark):
     assert web.page_chunks(spark.createDataFrame([("u", "<p>" + "word " * 1000 + "</p>")], "url string, html string"), "s").count() == 2
 
 
+def test_crawl_counts_stored_pages_and_follows_long_chains(spark):
+    page = lambda to: "".join(f"<a href='/{x}'>x</a>" for x in to)
+    wide = [("https://h/seed", page(f"p{i:03}" for i in range(600))), *((f"https://h/p{i:03}", "") for i in range(500, 600))]
+    chain = [(f"https://h/c{i}", page([f"c{i + 1}"])) for i in range(53)]
+    pages = spark.createDataFrame(wide + chain, "url string, html string")
+    got = web.crawl(pages, "https://h/seed").collect()
+    assert len(got) == 101 and {r.depth for r in got} == {0, 1}
+    assert web.crawl(pages, "https://h/seed", most=40).count() == 40
+    assert sorted(r.depth for r in web.crawl(pages, "https://h/c0").collect()) == list(range(53))
+
+
 def test_documentation_discovery(spark):
     site = "<urlset><url><loc>https://d/docs/a?utm_source=x</loc><lastmod>2</lastmod></url><url><loc>https://d/blog/b</loc></url></urlset>"
     idx = spark.createDataFrame([("sitemap", "https://d/s.xml", site), ("llms", "https://d/l", "[a](https://d/docs/a) [b](https://d/docs/b)"), ("html", "https://d/docs/", "<a href='c'>c</a><a href='/docs/login'>l</a>")], "kind string, url string, body string")

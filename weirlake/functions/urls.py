@@ -171,7 +171,7 @@ def same_host_links(base: Column, hrefs: Column) -> Column:
         )
 
     skipped = "(?i)\\.(7z|avi|bin|bmp|css|doc|docx|dta|exe|gif|gz|ico|jpeg|jpg|js|mp3|mp4|odt|pbf|png|por|ppt|pptx|rar|rdata|rds|sas7bdat|sav|svg|tar|webp|woff|woff2|xpt|zip)$"
-    links = F.transform(F.filter(F.transform(hrefs, F.trim), lambda h: h != ""), lambda h: crawl_url(absolute(h)))
+    links = F.transform(F.filter(F.transform(hrefs, lambda h: F.trim(h)), lambda h: h != ""), lambda h: crawl_url(absolute(h)))
     ok = lambda u: part(u, "scheme").isin("http", "https") & (part(u, "host") == part(base, "host")) & ~is_upload_directory(u) & ~part(u, "path").rlike(skipped)
     return F.array_distinct(F.filter(links, ok))
 

@@ -20,26 +20,30 @@ def link_catalogue(pages: DataFrame, pattern: str = DOWNLOADS) -> DataFrame:
     return links.withColumn("is_download", part(F.col("url"), "path").rlike(pattern))
 
 
-def crawl(pages: DataFrame, seed: str, most: int = 500, deepest: int = 50) -> DataFrame:
+def crawl(pages: DataFrame, seed: str, most: int = 500) -> DataFrame:
     """(url, depth) of at most ``most`` pages of (url, html) reached from the seed by links on its host, breadth first.
 
-    The limit is the crawl's feature and bounds what a level holds; within a level urls come in order.
+    The limit is the crawl's feature and counts stored pages only; within a level urls come in order. Links to
+    pages that are not stored are left out before that, and a chain of links is followed to its end.
     """
     spark = pages.sparkSession
     known = pages.select(crawl_url(F.col("url")).alias("url"), "html").dropDuplicates(["url"])
-    edges = known.select("url", F.explode(same_host_links(F.col("url"), html_links(F.col("html")))).alias("to"))
-    seen, frontier = [], [seed]
-    for depth in range(deepest + 1):
-        level = spark.createDataFrame([(u,) for u in frontier], "url string")
-        here = [r.url for r in level.join(known.select("url"), "url", "left_semi").orderBy("url").limit(most - len(seen)).collect()]
-        seen += [(u, depth) for u in here]
-        if not here or len(seen) >= most:
-            break
-        done = spark.createDataFrame([(u,) for u, _ in seen], "to string")
-        step = edges.join(spark.createDataFrame([(u,) for u in here], "url string"), "url", "left_semi").select("to").distinct()
-        frontier = [r.to for r in step.join(done, "to", "left_anti").orderBy("to").limit(most - len(seen)).collect()]
-        if not frontier:
-            break
+    links = known.select("url", F.explode(same_host_links(F.col("url"), html_links(F.col("html")))).alias("to"))
+    # Asked once a level, so pages are parsed once.
+    edges = links.join(known.select(F.col("url").alias("to")), "to", "left_semi").persist()
+    named = lambda urls, name: spark.createDataFrame([(u,) for u in urls], f"{name} string")
+    try:
+        here = [r.url for r in known.select("url").join(named([seed], "url"), "url", "left_semi").collect()]
+        seen, depth = [], 0
+        while here:
+            seen += [(u, depth) for u in here]
+            depth += 1
+            if len(seen) >= most:
+                break
+            step = edges.join(named(here, "url"), "url", "left_semi").select("to").distinct()
+            here = [r.to for r in step.join(named((u for u, _ in seen), "to"), "to", "left_anti").orderBy("to").limit(most - len(seen)).collect()]
+    finally:
+        edges.unpersist()
     return spark.createDataFrame(seen, "url string, depth int")
 
 
