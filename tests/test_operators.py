@@ -1,0 +1,14 @@
+"""Operators on small tables, where the derived tables cannot show a case."""
+
+from weirlake.operators import audit
+
+
+def test_upstream_audit_keeps_first_errors_methods_and_totals(spark):
+    rows = [(1, f"a{i:02}", None, "GET" if i % 2 else None, 5, 1, 1, f"e{i}", 500 + i) for i in reversed(range(60))] + [(2, "b", "DOWNLOADED", "HEAD", 7, 3, 2, "", None), (None, "c", "DOWNLOADED", "HEAD", 1, 1, 1, "lost", 404)]
+    a = audit.upstream_audit(spark.createDataFrame(rows, "source_id int, artifact_id string, last_result string, method string, size_bytes int, last_checked int, last_downloaded int, error string, http_status int"))
+    got = {r.source_id: r for r in a.collect()}
+    assert [tuple(e) for e in got[1].first_errors] == [(f"a{i:02}", f"e{i}", 500 + i) for i in range(50)] and got[1].errors == 60
+    assert got[1].methods == {"GET": 30} and got[1].last_results == {"UNKNOWN": 60} and got[2].methods == {"HEAD": 1}
+    assert got[2].first_errors == [] and got[2].last_downloaded_bytes == 7 and [e.error for e in got[None].first_errors] == ["lost"]
+    total = audit.upstream_totals(a).first()
+    assert (total.sources, total.artifacts, total.errors, total.last_results) == (3, 62, 61, {"DOWNLOADED": 2, "UNKNOWN": 60})

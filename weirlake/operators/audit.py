@@ -6,7 +6,7 @@ lake but nothing here relies on it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirlake.functions.scoring import COVERAGE_WEIGHTS, PRIORITY_WEIGHTS, SEVERITY_RANK, case_map, issue_severity
@@ -34,22 +34,44 @@ def dimension_counts(rows: DataFrame, dimensions: list[str], sums: list[str] = (
 
 
 def upstream_audit(artifacts: DataFrame, most_errors: int = 50) -> DataFrame:
-    """Per source: artifacts, results, bytes of what was last downloaded, latest times, first errors by artifact."""
-    result = F.coalesce(F.col("last_result"), F.lit("UNKNOWN"))
-    per = artifacts.withColumn("last_result", result).groupBy("source_id", "last_result").agg(
+    """Per source: artifacts, counts a result and a method, bytes of what was last downloaded, latest times, errors.
+
+    ``errors`` counts all of a source's errors, ``first_errors`` holds the first ``most_errors`` by artifact as
+    (artifact_id, error, http_status). Artifacts without a method count in no method.
+    """
+    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    # A count for each pair of result and method is what both maps are folded from.
+    per = artifacts.groupBy("source_id", F.when(filled("last_result"), F.col("last_result")).otherwise("UNKNOWN").alias("last_result"), F.when(filled("method"), F.col("method")).alias("method")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("size_bytes", F.lit(0))).alias("bytes"),
         F.max("last_checked").alias("last_checked"), F.max("last_downloaded").alias("last_downloaded"),
     )
-    # A source may have any number of failed artifacts; only the first ones by id are carried, map-side too.
-    errors = artifacts.filter(F.coalesce(F.col("error"), F.lit("")) != "").groupBy("source_id").agg(
-        F.min("artifact_id").alias("first_error"), F.count(F.lit(1)).alias("errors")
-    )
+    counts = lambda k: F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, "n")))).alias(f"{k}s")
+    maps = [per.filter(F.col(k).isNotNull()).groupBy("source_id", k).agg(F.sum("n").alias("n")).groupBy("source_id").agg(counts(k)) for k in ("last_result", "method")]
     folded = per.groupBy("source_id").agg(
-        F.sum("n").alias("artifacts"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("last_result", "n")))).alias("last_results"),
-        F.sum(F.when(F.col("last_result") == "DOWNLOADED", F.col("bytes")).otherwise(0)).alias("last_downloaded_bytes"),
+        F.sum("n").alias("artifacts"), F.sum(F.when(F.col("last_result") == "DOWNLOADED", F.col("bytes")).otherwise(0)).alias("last_downloaded_bytes"),
         F.max("last_checked").alias("last_checked"), F.max("last_downloaded").alias("last_downloaded"),
     )
-    return folded.join(errors, "source_id", "left").fillna(0, ["errors"])
+    failed = artifacts.filter(filled("error"))
+    errors = failed.groupBy("source_id").agg(F.count(F.lit(1)).alias("errors"))
+    # A source may have any number of failed artifacts; the limit of the rank is pushed below the shuffle.
+    rank = F.row_number().over(Window.partitionBy("source_id").orderBy("artifact_id"))
+    first = failed.select("source_id", "artifact_id", "error", "http_status", rank.alias("k")).filter(F.col("k") <= most_errors)
+    first = first.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("k", "artifact_id", "error", "http_status"))).alias("e"))
+    first = first.select("source_id", F.transform("e", lambda x: F.struct(*(x[c].alias(c) for c in ("artifact_id", "error", "http_status")))).alias("first_errors"))
+    out = folded
+    for more in (*maps, errors, first):
+        # Sources are compared null-safely: artifacts of no source have a row too.
+        out = out.join(more.withColumnRenamed("source_id", "_s"), F.col("source_id").eqNullSafe(F.col("_s")), "left").drop("_s")
+    none = F.from_json(F.lit("{}"), "map<string,bigint>")
+    return out.fillna(0, ["errors"]).withColumns({"methods": F.coalesce("methods", none), "first_errors": F.coalesce("first_errors", F.from_json(F.lit("[]"), first.schema["first_errors"].dataType))})
+
+
+def upstream_totals(audit: DataFrame) -> DataFrame:
+    """One row over the rows of ``upstream_audit``: sources, artifacts, errors and a count a result."""
+    results = audit.select(F.explode("last_results").alias("last_result", "n")).groupBy("last_result").agg(F.sum("n").alias("n"))
+    every = results.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("last_result", "n")))).alias("last_results"))
+    sums = audit.agg(F.count(F.lit(1)).alias("sources"), F.coalesce(F.sum("artifacts"), F.lit(0)).alias("artifacts"), F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"))
+    return sums.crossJoin(every)
 
 
 def coverage_status(policy: Column, declared: Column, registered: Column, enabled_public: Column, controlled: Column, disabled: Column, usable: Column, minimum: Column) -> Column:

@@ -452,10 +452,33 @@ def audit_counts(spark, sf_dir):
 @query("upstream_audit", t.with_derived("artifacts") + """, a AS (SELECT *, coalesce(last_result, 'UNKNOWN') AS r FROM artifacts) SELECT source_id, count(*) AS artifacts, count(*) FILTER (r = 'DOWNLOADED') AS downloaded,
     coalesce(sum(size_bytes) FILTER (r = 'DOWNLOADED'), 0)::BIGINT AS last_downloaded_bytes, max(last_checked) AS last_checked, max(last_downloaded) AS last_downloaded, count(error) AS errors FROM a GROUP BY source_id""")
 def upstream_audit(spark, sf_dir):
-    a = audit.upstream_audit(t.derived(spark, sf_dir, "artifacts"))
+    a = audit.upstream_audit(t.derived(spark, sf_dir, "upstream_artifacts"))
     return a.select("source_id", "artifacts", F.coalesce(F.try_element_at("last_results", F.lit("DOWNLOADED")), F.lit(0)).alias("downloaded"), "last_downloaded_bytes", "last_checked", "last_downloaded", "errors")
 
 
+@query("upstream_audit_full")
+def upstream_audit_full(spark, sf_dir):
+    return audit.upstream_audit(t.derived(spark, sf_dir, "upstream_artifacts"))
+
+
+@query("upstream_errors", t.with_derived("upstream_artifacts") + """ SELECT source_id, artifact_id, error, http_status FROM upstream_artifacts WHERE error <> ''
+    QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY artifact_id) <= 50""")
+def upstream_errors(spark, sf_dir):
+    return audit.upstream_audit(t.derived(spark, sf_dir, "upstream_artifacts")).select("source_id", F.inline("first_errors"))
+
+
+@query("upstream_methods", t.with_derived("upstream_artifacts") + " SELECT source_id, method, count(*) AS n FROM upstream_artifacts WHERE method <> '' GROUP BY 1, 2")
+def upstream_methods(spark, sf_dir):
+    return audit.upstream_audit(t.derived(spark, sf_dir, "upstream_artifacts")).select("source_id", F.explode("methods").alias("method", "n"))
+
+
+@query("upstream_totals", t.with_derived("upstream_artifacts") + """ SELECT count(DISTINCT source_id) AS sources, count(*) AS artifacts, count(error) AS errors, count(*) FILTER (last_result = 'DOWNLOADED') AS downloaded,
+    count(*) FILTER (last_result = 'UNCHANGED') AS unchanged, count(*) FILTER (last_result IS NULL) AS unknown FROM upstream_artifacts""")
+def upstream_totals(spark, sf_dir):
+    a = audit.upstream_totals(audit.upstream_audit(t.derived(spark, sf_dir, "upstream_artifacts")))
+    return a.select("sources", "artifacts", "errors", *(F.coalesce(F.try_element_at("last_results", F.lit(r)), F.lit(0)).alias(r.lower()) for r in ("DOWNLOADED", "UNCHANGED", "UNKNOWN")))
+
+
 @query("ledger_audit", t.with_derived("artifacts") + " SELECT status, verification, count(*) AS n, sum(size_bytes)::BIGINT AS bytes, sum(CASE WHEN status IN ('FETCHED', 'UNCHANGED') THEN size_bytes ELSE 0 END)::BIGINT AS physical_bytes FROM artifacts GROUP BY 1, 2")
 def ledger_audit(spark, sf_dir):
     return audit.ledger_audit(t.derived(spark, sf_dir, "artifacts"))

@@ -46,6 +46,13 @@ DERIVED = {
                CASE WHEN l_linenumber = 7 THEN 'timeout' END AS error, CASE WHEN l_linestatus = 'O' THEN 'FETCHED' WHEN l_returnflag = 'A' THEN 'FAILED' ELSE 'UNCHANGED' END AS status,
                CASE WHEN l_orderkey % 2 = 0 THEN 'VERIFIED' ELSE 'UNVERIFIED' END AS verification
         FROM lineitem""",
+    "upstream_artifacts": """
+        SELECT l_suppkey AS source_id, CAST(l_orderkey AS VARCHAR(20)) || '-' || CAST(l_linenumber AS VARCHAR(20)) AS artifact_id,
+               CASE WHEN l_returnflag = 'N' THEN 'DOWNLOADED' WHEN l_returnflag = 'R' THEN 'UNCHANGED' END AS last_result,
+               CASE WHEN l_linenumber % 3 = 0 THEN 'HEAD' WHEN l_linenumber % 3 = 1 THEN 'HTTP_DOCUMENT' END AS method,
+               CAST(l_quantity * 100 AS BIGINT) AS size_bytes, l_orderkey AS last_checked, l_partkey AS last_downloaded,
+               CASE WHEN l_linenumber = 7 THEN 'timeout' END AS error, CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN 504 END AS http_status
+        FROM lineitem""",
     "before": "SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) % 1000 AS signature FROM orders WHERE o_orderkey % 5 <> 0",
     "now": "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE CAST(floor(o_totalprice) AS BIGINT) % 1000 END AS signature FROM orders WHERE o_orderkey % 7 <> 0",
     "changes": """
