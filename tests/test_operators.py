@@ -1,6 +1,6 @@
 """Operators on small tables, where the derived tables cannot show a case."""
 
-from weirlake.operators import audit
+from weirlake.operators import audit, stages, technologies
 
 
 def test_upstream_audit_keeps_first_errors_methods_and_totals(spark):
@@ -12,3 +12,24 @@ def test_upstream_audit_keeps_first_errors_methods_and_totals(spark):
     assert got[2].first_errors == [] and got[2].last_downloaded_bytes == 7 and [e.error for e in got[None].first_errors] == ["lost"]
     total = audit.upstream_totals(a).first()
     assert (total.sources, total.artifacts, total.errors, total.last_results) == (3, 62, 61, {"DOWNLOADED": 2, "UNKNOWN": 60})
+
+
+def test_backlog_counts_retries_and_documentation(spark):
+    of = lambda rows, column: spark.createDataFrame(rows, f"registry string, {column} string")
+    got = stages.backlog(
+        of([("npm", "PENDING"), ("npm", "RETRY"), ("pypi", "DELETED")], "status"), of([("npm", "READY_FOR_AUTHORITY")], "qualification_status"), of([("npm", "AUTHORITY_VERIFIED"), ("npm", "AUTHORITY_REVIEW")], "authority_status"),
+        of([("npm", "DOCS_DISCOVERY_REQUIRED"), ("go", "READY_FOR_DOCS_CONNECTOR")], "target_status"), of([("go", "RETRY"), ("go", "PARTIAL"), ("go", "SUCCESS")], "status"),
+    )
+    names = ["registry", "pending", "ready", "verified", "unverified", "docs_discovery_required", "docs_ready", "fetch_retry_or_partial"]
+    assert sorted(map(tuple, got.select(*names).collect())) == [("go", 0, 0, 0, 0, 0, 1, 2), ("npm", 2, 1, 1, 1, 1, 0, 0)]
+
+
+def test_catalogue_audit_counts_every_dimension(spark):
+    columns = "category string, officiality_status string, registry string, importance_tier string, authority_source string, enabled_for_corpus boolean, canonical_repository string, documentation_url string, latest_stable_version string, officiality_score int, identity_status string"
+    rows = [("", "VERIFIED", "npmjs.org", None, None, True, "r", "", "1", 90, "CANONICAL"), (None, None, "", "A", "x", None, None, "d", "", None, None)]
+    got = {(r.dimension, r.value): (r.n, r.enabled, r.with_repository, r.with_documentation, r.with_version, r.verified, r.canonical) for r in technologies.catalogue_audit(spark.createDataFrame(rows, columns)).collect()}
+    one, other = (1, 1, 1, 0, 1, 1, 1), (1, 0, 0, 1, 0, 0, 0)
+    assert got == {
+        ("all", "all"): (2, 1, 1, 1, 1, 1, 1), ("category", "UNKNOWN"): (2, 1, 1, 1, 1, 1, 1), ("officiality_status", "VERIFIED"): one, ("officiality_status", "UNVERIFIED"): other,
+        ("registry", "npmjs.org"): one, ("importance_tier", "UNSCORED"): one, ("importance_tier", "A"): other, ("authority_source", "UNKNOWN"): one, ("authority_source", "x"): other,
+    }

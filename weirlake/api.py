@@ -20,7 +20,7 @@ from weirlake.plans.query import MOST_HITS, MOST_ROWS, run_sql, search_documents
 #: Reports by their path, and the query that gives each.
 REPORTS = {
     "/sources": "source_rank", "/coverage": "coverage_score", "/coverage-audit": "coverage_items", "/quality-audit": "quality_issues", "/upstreams": "upstream_audit_full", "/artifacts": "ledger_audit", "/discoveries": "unmapped_datasets",
-    "/certification": "certification", "/docs": "docs_audit", "/qualification": "qualification_window", "/audit": "audit_counts", "/inventory": "catalogue_lists", "/portal": "portal_coverage", "/catalogue": "catalogue_audit", "/backlog": "backlog",
+    "/certification": "certification", "/docs": "docs_audit", "/qualification": "qualification_window", "/audit": "audit_counts", "/inventory": "catalogue_lists", "/portal": "portal_coverage", "/catalogue": "catalogue_audit_full", "/backlog": "backlog_full",
 }
 
 

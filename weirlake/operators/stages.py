@@ -54,12 +54,26 @@ def stage_counts(table: DataFrame, by: str) -> DataFrame:
     return table.groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), by)
 
 
-def backlog(candidates: DataFrame, qualification: DataFrame, authority: DataFrame) -> DataFrame:
-    """Per registry with any work: pending, ready and unverified counts."""
-    parts = (
-        candidates.groupBy("registry").agg(F.count_if(F.col("status") == "PENDING").alias("pending")).select("registry", "pending", F.lit(0).alias("ready"), F.lit(0).alias("unverified"))
-        .unionByName(qualification.groupBy("registry").agg(F.count_if(F.col("qualification_status") == "READY_FOR_AUTHORITY").alias("ready")).select("registry", F.lit(0).alias("pending"), "ready", F.lit(0).alias("unverified")))
-        .unionByName(authority.groupBy("registry").agg(F.count_if(F.col("authority_status") != "AUTHORITY_VERIFIED").alias("unverified")).select("registry", F.lit(0).alias("pending"), F.lit(0).alias("ready"), "unverified"))
-    )
-    total = parts.groupBy("registry").agg(*(F.sum(c).alias(c) for c in ("pending", "ready", "unverified")))
-    return total.filter(F.col("pending") + F.col("ready") + F.col("unverified") > 0)
+#: What counts a registry's backlog: name, table, column, and whether its values are those listed or any others.
+BACKLOG = (
+    ("pending", "candidates", "status", True, ("PENDING", "RETRY")), ("ready", "qualification", "qualification_status", True, ("READY_FOR_AUTHORITY",)),
+    ("verified", "authority", "authority_status", True, ("AUTHORITY_VERIFIED",)), ("unverified", "authority", "authority_status", False, ("AUTHORITY_VERIFIED",)),
+    ("docs_discovery_required", "targets", "target_status", True, ("DOCS_DISCOVERY_REQUIRED",)), ("docs_ready", "targets", "target_status", True, ("READY_FOR_DOCS_CONNECTOR",)),
+    ("fetch_retry_or_partial", "state", "status", True, ("RETRY", "PARTIAL")),
+)
+
+
+def backlog(candidates: DataFrame, qualification: DataFrame, authority: DataFrame, targets: DataFrame | None = None, state: DataFrame | None = None) -> DataFrame:
+    """Per registry with any work: the counts of ``BACKLOG``; those of a table that is not given are left out.
+
+    Candidates that wait for another try are pending too.
+    """
+    tables = {"candidates": candidates, "qualification": qualification, "authority": authority, "targets": targets, "state": state}
+    rules = [r for r in BACKLOG if tables[r[1]] is not None]
+    names, parts = [r[0] for r in rules], None
+    for table in dict.fromkeys(r[1] for r in rules):
+        own = {n: F.count_if(F.col(c).isin(*v) if among else ~F.col(c).isin(*v)).alias(n) for n, t, c, among, v in rules if t == table}
+        part = tables[table].groupBy("registry").agg(*own.values()).select("registry", *(F.col(n) if n in own else F.lit(0).cast("bigint").alias(n) for n in names))
+        parts = part if parts is None else parts.unionByName(part)
+    total = parts.groupBy("registry").agg(*(F.sum(c).alias(c) for c in names))
+    return total.filter(F.greatest(*(F.col(c) for c in names)) > 0)

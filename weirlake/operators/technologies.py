@@ -9,6 +9,7 @@ from weirlake.functions.bind import once
 from weirlake.functions.scoring import present, qualification_score, qualification_status
 from weirlake.functions.text import infer_document_type, infer_domains
 from weirlake.functions.urls import normalize_repository_url
+from weirlake.operators.audit import dimension_counts
 
 KEY = ["registry", "name"]
 
@@ -40,12 +41,25 @@ def recalibrated(qualification: DataFrame, candidates: DataFrame) -> DataFrame:
     return new.select(*KEY, F.col("new_score").alias("score"), F.col("new_status").alias("status"))
 
 
+#: Dimensions of the catalogue's audit, and what a missing value counts as; None: in no group.
+CATALOGUE_DIMENSIONS = {"category": "UNKNOWN", "officiality_status": "UNVERIFIED", "registry": None, "importance_tier": "UNSCORED", "authority_source": "UNKNOWN"}
+
+
 def catalogue_audit(records: DataFrame) -> DataFrame:
-    """(category, n, with_repository, with_documentation, verified)."""
-    return records.groupBy(F.coalesce("category", F.lit("UNKNOWN")).alias("category")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(present(F.col("canonical_repository"))).alias("with_repository"),
-        F.count_if(present(F.col("documentation_url"))).alias("with_documentation"), F.count_if(F.col("officiality_score") >= 80).alias("verified"),
-    )
+    """(dimension, value, n, and how many are enabled, have a repository, documentation or version, are verified, or are what identity).
+
+    Groups of each of ``CATALOGUE_DIMENSIONS`` in one pass, and the total with dimension and value ``all``.
+    """
+    absent = "\0"  # no value of a table
+    named = {d: F.coalesce(F.nullif(F.col(d).cast("string"), F.lit("")), F.lit(absent if v is None else v)) for d, v in CATALOGUE_DIMENSIONS.items()}
+    identity = F.coalesce("identity_status", F.lit(""))
+    marks = {
+        "enabled": F.col("enabled_for_corpus"), "with_repository": present(F.col("canonical_repository")), "with_documentation": present(F.col("documentation_url")),
+        "with_version": present(F.col("latest_stable_version")), "verified": F.col("officiality_score") >= 80,
+        "canonical": identity.startswith("CANONICAL"), "aliases": identity.startswith("ALIAS"), "ambiguous": identity == "MONOREPO_AMBIGUOUS",
+    }
+    rows = records.select(*(c.alias(d) for d, c in named.items()), *(c.cast("bigint").alias(m) for m, c in marks.items()))
+    return dimension_counts(rows, list(named), list(marks)).filter(F.col("value") != absent)
 
 
 def registry_stats(packages: DataFrame) -> DataFrame:

@@ -810,7 +810,22 @@ def stage_counts(spark, sf_dir):
 @query("backlog", t.with_derived("candidates", "qualification", "authority") + """ SELECT registry, pending, coalesce(ready, 0) AS ready, coalesce(unverified, 0) AS unverified FROM (SELECT registry, count(*) FILTER (status = 'PENDING') AS pending FROM candidates GROUP BY 1)
     LEFT JOIN (SELECT registry, count(*) FILTER (qualification_status = 'READY_FOR_AUTHORITY') AS ready FROM qualification GROUP BY 1) USING (registry) LEFT JOIN (SELECT registry, count(*) FILTER (authority_status <> 'AUTHORITY_VERIFIED') AS unverified FROM authority GROUP BY 1) USING (registry)""")
 def backlog(spark, sf_dir):
-    return stages.backlog(*(t.derived(spark, sf_dir, n) for n in ("candidates", "qualification", "authority")))
+    return stages.backlog(*(t.derived(spark, sf_dir, n) for n in ("candidates", "qualification", "authority"))).select("registry", "pending", "ready", "unverified")
+
+
+def _counted(table: str, name: str, test: str) -> str:
+    return f"LEFT JOIN (SELECT registry, count(*) AS {name} FROM {table} WHERE {test} GROUP BY 1) USING (registry)"
+
+
+@query("backlog_full", t.with_derived("backlog_candidates", "qualification", "authority", "backlog_targets", "backlog_state") + """ SELECT registry, coalesce(pending, 0) AS pending, coalesce(ready, 0) AS ready, coalesce(verified, 0) AS verified, coalesce(unverified, 0) AS unverified,
+    coalesce(docs_discovery_required, 0) AS docs_discovery_required, coalesce(docs_ready, 0) AS docs_ready, coalesce(fetch_retry_or_partial, 0) AS fetch_retry_or_partial FROM (SELECT DISTINCT registry FROM backlog_candidates) """ + " ".join((
+        _counted("backlog_candidates", "pending", "status IN ('PENDING', 'RETRY')"), _counted("qualification", "ready", "qualification_status = 'READY_FOR_AUTHORITY'"),
+        _counted("authority", "verified", "authority_status = 'AUTHORITY_VERIFIED'"), _counted("authority", "unverified", "authority_status <> 'AUTHORITY_VERIFIED'"),
+        _counted("backlog_targets", "docs_discovery_required", "target_status = 'DOCS_DISCOVERY_REQUIRED'"), _counted("backlog_targets", "docs_ready", "target_status = 'READY_FOR_DOCS_CONNECTOR'"),
+        _counted("backlog_state", "fetch_retry_or_partial", "status IN ('RETRY', 'PARTIAL')"),
+    )))
+def backlog_full(spark, sf_dir):
+    return stages.backlog(*(t.derived(spark, sf_dir, n) for n in ("backlog_candidates", "qualification", "authority", "backlog_targets", "backlog_state")))
 
 
 @query("event_windows", "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -978,9 +993,18 @@ def recalibration(spark, sf_dir):
 
 @query("catalogue_audit", "SELECT c_mktsegment AS category, count(*) AS n, count(*) FILTER (c_custkey % 3 <> 0) AS with_repository, count(*) FILTER (c_custkey % 4 <> 0) AS with_documentation, count(*) FILTER (c_custkey % 100 >= 80) AS verified FROM customer GROUP BY 1")
 def catalogue_audit(spark, sf_dir):
-    k = F.col("c_custkey")
-    c = t.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("category"), F.when(k % 3 != 0, "r").alias("canonical_repository"), F.when(k % 4 != 0, "d").otherwise("").alias("documentation_url"), (k % 100).alias("officiality_score"))
-    return technologies.catalogue_audit(c)
+    a = technologies.catalogue_audit(t.derived(spark, sf_dir, "technologies")).filter("dimension = 'category'")
+    return a.select(F.col("value").alias("category"), "n", "with_repository", "with_documentation", "verified")
+
+
+_TECHNOLOGY_GROUPS = {"category": "category", "officiality_status": "coalesce(nullif(officiality_status, ''), 'UNVERIFIED')", "registry": "registry", "importance_tier": "coalesce(importance_tier, 'UNSCORED')", "authority_source": "coalesce(authority_source, 'UNKNOWN')", "all": "'all'"}
+
+
+@query("catalogue_audit_full", t.with_derived("technologies") + " " + " UNION ALL ".join(f"""SELECT '{d}' AS dimension, {e} AS value, count(*) AS n, count(*) FILTER (enabled_for_corpus) AS enabled, count(*) FILTER (canonical_repository <> '') AS with_repository,
+    count(*) FILTER (documentation_url <> '') AS with_documentation, count(*) FILTER (latest_stable_version <> '') AS with_version, count(*) FILTER (officiality_score >= 80) AS verified, count(*) FILTER (starts_with(identity_status, 'CANONICAL')) AS canonical,
+    count(*) FILTER (starts_with(identity_status, 'ALIAS')) AS aliases, count(*) FILTER (identity_status = 'MONOREPO_AMBIGUOUS') AS ambiguous FROM technologies WHERE {e} IS NOT NULL GROUP BY 2""" for d, e in _TECHNOLOGY_GROUPS.items()))
+def catalogue_audit_full(spark, sf_dir):
+    return technologies.catalogue_audit(t.derived(spark, sf_dir, "technologies"))
 
 
 @query("registry_stats", _LIVE + ", a AS (SELECT package, max(live) > 0 AS alive FROM v GROUP BY 1) SELECT 'nuget.org' AS registry, count(*) AS packages, count(*) FILTER (alive) AS live, count(*) FILTER (NOT alive) AS deleted FROM a")

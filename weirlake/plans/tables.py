@@ -29,6 +29,21 @@ DERIVED = {
         SELECT lower(c_mktsegment) AS registry, c_name AS name, 'https://docs.example.org/' || CAST(c_custkey % 25 AS VARCHAR(20)) AS target_url,
                CASE WHEN c_custkey % 6 = 0 THEN 'RETRY' ELSE 'SUCCESS' END AS status
         FROM customer WHERE c_custkey % 8 < 5""",
+    "backlog_candidates": """
+        SELECT lower(c_mktsegment) AS registry, c_name AS name, CASE WHEN c_custkey % 11 = 0 THEN 'DELETED' WHEN c_custkey % 4 = 1 THEN 'RETRY' ELSE 'PENDING' END AS status FROM customer""",
+    "backlog_targets": """
+        SELECT lower(c_mktsegment) AS registry, c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'DOCS_DISCOVERY_REQUIRED' WHEN c_custkey % 5 < 3 THEN 'READY_FOR_DOCS_CONNECTOR' ELSE 'BLOCKED' END AS target_status
+        FROM customer WHERE c_custkey % 4 < 2 AND c_custkey % 3 <> 0""",
+    "backlog_state": """
+        SELECT lower(c_mktsegment) AS registry, c_name AS name, CASE WHEN c_custkey % 6 = 0 THEN 'RETRY' WHEN c_custkey % 6 = 1 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status
+        FROM customer WHERE c_custkey % 8 < 5""",
+    "technologies": """
+        SELECT c_name AS technology_id, c_mktsegment AS category, CASE WHEN c_custkey % 5 = 1 THEN 'VERIFIED' WHEN c_custkey % 5 = 2 THEN '' END AS officiality_status,
+               CASE WHEN c_custkey % 3 = 0 THEN 'npmjs.org' WHEN c_custkey % 3 = 1 THEN 'pypi.org' END AS registry, CASE WHEN c_custkey % 7 < 3 THEN 'A' END AS importance_tier,
+               CASE WHEN c_custkey % 6 = 0 THEN 'wikidata' END AS authority_source, c_custkey % 2 = 0 AS enabled_for_corpus, CASE WHEN c_custkey % 3 <> 0 THEN 'r' END AS canonical_repository,
+               CASE WHEN c_custkey % 4 <> 0 THEN 'd' ELSE '' END AS documentation_url, CASE WHEN c_custkey % 9 <> 0 THEN '1.0' END AS latest_stable_version, CAST(c_custkey % 100 AS INT) AS officiality_score,
+               CASE WHEN c_custkey % 8 = 0 THEN 'CANONICAL_NON_PACKAGE' WHEN c_custkey % 8 = 1 THEN 'ALIAS_OF_ENTITY' WHEN c_custkey % 8 = 2 THEN 'MONOREPO_AMBIGUOUS' END AS identity_status
+        FROM customer""",
     "sources": """
         SELECT s_suppkey AS source_id, s_name AS title, CASE WHEN s_suppkey % 5 = 0 THEN 'multidomain' ELSE n_name END AS domain,
                CASE WHEN s_suppkey % 4 = 0 THEN 'Direction of ' || n_name ELSE n_name || ' Ltd' END AS provider,
