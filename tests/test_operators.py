@@ -1,6 +1,6 @@
 """Operators on small tables, where the derived tables cannot show a case."""
 
-from weirlake.operators import audit, stages, technologies
+from weirlake.operators import audit, claims, stages, technologies
 
 
 def test_upstream_audit_keeps_first_errors_methods_and_totals(spark):
@@ -33,3 +33,13 @@ def test_catalogue_audit_counts_every_dimension(spark):
         ("all", "all"): (2, 1, 1, 1, 1, 1, 1), ("category", "UNKNOWN"): (2, 1, 1, 1, 1, 1, 1), ("officiality_status", "VERIFIED"): one, ("officiality_status", "UNVERIFIED"): other,
         ("registry", "npmjs.org"): one, ("importance_tier", "UNSCORED"): one, ("importance_tier", "A"): other, ("authority_source", "UNKNOWN"): one, ("authority_source", "x"): other,
     }
+
+
+def test_merged_package_takes_over_what_its_aliases_know(spark):
+    columns = "technology_id string, canonical_repository string, officiality_score int, documentation_url string, official_website string, latest_stable_version string, qid string, discovery_sources array<string>, identity_aliases array<string>, wikidata_qids array<string>"
+    rows = [
+        ("pkg:npm/a", "https://github.com/o/a", 1, "", None, "2.0", None, ["npm"], ["old"], None), ("b", "https://github.com/o/a.git", 9, None, "https://b", "1.0", " Q2 ", [" wikidata", "npm", ""], None, None),
+        ("a", "https://github.com/o/a", 3, "https://d", "", None, "Q1", None, None, None), ("pkg:npm/lone", "https://github.com/o/l", 1, "", None, None, None, None, None, None),
+    ]
+    got = [tuple(r) for r in claims.identity_merged(spark.createDataFrame(rows, columns)).collect()]
+    assert got == [("pkg:npm/a", "https://d", "https://b", "2.0", ["npm", "wikidata"], ["old", "a", "b"], ["Q1", "Q2"])]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirlake.functions.urls import normalize_repository_url
+from weirlake.operators.technologies import merged_unique
 
 
 def reconcile_claims(claims: DataFrame, subject: str) -> DataFrame:
@@ -59,6 +60,31 @@ def identity_members(records: DataFrame) -> DataFrame:
     return rows.join(groups, "_r").select("technology_id", part.alias("identity_status"), F.when(~own, F.col("canonical")).alias("canonical"))
 
 
+def identity_merged(records: DataFrame) -> DataFrame:
+    """The packages that stand for their group (MERGED_ALIAS), completed from its other members in order of their ids.
+
+    Beside what ``identity_groups`` reads, ``records`` has documentation_url, official_website, latest_stable_version, qid
+    and the lists discovery_sources, identity_aliases and wikidata_qids. Empty values are taken from the first member
+    that has one; lists hold distinct values, the package's own first.
+    """
+    groups = identity_groups(records).filter("status = 'MERGED_ALIAS'").select(F.col("repository").alias("_r"), "canonical")
+    rows = records.withColumn("_r", normalize_repository_url(F.col("canonical_repository"))).join(groups, "_r")
+    others = rows.filter(F.col("technology_id") != F.col("canonical"))
+    gaps, filled = ("documentation_url", "official_website", "latest_stable_version"), lambda c: F.nullif(F.col(c), F.lit(""))
+    lists = F.array_sort(F.collect_list(F.struct("technology_id", "qid", "discovery_sources"))).alias("_m")
+    of = others.groupBy("canonical").agg(lists, *(F.min_by(filled(c), F.when(filled(c).isNotNull(), F.col("technology_id"))).alias(f"_{c}") for c in gaps))
+    both = rows.filter(F.col("technology_id") == F.col("canonical")).drop("_r").join(of, "canonical")
+    trimmed = lambda x: F.transform(x, lambda v: F.regexp_replace(v, r"(?U)^\s+|\s+$", ""))
+    member = lambda f: F.transform("_m", lambda m: m[f])
+    sources = F.flatten(F.transform("_m", lambda m: F.coalesce(m["discovery_sources"], F.array().cast("array<string>"))))
+    return both.select(
+        "technology_id", *(F.coalesce(filled(c), F.col(f"_{c}")).alias(c) for c in gaps),
+        merged_unique(trimmed(F.col("discovery_sources")), trimmed(sources)).alias("discovery_sources"),
+        merged_unique(trimmed(F.col("identity_aliases")), trimmed(member("technology_id"))).alias("identity_aliases"),
+        merged_unique(trimmed(F.col("wikidata_qids")), trimmed(member("qid"))).alias("wikidata_qids"),
+    )
+
+
 def latest_alias(static: DataFrame, dynamic: DataFrame, targets: DataFrame) -> DataFrame:
     """(target_url, source_id): a static alias first, else the latest successful dynamic one."""
     last = dynamic.filter("status = 'SUCCESS'").groupBy("target_url").agg(F.max_by("source_id", "finished_at").alias("dynamic_id"))

@@ -752,6 +752,19 @@ def identity_members(spark, sf_dir):
     return claims.identity_members(t.derived(spark, sf_dir, "records"))
 
 
+@query("identity_merged", t.with_derived("identity_records") + """, p AS (SELECT * FROM identity_records WHERE starts_with(technology_id, 'pkg:')), o AS (SELECT * FROM identity_records WHERE NOT starts_with(technology_id, 'pkg:')),
+    g AS (SELECT canonical_repository, min_by(documentation_url, technology_id) FILTER (documentation_url <> '') AS d, min_by(official_website, technology_id) FILTER (official_website <> '') AS w, min_by(latest_stable_version, technology_id) FILTER (latest_stable_version <> '') AS v,
+        list(technology_id ORDER BY technology_id) AS aliases, list(qid ORDER BY technology_id) FILTER (qid <> '') AS qids, list(source ORDER BY technology_id) AS sources FROM o GROUP BY 1)
+    SELECT p.technology_id, coalesce(nullif(documentation_url, ''), d) AS documentation_url, coalesce(official_website, w) AS official_website, coalesce(latest_stable_version, v) AS latest_stable_version, array_to_string(aliases, ' ') AS identity_aliases,
+    array_to_string(list_transform(list_filter(list_zip(qids, range(1, len(qids) + 1)), lambda x: list_position(qids, x[1]) = x[2]), lambda x: x[1]), ' ') AS wikidata_qids,
+    array_to_string(list_transform(list_filter(list_zip(list_prepend(source, sources), range(1, len(sources) + 2)), lambda x: list_position(list_prepend(source, sources), x[1]) = x[2]), lambda x: x[1]), ' ') AS discovery_sources FROM p JOIN g USING (canonical_repository)""")
+def identity_merged(spark, sf_dir):
+    none = F.lit(None).cast("array<string>")
+    r = t.derived(spark, sf_dir, "identity_records").withColumns({"discovery_sources": F.array("source"), "identity_aliases": none, "wikidata_qids": none})
+    m = claims.identity_merged(r)
+    return m.withColumns({c: F.array_join(c, " ") for c in ("discovery_sources", "identity_aliases", "wikidata_qids")})
+
+
 @query("alias_lookup", """WITH t AS (SELECT DISTINCT 'u' || c_nationkey AS target_url FROM customer), s AS (SELECT 'u' || n_nationkey AS target_url, n_name AS id FROM nation WHERE n_nationkey % 4 = 0), d AS (SELECT 'u' || c_nationkey AS target_url, max_by(c_name, c_custkey) AS id FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1)
     SELECT t.target_url, coalesce(s.id, d.id) AS source_id FROM t LEFT JOIN s USING (target_url) LEFT JOIN d USING (target_url)""")
 def alias_lookup(spark, sf_dir):

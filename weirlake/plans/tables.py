@@ -83,6 +83,13 @@ DERIVED = {
         SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'pkg:npm/' || s_name ELSE s_name END AS technology_id,
                'git+https://www.github.com/o' || CAST(s_nationkey AS VARCHAR(20)) || '//r' || CAST(s_suppkey % 4 AS VARCHAR(20)) || '.git' AS canonical_repository, CAST(s_suppkey % 17 AS INT) AS officiality_score
         FROM supplier""",
+    "identity_records": """
+        SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'pkg:npm/' || s_name ELSE s_name END AS technology_id,
+               'https://github.com/o/r' || CAST(floor(s_suppkey / 5) AS VARCHAR(20)) AS canonical_repository, CAST(s_suppkey % 17 AS INT) AS officiality_score,
+               CASE WHEN s_suppkey % 5 > 2 THEN 'd' || CAST(s_suppkey AS VARCHAR(20)) ELSE '' END AS documentation_url, CASE WHEN s_suppkey % 3 = 0 THEN 'w' || CAST(s_suppkey AS VARCHAR(20)) END AS official_website,
+               CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey AS VARCHAR(20)) END AS latest_stable_version, CASE WHEN s_suppkey % 4 <> 0 THEN 'Q' || CAST(s_suppkey % 7 AS VARCHAR(20)) END AS qid,
+               's' || CAST(s_suppkey % 3 AS VARCHAR(20)) AS source
+        FROM supplier""",
 }
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations", "labels", "benchmark")
