@@ -283,7 +283,7 @@ def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _exact_links(texts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """All links among ``texts``, whatever their number: rare shingles, pivots for the common ones, the rest."""
+    """All links among ``texts`` but the few that ``_plausible`` loses (see AGREE), whatever their number: rare shingles, pivots for the common ones, the rest."""
 
     def possible(a: str, b: str):
         # What two sets can still share from their positions on must reach the overlap asked for.
