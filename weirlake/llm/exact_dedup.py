@@ -2,7 +2,8 @@
 
 The keyed state (RocksDB, below the shared checkpoint folder, no expiry) holds for each digest the
 number of copies seen, the surviving identifier and the locator of its content. A digest that is hit
-again has its full bytes compared before its rows are called equal.
+again within a load has its full bytes compared before its rows are called equal; one known from an
+earlier load is taken as equal.
 """
 
 from __future__ import annotations
