@@ -1,16 +1,17 @@
 """Best-fit packing by exact complements.
 
 Documents become pieces of at most ``size`` tokens. Only the histogram of piece lengths, at most
-``size`` numbers whatever the corpus, goes to the driver. There each length looks up one, two or
-three lengths that exactly fill the rest of a sequence, as often as their counts allow; what is left is packed
+``size`` numbers whatever the corpus, goes to the driver. There an index of the sums of one, two and three lengths
+tells each length what exactly fills the rest of its sequence, as often as their counts allow; what is left is packed
 best-fit decreasing. The resulting plan gives a piece its place from its length and its rank among
 the pieces of that length, so pieces are placed where they lie.
 """
 
 from __future__ import annotations
 
-import json
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,50 +21,37 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker, saved, small_batches
-from weirlake.llm.tokens import LONG_WORD, MOST_WORDS, Words, load_spec
+from weirlake.llm.common import once_a_worker, saved
+from weirlake.llm.tokens import Blocks, _byte_symbols, load_spec
 
 
-class Ids(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes, by the tokenizers library."""
+class Ids(Blocks):
+    """Ids as little-endian unsigned 32-bit bytes, by the tokenizers library."""
 
     def __init__(self, spec: dict):
-        from tokenizers import Tokenizer
+        super().__init__(spec, self.encoded, lambda special: self.pieces.special[special].to_bytes(4, "little"), b"".join)
+        # Pieces come normalised and split; a character a byte is what the model merges.
+        self.model, self.shown = self.pieces.tokenizer.model, dict(enumerate(_byte_symbols()))
 
-        super().__init__()
-        # Words come normalised and split; only the byte-level step and the merges are left to do.
-        steps = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel"]
-        bare = spec | {"normalizer": None, "pre_tokenizer": steps[0], "added_tokens": [], "truncation": None, "padding": None}
-        self.tokenizer = Tokenizer.from_str(json.dumps(bare))
-        self.fixed = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
-        self.update(self.fixed)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= LONG_WORD:
-            self[word] = ids
-        return ids
-
-    def trim(self) -> None:
-        if len(self) > MOST_WORDS:
-            self.clear()
-            self.update(self.fixed)
+    def encoded(self, piece: str) -> bytes:
+        ids = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth): ``nth`` counts a part's pieces of that length from 0."""
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ids = once_a_worker(f"ids {vocabulary}", lambda: (lambda spec: (Words(spec), Ids(spec)))(load_spec(vocabulary)))
-        get, end, step = ids.__getitem__, np.array([end_id], "<u4").tobytes(), 4 * size
+        ids = once_a_worker(f"ids {vocabulary}", lambda: Ids(load_spec(vocabulary)))
+        end, step = np.array([end_id], "<u4").tobytes(), 4 * size
         part, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for b in batches:
             row, piece, length, crc, nth = [], [], [], [], []
             for i, t in enumerate(b["text"]):
-                every = b"".join(map(get, words(t.as_py()))) + end
-                ids.trim()
+                every = ids.of(t.as_py()) + end
                 for k in range(0, len(every), step):
                     own = every[k : k + step]
                     n = len(own) // 4
@@ -82,37 +70,63 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int, end_id: int, id_col:
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
 
 
-def _fill(count: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that add up to ``gap``, the fewest and largest first."""
-    if gap <= 0:
+class Sums:
+    """Hash index of the sums of one, two and three available lengths, for exact complements.
+
+    ``two[s, a]`` says that ``a`` and ``s - a`` (no longer than ``a``) are available, ``three[s, a]`` that ``a`` is and some
+    pair sums to ``s - a``. A length that runs out leaves the index in one sweep over its column and diagonal. Entries
+    know lengths, not how many there are: a look-up checks that against the counts.
+    """
+
+    def __init__(self, count: np.ndarray):
+        size = len(count) - 1
+        have, at = count > 0, np.arange(size + 1)
+        self.count, self.size, self.have = count, size, have
+        rest = at[:, None] - at[None, :]
+        ok = (rest >= 1) & (rest <= at[None, :])
+        self.two = ok & have[None, :] & have[np.where(ok, rest, 0)]
+        self.pairs = self.two.sum(1)
+        # The longest of three comes first: what is left for the other two is at most twice as long.
+        ok = (rest >= 2) & (rest <= 2 * at[None, :])
+        self.three = ok & have[None, :] & (self.pairs > 0)[np.where(ok, rest, 0)]
+
+    def gone(self, n: int) -> None:
+        """Length ``n`` has run out."""
+        self.have[n] = False
+        before = self.pairs > 0
+        self.pairs -= self.two[:, n]
+        self.two[:, n] = False
+        s = np.arange(n, self.size + 1)  # sums whose shorter part is n
+        self.pairs[s] -= self.two[s, s - n]
+        self.two[s, s - n] = False
+        self.three[:, n] = False
+        for p in np.flatnonzero(before & (self.pairs == 0)):
+            s = np.arange(p, self.size + 1)
+            self.three[s, s - p] = False
+
+    def _enough(self, lengths: tuple[int, ...], taken: int) -> bool:
+        """Whether there are as many of each, besides the one of length ``taken`` that waits to be completed."""
+        return all(self.count[n] >= lengths.count(n) + (n == taken) for n in lengths)
+
+    def pair(self, total: int, most: int, also: tuple[int, ...], taken: int) -> tuple[int, int] | None:
+        for a in np.flatnonzero(self.two[total, : most + 1])[::-1]:
+            found = (int(a), total - int(a))
+            if self._enough((*also, *found), taken):
+                return found
         return None
-    if count[gap] > 0:
-        return (gap,)
 
-    def pair(total: int, most: int) -> tuple[int, int] | None:
-        low, high = (total + 1) // 2, min(total - 1, most)
-        if low > high:
+    def complement(self, gap: int, taken: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths that add up to ``gap``, the fewest and largest first."""
+        if gap <= 0:
             return None
-        a = np.arange(high, low - 1, -1)
-        ok = (count[a] > 0) & (count[total - a] > 0)
-        if total % 2 == 0 and low <= high:
-            ok[-1] &= count[total // 2] > 1
-        at = int(ok.argmax())
-        return (int(a[at]), total - int(a[at])) if ok[at] else None
-
-    if found := pair(gap, gap):
-        return found
-    have = np.flatnonzero(count[: gap - 1])
-    for a in have[::-1]:
-        a = int(a)
-        if 3 * a < gap:
-            break
-        count[a] -= 1
-        found = pair(gap - a, a)
-        count[a] += 1
-        if found:
-            return (a, *found)
-    return None
+        if self.have[gap] and self._enough((gap,), taken):
+            return (gap,)
+        if found := self.pair(gap, gap, (), taken):
+            return found
+        for a in np.flatnonzero(self.three[gap])[::-1]:
+            if found := self.pair(gap - int(a), int(a), (int(a),), taken):
+                return (int(a), *found)
+        return None
 
 
 def plan_sequences(histogram: dict[int, int], size: int) -> tuple[list[tuple[dict[int, int], int]], int]:
@@ -120,6 +134,7 @@ def plan_sequences(histogram: dict[int, int], size: int) -> tuple[list[tuple[dic
     count = np.zeros(size + 1, "int64")
     for n, c in histogram.items():
         count[n] = c
+    sums = Sums(count)
     out: list[tuple[dict[int, int], int]] = []
 
     def take(lengths: tuple[int, ...]) -> None:
@@ -129,17 +144,14 @@ def plan_sequences(histogram: dict[int, int], size: int) -> tuple[list[tuple[dic
         times = min(int(count[n]) // k for n, k in need.items())
         for n, k in need.items():
             count[n] -= times * k
+            if not count[n]:
+                sums.gone(n)
         out.append((need, times))
 
     if count[size]:
         take((size,))
     for n in range(size - 1, 0, -1):
-        while count[n]:
-            count[n] -= 1
-            found = _fill(count, size - n)
-            count[n] += 1
-            if not found:
-                break
+        while count[n] and (found := sums.complement(size - n, n)):
             take((n, *found))
     # Best fit decreasing over what is left; sequences with equal content are handled together.
     open_: dict[int, list[tuple[dict[int, int], int]]] = {}

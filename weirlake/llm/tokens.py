@@ -1,9 +1,9 @@
 """Token counts by byte-pair merging with a heap and a linked list.
 
-The vocabulary file's own rules say how a text falls into words; each distinct word is then merged
-once: adjacent pairs wait in a heap by rank, the lowest-ranked pair is popped and merged in a linked
-list of symbols until no pair is left. A word has as many tokens as it had symbols less its merges,
-so no token identifier is ever looked up.
+A text falls into blocks between ASCII white space, and a block into pieces as the vocabulary file's own
+normaliser and pre-tokenizer say. Blocks and pieces met lately are remembered; any other piece is merged: adjacent pairs wait in a heap by
+rank, the lowest-ranked pair is popped and merged in a linked list of symbols until no pair is left. A
+piece has as many tokens as it had symbols less its merges, so no token identifier is ever looked up.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -19,52 +18,171 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker, small_batches
+from weirlake.llm.common import once_a_worker
 
-#: Words kept in each Python worker; the table starts anew when it is full.
-MOST_WORDS = 500_000
-#: Longer words are merged whenever they occur.
+#: Blocks, and pieces, that a Python worker remembers are twice as many at most.
+MOST_WORDS = 300_000
+#: Longer blocks and pieces are looked at whenever they occur.
 LONG_WORD = 64
-#: White space as the tokenizer's regex engine sees it (fixed values).
-SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Characters below this have no combining forms; for those the rules can be run by ``re``, where it gives what the library gives.
+QUICK = 0x250
+#: ASCII white space, where ``bytes.split`` cuts.
+SPACE = " \t\n\r\x0b\x0c"
 
 
-def _class(kind: str) -> str:
-    """The characters whose Unicode category begins with ``kind``, as ranges for a regex class."""
-    out, first = [], None
-    for c in range(sys.maxunicode + 2):
-        inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] == kind
-        if inside and first is None:
-            first = c
-        elif not inside and first is not None:
-            out.append(f"\\U{first:08x}-\\U{c - 1:08x}")
-            first = None
-    return "".join(out)
+def load_spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def _steps(part: dict | None, name: str) -> list[dict]:
+    if part is None:
+        return []
+    return [x for p in part[name] for x in _steps(p, name)] if part["type"] == "Sequence" else [part]
 
 
-class Words:
-    """Splits texts into the words of a word-end BPE file (its normaliser and pre-tokenizer)."""
+class Pieces:
+    """Splits blocks of text into the pieces that the vocabulary's own rules give.
+
+    Only files whose rules never look across ASCII white space are taken, so that a text's tokens are
+    those of its blocks one after the other; others are refused with a ValueError.
+    """
 
     def __init__(self, spec: dict):
+        from tokenizers import Tokenizer
+
+        self._check(spec)
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        # Nothing else begins with a letter, so letters may come first, where they are found fastest.
-        ends = "'(?:s|t|re|ve|m|ll|d)"
-        self.ascii = re.compile(f"[a-z]+|[0-9]|{ends}|[^{SPACE}a-z0-9]+")
-        letter, number = _class("L"), _class("N")
-        self.any = re.compile(f"[{letter}]+|[{number}]|{ends}|[^{SPACE}{letter}{number}]+")
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.byte = {x: b for b, x in enumerate(_byte_symbols())}
+        for c in SPACE:
+            if self.library(f"a{c}{c}'b1{c}.") != self.library("a") + self.library("'b1") + self.library("."):
+                raise ValueError("the vocabulary's rules do not drop white space")
+        self._learn_quick(_steps(spec["pre_tokenizer"], "pretokenizers")[:-1])
+
+    def _learn_quick(self, splits: list[dict]) -> None:
+        """The file's pattern for ``re``, and the characters for which it gives what the library does."""
+        self.quick, self.known = None, re.compile(r"(?!)")
+        if len(splits) != 1 or "Regex" not in splits[0]["pattern"]:
+            return
+        spoken = [chr(c) for c in range(QUICK)]
+        members = lambda f: "".join(re.escape(c) for c in spoken if f(c))
+        pattern = splits[0]["pattern"]["Regex"]
+        for name, f in (("\\p{L}", str.isalpha), ("\\p{N}", lambda c: unicodedata.category(c)[0] == "N"), ("\\s", lambda c: not self.library(c))):
+            pattern = pattern.replace(name, members(f))
+        # Blocks may come many at a time, a line feed between them, which comes out as it is.
+        self.quick = re.compile(pattern + "|\n").findall
+
+        def same(text: str) -> bool:
+            return self.quick(text.lower()) == self.library(text)
+
+        good = [c for c in spoken if all(map(same, (f"ab{c}cd", f"1{c}2", f"{c}'s", f".{c}{c}.", f"A{c}1", f"'{c}")))]
+        self.known = re.compile("[\\n" + "".join(map(re.escape, good)) + "]*")
+
+    @staticmethod
+    def _check(spec: dict) -> None:
+        model = spec["model"]
+        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
+        if model["type"] != "BPE" or odd:
+            raise ValueError(f"not a plain byte-pair model: {model['type']} {odd}")
+        for step in _steps(spec["normalizer"], "normalizers"):
+            if step["type"] not in ("NFC", "Lowercase") and not (step["type"] == "Replace" and step["pattern"] == {"Regex": "\\s+"} and step["content"] == " "):
+                raise ValueError(f"normaliser not supported: {step}")
+        *splits, last = _steps(spec["pre_tokenizer"], "pretokenizers") or [{"type": "none"}]
+        if last["type"] != "ByteLevel" or last["add_prefix_space"] or last.get("use_regex", True):
+            raise ValueError("the last step of the pre-tokenizer must be bytes alone")
+        if not splits or any(s["type"] != "Split" or s["behavior"] != "Removed" or not s["invert"] for s in splits):
+            raise ValueError("the pre-tokenizer must keep what its patterns match and drop all else")
+        for t in spec["added_tokens"]:
+            if t["normalized"] or t["single_word"] or any(c.isspace() for c in t["content"]):
+                raise ValueError(f"added token not supported: {t['content']!r}")
+        symbols = _byte_symbols()
+        end = model.get("end_of_word_suffix") or ""
+        if not all(x in model["vocab"] and x + end in model["vocab"] for x in symbols):
+            raise ValueError("the vocabulary lacks bytes")
+
+    def library(self, text: str) -> list[str]:
+        """Pieces of a text without special strings, by the library."""
+        rules = self.tokenizer
+        shaped = rules.normalizer.normalize_str(text) if rules.normalizer else text
+        return [bytes(map(self.byte.__getitem__, p)).decode() for p, _ in rules.pre_tokenizer.pre_tokenize_str(shaped)]
+
+    def flat(self, blocks: str) -> bool:
+        """Whether ``quick`` gives the pieces of these blocks, once their letters are lowered."""
+        return self.known.fullmatch(blocks) is not None and (self.cut is None or self.cut.search(blocks) is None)
+
+    def __call__(self, block: str) -> list[tuple[bool, str]]:
+        """(special, piece) of a block, in order."""
+        if self.cut is None or not self.cut.search(block):
+            return [(False, p) for p in self.library(block)]
+        return [x for p in self.cut.split(block) if p for x in ([(True, p)] if p in self.special else [(False, q) for q in self.library(p)])]
+
+
+class Blocks:
+    """What ``combine`` makes of a text's blocks, and of a block's pieces, those met lately remembered.
+
+    When a table is full it becomes the old one and a new one is begun, into which what is still in use moves.
+    """
 
-    def plain(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.ascii.findall(text.lower())
-        # Lowered one character at a time, so a final sigma has no form of its own.
-        return self.any.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-
-    def __call__(self, text: str) -> list[str]:
-        """All words in order; special strings stand as themselves."""
-        if self.cut is None or "<|" not in text:
-            return self.plain(text)
-        return [w for part in self.cut.split(text) for w in ([part] if part in self.special else self.plain(part))]
+    def __init__(self, spec: dict, of_piece, of_special, combine):
+        self.pieces, self.of_piece, self.of_special, self.combine = Pieces(spec), of_piece, of_special, combine
+        self.blocks, self.old_blocks, self.known, self.old_known = {}, {}, {}, {}
+
+    def _piece(self, piece: str):
+        value = self.known.get(piece)
+        if value is None:
+            value = self.old_known.get(piece)
+            if value is None:
+                value = self.of_piece(piece)
+            if len(piece) <= LONG_WORD:
+                self.known[piece] = value
+        return value
+
+    def _learn(self, new: set[bytes]) -> None:
+        old, ask = self.old_blocks, []
+        for w in new:
+            value = old.get(w)
+            if value is None:
+                ask.append(w)
+            else:
+                self.blocks[w] = value
+        if not ask:
+            return
+        joined = b"\n".join(ask).decode()
+        if not self.pieces.flat(joined):
+            easy = []
+            for w in ask:
+                if self.pieces.flat(w.decode()):
+                    easy.append(w)
+                else:
+                    self.blocks[w] = self.combine(self.of_special(p) if special else self._piece(p) for special, p in self.pieces(w.decode()))
+            if not easy:
+                return
+            ask, joined = easy, b"\n".join(easy).decode()
+        at, got, known = iter(ask), [], self.known
+        for p in self.pieces.quick(joined.lower() + "\n"):
+            if p == "\n":
+                self.blocks[next(at)] = self.combine(got)
+                got = []
+            else:
+                value = known.get(p)
+                got.append(self._piece(p) if value is None else value)
+
+    def of(self, text: bytes):
+        blocks = text.split()
+        new = set(blocks).difference(self.blocks)
+        if new:
+            self._learn(new)
+        out = self.combine(map(self.blocks.__getitem__, blocks))
+        for w in new:
+            if len(w) > LONG_WORD:
+                del self.blocks[w]
+        if len(self.blocks) > MOST_WORDS:
+            self.old_blocks, self.blocks = self.blocks, {}
+        if len(self.known) > MOST_WORDS:
+            self.old_known, self.known = self.known, {}
+        return out
 
 
 def _byte_symbols() -> list[str]:
@@ -78,20 +196,19 @@ def _byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-class Counts(dict):
-    """word -> number of tokens, filled by merging."""
+class Counts(Blocks):
+    """Numbers of tokens, by merging."""
 
     def __init__(self, spec: dict):
-        super().__init__()
         model = spec["model"]
         pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
         self.rank = {p: i for i, p in enumerate(pairs)}
         self.end, self.symbol = model.get("end_of_word_suffix") or "", _byte_symbols()
-        self.fixed = {t["content"]: 1 for t in spec["added_tokens"]}
-        self.update(self.fixed)
+        super().__init__(spec, self.merged, lambda special: 1, sum)
 
-    def merged(self, word: str) -> int:
-        sym: list[str | None] = [self.symbol[b] for b in word.encode()]
+    def merged(self, piece: str) -> int:
+        """Tokens of a piece: its bytes less the merges."""
+        sym: list[str | None] = [self.symbol[b] for b in piece.encode()]
         sym[-1] += self.end
         n = left = len(sym)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -114,43 +231,23 @@ class Counts(dict):
                 heapq.heappush(heap, (r, h, sym[h], sym[i]))
         return left
 
-    def __missing__(self, word: str) -> int:
-        n = self.merged(word)
-        if len(word) <= LONG_WORD:
-            self[word] = n
-        return n
-
-    def trim(self) -> None:
-        if len(self) > MOST_WORDS:
-            self.clear()
-            self.update(self.fixed)
-
-
-def load_spec(path: str) -> dict:
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
-
 
 def count_tokens(
     docs: DataFrame, vocabulary: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes (UTF-8), n_tokens, over_limit (more tokens than ``limit``).
 
-    ``vocabulary`` is the path of a BPE file with word ends, present on every worker. Special strings
-    inside a text count as one token. Null text counts as empty (0 tokens); repeated rows and null ids
-    keep a row each; an empty table gives none; other columns are not read. Whole texts are counted.
+    ``vocabulary`` is the path of a BPE file with word ends, present on every worker; a file whose rules
+    are not supported raises ValueError. Special strings inside a text count as one token. Null text
+    counts as empty (0 tokens); repeated rows and null ids keep a row each; an empty table gives none;
+    other columns are not read. Whole texts are counted.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = once_a_worker(f"counts {vocabulary}", lambda: (lambda spec: (Words(spec), Counts(spec)))(load_spec(vocabulary)))
-        get = counts.__getitem__
+        counts = once_a_worker(f"counts {vocabulary}", lambda: Counts(load_spec(vocabulary)))
         for b in batches:
-            n = []
-            for t in b["text"]:
-                n.append(sum(map(get, words(t.as_py()))))
-                counts.trim()
+            n = [counts.of(t.as_py()) for t in b["text"]]
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["n_bytes"], pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     sized = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
