@@ -1,11 +1,11 @@
 """Personal data by weak supervision.
 
-Patterns propose spans. Several labelers vote on each: a strict check of the form, a gazetteer, the words
-before it, and its surroundings; none of them is trusted outright. Expectation-maximisation over the
-counts of vote patterns (a table whose size the labelers fix) estimates how reliable each is, and the
+Patterns propose spans. Several labelers vote on each, for, against or not at all: a strict check of the form, a
+gazetteer, the words before it, and its surroundings; none of them is trusted outright. Expectation-maximisation over the
+counts of vote patterns of a kind (a table whose size the labelers fix) estimates how reliable each is, and the
 posteriors train a logistic span classifier on what a span looks like. All spans are voted on and
 trained from: the base spans that the contract fixes, which always stay, near misses of theirs, which are
-never given out, and the proposals of the method, on which the classifier's word is final.
+never given out and stand for what is surely not real, and the proposals of the method, on which the classifier's word is final.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import saved, small_batches
+from weirlake.llm.common import saved
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("ssn", "iban", "local_phone", "hidden_email", "person")
@@ -52,8 +52,15 @@ CUES = {
     "local_phone": ("phone", "tel", "call", "mobile", "fax"), "hidden_email": ("mail", "contact", "write"),
     "person": ("name", "contact", "signed", "dear"),
 }
+#: Words that announce figures of other sorts.
+OTHER_CUES = ("order", "invoice", "version", "ref", "sku", "isbn", "page", "chapter", "total", "code")
+CLEAR_LEFT = frozenset(["", *" \t\n([\"':;,"])
+CLEAR_RIGHT = frozenset(["", *" \t\n)]\"':;,.!?"])
 REACH = 40
 LABELERS = ("form", "gazetteer", "context", "surroundings")
+#: Where the rates of votes (+, -, 0) begin, for real spans and for others, and how many spans that counts as.
+START = np.array([[0.6, 0.1, 0.3], [0.2, 0.5, 0.3]])
+SMOOTH = 20
 
 
 def luhn(digits: str) -> bool:
@@ -140,11 +147,14 @@ def voted(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int,
         v = text[s:e]
         digits = "".join(DIGIT.findall(v))
         own = kind.removesuffix("_miss")
-        cue = any(c in low[max(0, s - REACH) : s] for c in CUES[own])
-        # Among other figures or table cells a run of digits is most likely data.
-        around = text[max(0, s - 3) : s] + text[e : e + 3]
-        crowded = bool(DIGIT.search(around)) or "|" in around
-        votes = sign(_form(kind, v, digits)) + sign(_listed(kind, v, digits)) + ("+" if cue else "0") + ("-" if crowded else "0")
+        before = low[max(0, s - REACH) : s]
+        cue = any(c in before for c in CUES[own])
+        other = not cue and (any(c in before for c in OTHER_CUES) or any(c in before for k, cs in CUES.items() if k != own for c in cs))
+        # Among other figures or table cells a run of digits is most likely data; between spaces or marks it stands by itself.
+        left, right = text[max(0, s - 3) : s], text[e : e + 3]
+        crowded = bool(DIGIT.search(left + right)) or "|" in left + right
+        clear = left[-1:] in CLEAR_LEFT and right[:1] in CLEAR_RIGHT
+        votes = sign(_form(kind, v, digits)) + sign(_listed(kind, v, digits)) + ("+" if cue else "-" if other else "0") + ("-" if crowded else "+" if clear else "0")
         looks = f"{own} n{min(len(digits), 20) // 4} r{int(len(set(digits)) <= 2 and bool(digits))} c{int(cue)} d{int(crowded)} u{int(v.isupper())} f{votes[0]}"
         out.append((s, e, kind, votes, looks))
     return out
@@ -162,28 +172,29 @@ def proposals(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, i
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def estimate_reliability(counts: dict[str, int], rounds: int = 50, prior: float = 0.5) -> tuple[dict[str, float], np.ndarray]:
-    """({votes: posterior}, each labeler's [hit rate, false alarm rate]) by expectation-maximisation.
+def estimate_reliability(counts: dict[str, int], known: dict[str, int] | None = None, rounds: int = 50, prior: float = 0.5) -> tuple[dict[str, float], np.ndarray]:
+    """({votes: posterior}, rates by labeler, class (real, not) and vote (+, -, 0)) by expectation-maximisation.
 
-    A labeler that abstains says nothing. Rates start above chance and are smoothed, so that a pattern
-    seen once moves them little.
+    An abstention is a vote like any other: how often a labeler abstains on either class is estimated too.
+    ``known`` counts the votes on spans that are surely not real; they take part as such. Rates start above chance
+    and are smoothed, so that a pattern seen once moves them little.
     """
+    known = known or {}
     patterns = sorted(counts)
+    tell = lambda ps: np.array([[[c == v for v in "+-0"] for c in p] for p in ps], float).reshape(len(ps), len(LABELERS), 3)
+    rates = np.tile(START, (len(LABELERS), 1, 1))
     if not patterns:
-        return {}, np.tile([0.7, 0.3], (len(LABELERS), 1))
-    n = np.array([counts[p] for p in patterns], float)
-    yes = np.array([[c == "+" for c in p] for p in patterns], float)
-    no = np.array([[c == "-" for c in p] for p in patterns], float)
-    rates, share = np.tile([0.7, 0.3], (len(LABELERS), 1)).astype(float), prior
-    post = np.full(len(patterns), prior)
+        return {}, rates
+    n, votes = np.array([counts[p] for p in patterns], float), tell(patterns)
+    sure = np.einsum("p,plv->lv", np.array([known[p] for p in sorted(known)], float), tell(sorted(known)))
+    share = prior
     for _ in range(rounds):
-        a = np.log(share) + yes @ np.log(rates[:, 0]) + no @ np.log(1 - rates[:, 0])
-        b = np.log(1 - share) + yes @ np.log(rates[:, 1]) + no @ np.log(1 - rates[:, 1])
-        post = 1 / (1 + np.exp(np.clip(b - a, -30, 30)))
+        a, b = (np.einsum("plv,lv->p", votes, np.log(rates[:, k])) for k in (0, 1))
+        post = 1 / (1 + np.exp(np.clip(b - a + np.log(1 - share) - np.log(share), -30, 30)))
         share = float(np.clip((n @ post + 1) / (n.sum() + 2), 0.02, 0.98))
-        for k, w in enumerate((n * post, n * (1 - post))):
-            start = 0.7 if k == 0 else 0.3
-            rates[:, k] = np.clip((w @ yes + 20 * start) / (w @ (yes + no) + 20), 0.02, 0.98)
+        for k, (w, more) in enumerate(((n * post, 0), (n * (1 - post), sure))):
+            got = np.einsum("p,plv->lv", w, votes) + more + SMOOTH * START[k]
+            rates[:, k] = got / got.sum(1, keepdims=True)
     return dict(zip(patterns, post.tolist(), strict=True)), rates
 
 
@@ -206,6 +217,24 @@ def train_classifier(rows: list[tuple[str, float, float]], steps: int = 400) ->
     return {t: float(w[i]) for t, i in names.items()}
 
 
+def judge_spans(tally: list[tuple[str, str, str, int]]) -> dict[str, float]:
+    """{looks: probability of being real} from (kind, votes, looks, count) of all spans.
+
+    Reliabilities are estimated kind by kind, near misses taking part as spans that are surely not real; the
+    posteriors of all kinds train one classifier.
+    """
+    rows = []
+    for own in sorted({k.removesuffix("_miss") for k, *_ in tally}):
+        mine, counts, known = [r for r in tally if r[0].removesuffix("_miss") == own], {}, {}
+        for kind, votes, _, n in mine:
+            into = known if kind in MISSES else counts
+            into[votes] = into.get(votes, 0) + n
+        posterior, _ = estimate_reliability(counts, known)
+        rows += [(looks, 0.0 if kind in MISSES else posterior[votes], float(n)) for kind, votes, looks, n in mine]
+    weight = train_classifier(sorted(rows))
+    return {looks: float(1 / (1 + np.exp(-(weight[""] + sum(weight[t] for t in looks.split()))))) for _, _, looks, _ in tally}
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """One row per input row: doc_id, base, found: arrays of (s, e, kind, p) by start, then kind.
 
@@ -213,7 +242,6 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     for base spans, which stay whatever it is. Null text counts as empty and has no spans; repeated rows and null
     ids keep a row each; an empty table gives none; without any span nothing is trained; other columns are not read.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("kind", pa.string()), ("votes", pa.string()), ("looks", pa.string())]))
 
@@ -229,15 +257,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
     kind = "array<struct<s:int,e:int,kind:string,votes:string,looks:string>>"
     seen = saved(rows.mapInArrow(run, f"doc_id long, spans {kind}"), "pii-spans")
-    # Distinct (votes, looks) pairs are bounded by the labelers and the looks, not by the texts.
-    tally = seen.select(F.explode("spans").alias("x")).groupBy("x.votes", "x.looks").agg(F.count(F.lit(1)).alias("n")).collect()
-    counts: dict[str, int] = {}
-    for r in tally:
-        counts[r["votes"]] = counts.get(r["votes"], 0) + r["n"]
-    posterior, _ = estimate_reliability(counts)
-    weight = train_classifier(sorted((r["looks"], posterior[r["votes"]], float(r["n"])) for r in tally))
-    score = {r["looks"]: 1 / (1 + np.exp(-(weight[""] + sum(weight[t] for t in r["looks"].split())))) for r in tally}
-    table = F.create_map(*(x for k in sorted(score) for x in (F.lit(k), F.lit(float(score[k]))))) if score else F.create_map().cast("map<string,double>")
+    # Distinct (kind, votes, looks) are bounded by the kinds, the labelers and the looks, not by the texts.
+    tally = seen.select(F.explode("spans").alias("x")).groupBy("x.kind", "x.votes", "x.looks").agg(F.count(F.lit(1)).alias("n")).collect()
+    score = judge_spans([(r["kind"], r["votes"], r["looks"], r["n"]) for r in tally])
+    table = F.create_map(*(x for k in sorted(score) for x in (F.lit(k), F.lit(score[k])))) if score else F.create_map().cast("map<string,double>")
     told = lambda x: F.try_element_at(table, x["looks"])
     order = F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))))
     judged = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), order[x["kind"]].alias("o"), x["e"].alias("e"), x["kind"].alias("kind"), told(x).alias("p")))
