@@ -2,8 +2,8 @@
 
 Trusted positives (label 1) and unlabelled rows give the non-negative unbiased risk: the positives'
 risk weighted by the class prior, plus the unlabelled rows' risk as negatives less the share of it
-that the positives among them account for, never below zero. The prior is estimated from the labelled
-rows. A logistic model over text statistics is fitted to that risk on the driver from a bounded sample.
+that the positives among them account for, never below zero. The prior is estimated from the same two
+samples: where a model that tells them apart is most sure, unlabelled rows are as dense as their positives are. A logistic model over text statistics is fitted to that risk on the driver from a bounded sample.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import bernoulli, saved, small_batches
+from weirlake.llm.common import bernoulli, saved
 
 #: Rows of the fitting sample: trusted positives, and unlabelled rows. The only bounds here; scoring reads every row.
 POSITIVES = 6_000
@@ -54,8 +54,11 @@ def _design(x: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.ndarray
     return np.hstack([np.ones((len(z), 1)), z, z * z / 6])
 
 
-def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, ridge: float = 1e-3):
-    """(weights, middle, spread) minimising the non-negative PU risk with the logistic loss by Adam."""
+def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, ridge: float = 1e-3, clip: bool = True):
+    """(weights, middle, spread) minimising the non-negative PU risk with the logistic loss by Adam.
+
+    Without ``clip`` the unlabelled rows are taken for negatives as they are, which tells the two samples apart.
+    """
     middle = np.median(p, 0)
     spread = np.maximum(np.percentile(p, 90, 0) - np.percentile(p, 10, 0), 1e-2)
     p, u = _design(p, middle, spread), _design(u, middle, spread)
@@ -64,9 +67,10 @@ def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate
     sigmoid = lambda g: 1 / (1 + np.exp(-np.clip(g, -30, 30)))
     for t in range(1, steps + 1):
         sp, su = sigmoid(p @ w), sigmoid(u @ w)
-        as_negative = np.logaddexp(0, np.clip(u @ w, -30, 30)).mean() - prior * np.logaddexp(0, np.clip(p @ w, -30, 30)).mean()
+        taken = prior if clip else 0.0
+        as_negative = np.logaddexp(0, np.clip(u @ w, -30, 30)).mean() - taken * np.logaddexp(0, np.clip(p @ w, -30, 30)).mean()
         positive = -prior * (p.T @ (1 - sp)) / len(p)
-        negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
+        negative = u.T @ su / len(u) - taken * (p.T @ sp) / len(p)
         # Below zero the negative part is overfitted: step back along it, as the estimator asks.
         grad = positive + negative if as_negative >= 0 else -negative
         grad = grad + ridge * np.r_[0, w[1:]]
@@ -79,20 +83,41 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = pa.array([statistics(t.as_py()) for t in b["text"]], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([x], ["x"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], x], ["doc_id", "x"])
+
+    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
+
 
-    return rows.select("text").mapInArrow(run, "x array<double>")
+def _sample(rows: DataFrame, most: int) -> np.ndarray:
+    """Statistics of at most ``most`` rows, drawn by the hashes of their ids, so the same however they are dealt.
 
+    Rows are thinned out where they lie and leave as a few numbers each.
+    """
+    total = rows.select("doc_id").count()
+    some = rows.filter(bernoulli(F.col("doc_id"), min(1.0, 1.2 * most / max(total, 1))))
+    drawn = _with_statistics(some).orderBy(F.xxhash64("doc_id", F.lit("drawn")), "x").limit(most)
+    return np.array([r.x for r in drawn.select("x").collect()], dtype=float).reshape(-1, STATS)
 
-def _drawn(ids: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` of the ids, drawn by their hash."""
-    total = ids.count()
-    return ids.filter(bernoulli(F.col("doc_id"), min(1.0, 1.1 * most / max(total, 1)))).limit(most)
 
+def estimate_prior(p: np.ndarray, u: np.ndarray, sure: float = 0.1) -> float:
+    """The share of positives among unlabelled rows, from positives and unlabelled rows alone.
 
-def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """Statistics of at most ``most`` rows."""
-    return np.array([r.x for r in _with_statistics(rows.limit(most)).collect()], dtype=float).reshape(-1, STATS)
+    A model tells the two samples apart on one half; on the other, the share of unlabelled rows scored
+    above a bound, over that of positives, is the prior wherever everything above the bound is positive, and more
+    elsewhere. The bound is taken where that ratio's upper confidence limit is least. Both halves take turns.
+    """
+    found = []
+    for turn in (0, 1):
+        w, middle, spread = fit_nnpu(p[turn::2], u[turn::2], 0.5, steps=400, clip=False)
+        sp, su = (np.sort(_design(x[1 - turn :: 2], middle, spread) @ w) for x in (p, u))
+        if not len(sp) or not len(su):
+            continue
+        bounds = np.unique(np.quantile(sp, np.linspace(0, 0.98, 99)))
+        qp, qu = (1 - np.searchsorted(x, bounds) / len(x) for x in (sp, su))
+        slack = np.sqrt(np.log(4 / sure) / (2 * len(sp))) + np.sqrt(np.log(4 / sure) / (2 * len(su)))
+        at = int(np.argmin((qu + slack) / np.maximum(qp, 1e-9)))
+        found.append(qu[at] / max(qp[at], 1e-9))
+    return float(np.clip(np.mean(found), 0.01, 0.99)) if found else 0.5
 
 
 def score_quality(
@@ -103,29 +128,27 @@ def score_quality(
 
     ``labels`` is (doc_id, quality); ids whose crc32 mod 5 is 0 are held out of learning. Null text
     counts as empty and is scored; null ids are scored and not learned from; repeated rows keep a row
-    each. With no positives to learn from every score is the estimated prior (0.5 without labels). An
+    each. Labels other than 1 are not used. With no positives to learn from every score is 0.5. An
     empty table gives no rows; other columns are not read.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality")).filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    prior = known.agg(F.avg((F.col("quality") == 1).cast("double")).alias("p")).first().p
+    trusted = known.filter("quality = 1").select("doc_id").distinct()
     web = rows.filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
+    # Ids are drawn first: a bounded list, so that no text has to move to meet it.
+    share = min(1.0, 1.2 * positives / max(trusted.count(), 1))
+    drawn = trusted.filter(bernoulli(F.col("doc_id"), share)).orderBy(F.xxhash64("doc_id", F.lit("drawn"))).limit(positives)
+    trusted = saved(drawn, "trusted", 1)
     model = None
-    if prior:
-        # Ids are drawn first: a bounded list, so that no text has to move to meet it.
-        trusted = saved(_drawn(known.filter("quality = 1").select("doc_id"), positives), "trusted")
-        p = _sample(web.join(F.broadcast(trusted), "doc_id", "left_semi"), positives)
-        u = _sample(_drawn(web, unlabelled), unlabelled)
-        if len(p) and len(u):
-            model = fit_nnpu(p, u, min(max(prior, 0.01), 0.99))
-    prior = 0.5 if prior is None else float(prior)
+    p = _sample(web.join(F.broadcast(trusted), "doc_id", "left_semi"), positives)
+    u = _sample(web, unlabelled) if len(p) else p
+    if len(p) and len(u):
+        model = fit_nnpu(p, u, estimate_prior(p, u))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if model is None:
-                score = np.full(b.num_rows, prior)
+                score = np.full(b.num_rows, 0.5)
             else:
                 w, middle, spread = model
                 x = np.array([statistics(t.as_py()) for t in b["text"]]).reshape(-1, STATS)
