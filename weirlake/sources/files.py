@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirlake.operators.staging import head_bytes
+
 SAMPLE = 65_536
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
 DELIMITERS = ",;\t|"
@@ -35,14 +37,9 @@ def sniff_csv(sample: bytes) -> tuple[str, str]:
     return encoding, max(DELIMITERS, key=lambda d: (header.count(d), -DELIMITERS.index(d)))
 
 
-def _head(spark: SparkSession, path: str) -> bytes:
-    row = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, SAMPLE).alias("c")).first()
-    return bytes(row.c) if row else b""
-
-
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All cells as text; delimiter and encoding sniffed; a byte-order mark is no part of the header."""
-    encoding, delimiter = sniff_csv(_head(spark, path))
+    encoding, delimiter = sniff_csv(head_bytes(spark, path, SAMPLE))
     name = "UTF-8" if encoding.startswith("utf-8") else "ISO-8859-1"
     df = spark.read.option("header", True).option("sep", delimiter).option("encoding", name).option("multiLine", True).option("escape", '"').csv(path)
     df = df.toDF(*(c.lstrip("\ufeff") for c in df.columns))

@@ -6,11 +6,12 @@ emitted follows the same rules whatever brought them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.functions.versions import size_bytes
 from weirlake.operators.changes import changed, transfer_plan, two_level
+from weirlake.operators.staging import md5_of, ranked
 
 SHAPES = ("results", "data", "items", "datasets", "rows", "records")
 
@@ -109,9 +110,9 @@ def indicator_plan(toc: DataFrame, indicators: DataFrame, committed_toc: DataFra
 
 
 def batches(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """(batch, keys): keys in order, ``size`` to a batch. For request lists, which are catalogue-sized."""
-    numbered = rows.select(key).distinct().withColumn("n", F.row_number().over(Window.orderBy(key)) - 1)
-    return numbered.groupBy(F.floor(F.col("n") / size).cast("long").alias("batch")).agg(F.sort_array(F.collect_list(key)).alias("keys"))
+    """(batch, keys): keys in order, ``size`` to a batch."""
+    numbered = ranked(rows.select(key).distinct(), [key], "_n")
+    return numbered.groupBy(F.floor(F.col("_n") / size).cast("long").alias("batch")).agg(F.sort_array(F.collect_list(key)).alias("keys"))
 
 
 def bisected(keys: list[str], fetch) -> tuple[list, list[str]]:
@@ -146,14 +147,15 @@ def rebuild_levels(levels: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def extract_snapshot(spark: SparkSession, path: str, md5: str | None) -> DataFrame:
-    """One row of a big file's facts; an error if its digest is not the advertised one."""
-    row = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size_bytes"), F.md5("content").alias("md5"))
-    if md5 and row.first()["md5"] != md5.lower():
+    """One row of a big file's facts, read as a stream; an error if its digest is not the advertised one."""
+    size, found = md5_of(spark, path)
+    if md5 and found != md5.lower():
         raise ValueError("unexpected digest")
-    return row
+    return spark.createDataFrame([(path, size, found)], "path string, size_bytes long, md5 string")
 
 
 def with_provenance(rows: DataFrame, source_id: str, dataset: str, url: str, retrieved_at: str, order: list[str]) -> DataFrame:
     """Rows with where they came from and their place in the delivered order."""
-    index = F.row_number().over(Window.orderBy(*order)) - 1
-    return rows.withColumns({"_prov_source_id": F.lit(source_id), "_prov_dataset": F.lit(dataset), "_prov_url": F.lit(url), "_prov_retrieved_at": F.lit(retrieved_at), "_prov_row_index": index})
+    out = ranked(rows, order, "_prov_row_index")
+    names = [*rows.columns, "_prov_source_id", "_prov_dataset", "_prov_url", "_prov_retrieved_at", "_prov_row_index"]
+    return out.withColumns({"_prov_source_id": F.lit(source_id), "_prov_dataset": F.lit(dataset), "_prov_url": F.lit(url), "_prov_retrieved_at": F.lit(retrieved_at)}).select(*(F.col(f"`{c}`") for c in names))
