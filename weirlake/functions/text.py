@@ -17,6 +17,7 @@ from weirlake.functions.bind import let
 
 #: Characters that compatibility normalisation surely leaves alone.
 _STABLE = r"¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž"
+#: Control characters that cleaning drops (fixed values).
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 #: White space other than line feeds that may be left at a line's ends.
 _SPACE = r"[\t\x0b\x0c\r \x85   -     　]"
@@ -217,6 +218,7 @@ DOCUMENT_RULES = (
     ("MAP", ("carte", "géospatial", "geospatial")),
     ("RESEARCH", ("recherche", "étude", "etude", "article scientifique")),
 )
+#: What a data set's address contains (fixed values).
 DATASET_TOKENS = ("dataset", "data-fair", ".csv", ".xlsx", ".json")
 
 

@@ -11,6 +11,7 @@ TRACKING_KEYS = ("ref", "source", "campaign", "mc_cid", "mc_eid")
 TRACKING_PREFIXES = ("utm_", "ref_")
 #: Hosts that only show a registry's own page of a package (fixed values).
 LANDING_HOSTS = ("central.sonatype.com", "search.maven.org", "repo1.maven.org", "repo.maven.apache.org", "appdoc.app", "www.appdoc.app")
+#: Words, extensions and paths of documentation, extensions that link lists leave out, names of registries and their package URL types (fixed values).
 DOC_MARKERS = ("docs", "documentation", "guide", "guides", "manual", "reference")
 DOC_EXTENSIONS = ("md", "mdx", "markdown", "rst", "adoc", "asciidoc", "txt")
 DOC_TERMS = ("docs", "documentation", "developer", "developers", "guide", "guides", "manual", "reference", "api", "learn", "tutorial", "handbook")
@@ -19,6 +20,10 @@ SKIPPED = (
     "7z", "avi", "bin", "bmp", "css", "dmg", "doc", "docx", "epub", "exe", "gif", "gz", "ico", "jpeg", "jpg", "js",
     "map", "mp3", "mp4", "png", "rar", "svg", "tar", "tgz", "webm", "webp", "woff", "woff2", "zip",
 )
+LINK_SKIPPED = (
+    "7z", "avi", "bin", "bmp", "css", "doc", "docx", "dta", "exe", "gif", "gz", "ico", "jpeg", "jpg", "js", "mp3", "mp4", "odt", "pbf", "png", "por", "ppt",
+    "pptx", "rar", "rdata", "rds", "sas7bdat", "sav", "svg", "tar", "webp", "woff", "woff2", "xpt", "zip",
+)
 EXCLUDED = (
     r"/(?:blog|news|community|showcase|partners?|pricing|jobs?|events?)(?:/|$)", r"/(?:login|signin|signup|account|search)(?:/|$)", r"[?&](?:q|query|search)=",
 )
@@ -30,6 +35,7 @@ REGISTRY_ALIASES = {
 PURL_TYPES = {
     "npmjs.org": "npm", "pypi.org": "pypi", "packagist.org": "composer", "crates.io": "cargo", "rubygems.org": "gem", "nuget.org": "nuget",
     "repo1.maven.org": "maven", "proxy.golang.org": "golang", "pub.dev": "pub", "hex.pm": "hex",
+    "hackage.haskell.org": "hackage", "cran.r-project.org": "cran",
 }
 #: scheme, authority, path, query of a URL; a missing part is empty.
 _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
@@ -170,7 +176,7 @@ def same_host_links(base: Column, hrefs: Column) -> Column:
             .when(h.startswith("/"), F.concat(scheme_host, h)).otherwise(F.concat(scheme_host, F.when(folder == "", "/").otherwise(folder), h))
         )
 
-    skipped = "(?i)\\.(7z|avi|bin|bmp|css|doc|docx|dta|exe|gif|gz|ico|jpeg|jpg|js|mp3|mp4|odt|pbf|png|por|ppt|pptx|rar|rdata|rds|sas7bdat|sav|svg|tar|webp|woff|woff2|xpt|zip)$"
+    skipped = "(?i)\\.(" + "|".join(LINK_SKIPPED) + ")$"
     links = F.transform(F.filter(F.transform(hrefs, lambda h: F.trim(h)), lambda h: h != ""), lambda h: crawl_url(absolute(h)))
     ok = lambda u: part(u, "scheme").isin("http", "https") & (part(u, "host") == part(base, "host")) & ~is_upload_directory(u) & ~part(u, "path").rlike(skipped)
     return F.array_distinct(F.filter(links, ok))
@@ -183,7 +189,7 @@ def normalize_registry(value: Column) -> Column:
     return F.coalesce(F.try_element_at(known, key), key)
 
 
-def _quoted(value: Column, safe: str) -> Column:
+def quoted(value: Column, safe: str) -> Column:
     """Percent-encoding that leaves letters, digits, ``_.-~`` and ``safe`` alone."""
     out = F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
     for c in "~" + safe:
@@ -197,6 +203,6 @@ def build_purl(registry: Column, name: Column, version: Column | None = None) ->
     types = F.create_map(*(x for k, v in PURL_TYPES.items() for x in (F.lit(k), F.lit(v))))
     kind = F.try_element_at(types, normalize_registry(registry))
     raw = F.trim(name)
-    maven = F.when(raw.contains(":"), F.concat(_quoted(F.substring_index(raw, ":", 1), ""), F.lit("/"), _quoted(F.regexp_extract(raw, "^[^:]*:(.*)$", 1), "")))
-    out = F.concat(F.lit("pkg:"), kind, F.lit("/"), F.when(kind == "maven", F.coalesce(maven, _quoted(raw, "/"))).otherwise(_quoted(raw, "/")))
-    return out if version is None else F.concat(out, F.when(F.coalesce(version, F.lit("")) != "", F.concat(F.lit("@"), _quoted(F.trim(version), "+"))).otherwise(""))
+    maven = F.when(raw.contains(":"), F.concat(quoted(F.substring_index(raw, ":", 1), ""), F.lit("/"), quoted(F.regexp_extract(raw, "^[^:]*:(.*)$", 1), "")))
+    out = F.concat(F.lit("pkg:"), kind, F.lit("/"), F.when(kind == "maven", F.coalesce(maven, quoted(raw, "/"))).otherwise(quoted(raw, "/")))
+    return out if version is None else F.concat(out, F.when(F.coalesce(version, F.lit("")) != "", F.concat(F.lit("@"), quoted(F.trim(version), "+"))).otherwise(""))

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weirlake.functions.urls import quoted
+
+#: What marks a pre-release, and what a module path may have unescaped (fixed values).
+GO_SAFE = "/!$&'()*+,;=:@"
 _PRE = r"(?:^|[.\-_])(alpha|beta|rc|pre|preview|dev|snapshot|nightly)(?:[.\-_0-9]|$)"
 #: Qualifiers that stand before a general release; the short ones only with a number after them (fixed values).
 MAVEN_PRE = ("alpha", "beta", "milestone", "rc", "cr", "snapshot", "preview", "pre", "dev", "nightly", "ea")
@@ -52,8 +56,10 @@ def is_maven_stable(version: Column) -> Column:
 
 
 def go_proxy_escape(path: Column) -> Column:
-    """Upper-case letters as ``!`` and the lower-case letter."""
-    return F.lower(F.regexp_replace(path, "([A-Z])", r"!$1"))
+    """ASCII upper-case letters as ``!`` and the lower-case letter; other characters than a path's own percent-encoded."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    marked = F.translate(F.regexp_replace(path, "([A-Z])", r"!$1"), upper, upper.lower())
+    return quoted(marked, GO_SAFE)
 
 
 def ref_strategy(ref: Column) -> Column:
