@@ -24,6 +24,28 @@ def test_routes(spark, tmp_path):
     assert api.handle("PUT", "/settings/s", {"interval_seconds": 400})[1]["interval_seconds"] == 400 and api.handle("GET", "/settings")[1]["interval_seconds"] == 3600
 
 
+def test_more_routes(spark, tmp_path):
+    api = Api(spark, SF, str(tmp_path / "s.json"), str(tmp_path / "reports"))
+    one = api.handle("GET", "/upstreams?limit=1")[1][0]["source_id"]
+    assert {r["source_id"] for r in api.handle("GET", f"/upstreams/{one}")[1]} == {one}
+    assert api.handle("PUT", "/sources/s-1/settings", {"auto_sync": True})[1]["auto_sync"] and api.handle("GET", "/sources/s-1/path")[1]["path"].endswith("/s-1")
+    assert api.handle("GET", "/settings/updates")[1]["interval_seconds"] == 3600
+    assert api.handle("POST", "/query/source/nation", {"sql": "SELECT count(*) AS n FROM nation"}) == (200, [{"n": 25}]) and api.handle("POST", "/query/source/none", {})[0] == 404
+    assert api.handle("POST", "/coverage/report")[0] == 200 and (tmp_path / "reports" / "coverage.json").exists() and Api(spark, SF, "x").handle("POST", "/coverage/report")[0] == 409
+    assert api.handle("GET", "/programming-docs/languages")[0] == 200
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from weirlake import cli
+
+    settings = str(tmp_path / "s.json")
+    assert cli.main(["updates", settings, "interval", "900"]) == 0 and json.loads(capsys.readouterr().out)["interval_seconds"] == 900
+    assert cli.main(["source", settings, "a", "disable"]) == 0 and json.loads(capsys.readouterr().out)["enabled"] is False and cli.main(["source", settings, "a", "refresh"]) == 2
+    assert cli.main(["report", "coverage", SF], spark) == 0 and capsys.readouterr().out
+    assert cli.main(["inventory", f"{SF}/nation.parquet"], spark) == 0 and json.loads(capsys.readouterr().out)["rows"] == 25
+    assert cli.main(["languages", SF], spark) == 0
+
+
 def test_server(spark, tmp_path):
     server = serve(Api(spark, SF, str(tmp_path / "s.json")), port=0)
     threading.Thread(target=server.serve_forever, daemon=True).start()

@@ -13,7 +13,8 @@ from urllib.parse import parse_qsl, urlsplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.plans import catalogue, tables
+from weirlake.operators.sinks import write_report
+from weirlake.plans import catalogue, roundtrips, tables  # noqa: F401
 from weirlake.plans.control import Controls
 from weirlake.plans.query import MOST_HITS, MOST_ROWS, run_sql, search_documents
 
@@ -21,12 +22,18 @@ from weirlake.plans.query import MOST_HITS, MOST_ROWS, run_sql, search_documents
 REPORTS = {
     "/sources": "source_rank", "/coverage": "coverage_score", "/coverage-audit": "coverage_items", "/quality-audit": "quality_issues", "/upstreams": "upstream_audit_full", "/artifacts": "ledger_audit", "/discoveries": "unmapped_datasets",
     "/certification": "certification", "/docs": "docs_audit", "/qualification": "qualification_window", "/audit": "audit_counts", "/inventory": "catalogue_lists", "/portal": "portal_coverage", "/catalogue": "catalogue_audit_full", "/backlog": "backlog_full",
+    "/status": "freshness", "/ci-gold": "certification", "/programming-docs": "docs_audit", "/runs": "run_close_out", "/queue": "stage_counts", "/technologies": "registry_stats", "/registry": "registry_audit",
 }
+#: Reports whose rows belong to a source each: ``/report/id`` gives one source's.
+OF_A_SOURCE = ("/upstreams", "/artifacts", "/sources", "/registry")
 
 
 class Api:
-    def __init__(self, spark: SparkSession, lake: str, settings_path: str):
-        self.spark, self.lake, self.controls = spark, lake, Controls(settings_path)
+    def __init__(self, spark: SparkSession, lake: str, settings_path: str, reports: str | None = None):
+        self.spark, self.lake, self.controls, self.reports = spark, lake, Controls(settings_path), reports
+
+    def _report(self, path: str) -> DataFrame:
+        return catalogue.QUERIES[REPORTS[path]](self.spark, self.lake)
 
     def _rows(self, df: DataFrame, limit: int) -> list[dict]:
         return [json.loads(r["j"]) for r in df.limit(limit).select(F.to_json(F.struct("*")).alias("j")).collect()]
@@ -41,7 +48,30 @@ class Api:
             if (method, path) == ("GET", "/health"):
                 return 200, {"status": "ok", "queries": len(catalogue.QUERIES)}
             if method == "GET" and path in REPORTS:
-                return 200, self._rows(catalogue.QUERIES[REPORTS[path]](self.spark, self.lake), limit)
+                return 200, self._rows(self._report(path), limit)
+            if method == "GET" and (m := re.fullmatch(r"(/[a-z]+)/([\w.-]+)", path)) and m[1] in OF_A_SOURCE:
+                own = self._report(m[1])
+                if "source_id" not in own.columns:
+                    return 404, {"error": "the report has no sources"}
+                return 200, self._rows(own.filter(F.col("source_id").cast("string") == m[2]), limit)
+            if (method, path) == ("GET", "/programming-docs/languages"):
+                return 200, self._rows(self._report("/programming-docs").select("language", "sources"), limit)
+            if method == "POST" and (m := re.fullmatch(r"(/[a-z-]+)/report", path)) and m[1] in REPORTS:
+                if not self.reports:
+                    return 409, {"error": "no folder for reports"}
+                name = m[1][1:]
+                write_report(self.reports, {name: self._report(m[1]).limit(MOST_ROWS)}, name, {})
+                return 200, {"written": name}
+            if m := re.fullmatch(r"/sources/([\w.-]+)/settings", path):
+                return 200, self.controls.update(body or {}, m[1]) if method == "PUT" else self.controls.settings(m[1])
+            if method == "GET" and (m := re.fullmatch(r"/sources/([\w.-]+)/path", path)):
+                return 200, {"source_id": m[1], "path": f"{self.lake}/{m[1]}"}
+            if path == "/settings/updates":
+                return 200, self.controls.update(body or {}) if method == "PUT" else self.controls.settings()
+            if method == "POST" and (m := re.fullmatch(r"/query/source/([\w.-]+)", path)):
+                if m[1] not in tables.BASE:
+                    return 404, {"error": "unknown source"}
+                return 200, self._rows(run_sql(self.spark, (body or {}).get("sql", ""), {m[1]: tables.table(self.spark, self.lake, m[1])}, limit), limit)
             if (method, path) == ("GET", "/queries"):
                 return 200, sorted(catalogue.QUERIES)
             if method == "GET" and (m := re.fullmatch(r"/queries/(\w+)", path)):

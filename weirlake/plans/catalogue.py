@@ -9,26 +9,13 @@ from pyspark.sql import functions as F
 
 from weirlake.functions import markup, scoring, text, urls, versions
 from weirlake.functions.bind import once
-from weirlake.operators import audit, changes, claims, corpus, ledger, stages, technologies
+from weirlake.operators import audit, changes, claims, corpus, ledger, sinks, stages, technologies
 from weirlake.plans import tables as t
 from weirlake.plans.query import search_documents
+from weirlake.plans.registered import ORACLES, QUERIES, query
 from weirlake.sources import adapters, records, registry, web
 from weirlake.streaming.change_feed import windowed_counts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
 def inline(name: str, columns: str, rows: list[tuple], outputs: Callable[[], dict], sql: dict[str, str], shared: Callable[[], Column] | None = None):
     """A query of column expressions over fixed rows; ``sql`` gives the expressions of the oracle.
 
@@ -985,10 +972,11 @@ def config_layers(spark, sf_dir):
     return registry.layered(spark, [{"a": {"b": 1, "c": 2}}, {"a": {"b": 3}, "d": "x"}])
 
 
-@query("manifests", t.with_derived("sources") + """ SELECT source_id, '{"schema_version":3,"source_id":' || source_id || ',"status":{"sync_status":"' || sync_status || '"}}' AS manifest FROM sources""")
+@query("manifests", t.with_derived("sources") + """ SELECT source_id, '{"schema_version":3,"source_id":' || source_id || ',"status":{"delivery_status":"' || delivery_status || '","sync_status":"' || sync_status || '"},"rights":{"rights_tier":"' || rights_tier || '","access_tier":"' || access_tier
+    || '"},"inventory":{"files":' || failed || ',"bytes":' || backlog || ',"rows":' || needs_ocr || '}}' AS manifest FROM sources WHERE delivery_status IS NOT NULL""")
 def manifests(spark, sf_dir):
-    s = t.derived(spark, sf_dir, "sources")
-    return s.select("source_id", F.to_json(F.struct(F.lit(3).alias("schema_version"), "source_id", F.struct("sync_status").alias("status"))).alias("manifest"))
+    s = t.derived(spark, sf_dir, "sources").filter("delivery_status is not null").withColumn("freshness_status", F.lit(None).cast("string"))
+    return sinks.manifest(s.withColumnsRenamed({"failed": "files", "backlog": "bytes", "needs_ocr": "rows"}))
 
 
 @query("conflict_recheck", t.with_derived("authority", "qualification") + " SELECT a.registry, a.name, q.score FROM authority a JOIN qualification q ON a.registry = q.registry AND a.name = q.name WHERE authority_status = 'AUTHORITY_REVIEW' ORDER BY q.score DESC, a.registry, a.name LIMIT 25")
