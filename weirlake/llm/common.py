@@ -3,34 +3,15 @@
 from __future__ import annotations
 
 import contextlib
-import re
 import sys
-import tempfile
 import types
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name below the cluster's shared checkpoint folder.
-
-    Only a local session without ``spark.checkpoint.dir`` gets a temporary folder instead; on a cluster
-    that setting must be there.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        master = spark.conf.get("spark.master", "")
-        if not re.fullmatch(r"local(\[.*\])?", master):
-            raise ValueError(f"spark.checkpoint.dir must name a shared folder where the master is {master!r}")
-        top = tempfile.mkdtemp(prefix="weirlake-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+from weirlake.operators.staging import fresh, may_be_among, shared_dir, without  # noqa: F401
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -49,6 +30,30 @@ def small_batches(spark: SparkSession, rows: int = 2_000):
         spark.conf.set(BATCH, before)
 
 
+#: What ``saved`` wrote in each scope that is open, the innermost last.
+_SCOPES: list[list[tuple[str, str]]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, *keep: str):
+    """Deletes what is saved meanwhile under other names than ``keep``; those pass to the scope around this one.
+
+    ``keep`` names all that the result is read from once it leaves the scope.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        own = _SCOPES.pop()
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for name, path in own:
+            if name not in keep:
+                where = hadoop.Path(path)
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            elif _SCOPES:
+                _SCOPES[-1].append((name, path))
+
+
 def saved(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors.
 
@@ -57,6 +62,8 @@ def saved(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append((name, path))
     with small_batches(spark):
         (df if files is None else df.coalesce(max(1, files))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -117,45 +124,3 @@ def once_a_worker(key: str, make):
         held.clear()
         held[key] = make()
     return held[key]
-
-
-#: Bits of the tables below; a table is BITS / 64 rows at most, whatever it was made from.
-BITS = 1 << 24
-
-
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, or a longer one that ``df`` does not have."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
-def may_be_among(rows: DataFrame, key: Column, keys: DataFrame, mark: str) -> DataFrame:
-    """``rows`` with a column ``mark``: false where ``key`` is surely not in the one column of ``keys``.
-
-    A table of bits of a fixed size is broadcast, so that only rows that may match need to move to meet the keys.
-    """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
-    w, bits = fresh(rows, "_w"), fresh(rows, "_bits")
-    at = keys.select(place(F.col(keys.columns[0])).alias("at")).selectExpr(f"at div 64 AS {w}", "shiftleft(1L, int(at % 64)) AS bit")
-    table = at.groupBy(w).agg(F.expr("bit_or(bit)").alias(bits))
-    found = rows.withColumn(mark, place(key)).withColumn(w, F.expr(f"`{mark}` div 64")).join(F.broadcast(table), w, "left")
-    bit = F.expr(f"coalesce(shiftrightunsigned(`{bits}`, int(`{mark}` % 64)) & 1 = 1, false)")
-    return found.withColumn(mark, bit).drop(w, bits)
-
-
-def without(rows: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:
-    """The rows whose ``keys`` are not a row of ``gone`` (a column a key, in order); nulls are equal.
-
-    Rows whose last key is surely not there stay where they lie; only the others move to be looked up.
-    """
-    mark = fresh(rows, "_mark")
-    names = [f"{mark}_{i}" for i in range(len(keys))]
-    gone = gone.toDF(*names).distinct()
-    told = may_be_among(rows, keys[-1], gone.select(names[-1]), mark)
-    same = F.lit(True)
-    for k, n in zip(keys, names, strict=True):
-        same = same & k.eqNullSafe(F.col(n))
-    some = told.filter(F.col(mark)).join(gone, same, "left_anti")
-    return told.filter(~F.col(mark)).unionByName(some).drop(mark)
