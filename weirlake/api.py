@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirlake.operators.sinks import write_report
-from weirlake.plans import catalogue, roundtrips, tables  # noqa: F401
+from weirlake.plans import catalogue, decisions, roundtrips, tables  # noqa: F401
 from weirlake.plans.control import Controls
 from weirlake.plans.query import MOST_HITS, MOST_ROWS, run_sql, search_documents
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weirlake.api import REPORTS
 from weirlake.operators import audit, corpus, ledger, sinks
-from weirlake.plans import catalogue, roundtrips, tables  # noqa: F401
+from weirlake.plans import catalogue, decisions, roundtrips, tables  # noqa: F401
 from weirlake.plans.control import Controls
 from weirlake.plans.query import run_sql, search_documents
 from weirlake.sources import files, registry
