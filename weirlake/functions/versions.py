@@ -100,6 +100,12 @@ def parse_time(value: Column) -> Column:
     return F.try_to_timestamp(F.when(F.coalesce(value, F.lit("")) != "", value))
 
 
+def utc_text(at: Column | None = None) -> Column:
+    """A time, the present one if none is given, as UTC text to the second that ends in ``Z``."""
+    now = F.current_timestamp() if at is None else at
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), now.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def crate_name(path: Column) -> Column:
     """The crate that an index path stands for; null for other files."""
     v = F.regexp_replace(F.trim(F.coalesce(path, F.lit(""))), "^/+|/+$", "")

@@ -231,6 +231,13 @@ def country_scope(sources: DataFrame, by: str) -> DataFrame:
     return codes.select(by, F.when(F.col("low") == F.col("high"), F.col("low")).otherwise("MIXED").alias("country_scope"))
 
 
+def missing_columns(tables: DataFrame, required: list[str]) -> DataFrame:
+    """(source_id, missing): what of ``required`` a source's columns (source_id, columns) lack; complete ones are left out."""
+    own = tables.groupBy("source_id").agg(F.array_distinct(F.flatten(F.collect_list("columns"))).alias("own"))
+    found = own.select("source_id", F.array_except(F.array(*map(F.lit, required)), "own").alias("missing"))
+    return found.filter(F.size("missing") > 0)
+
+
 def inventory(spark, path: str) -> DataFrame:
     """(files, bytes, rows) of a Parquet folder, from file metadata and footers."""
     df = spark.read.parquet(path)

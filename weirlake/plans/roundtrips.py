@@ -20,7 +20,7 @@ from weirlake.plans import catalogue
 from weirlake.plans import tables as t
 from weirlake.plans.query import run_sql
 from weirlake.plans.registered import query
-from weirlake.sources import adapters, files, records, registry
+from weirlake.sources import adapters, feeds, files, records, registry
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> list:
@@ -433,6 +433,19 @@ def documents_classified(spark, sf_dir):
     return technologies.classified_documents(docs, metadata, catalogue.TOPICS).select("doc_id", "primary_domain", "classification_confidence", "classification_status")
 
 
+@query("missing_columns", "SELECT s_suppkey AS source_id, CASE WHEN s_suppkey % 2 = 0 THEN 'url' ELSE 'title,url' END AS missing FROM supplier WHERE s_suppkey % 3 <> 0")
+def missing_columns(spark, sf_dir):
+    k = F.col("s_suppkey")
+    columns = F.array_compact(F.array(F.lit("id"), F.when((k % 2 == 0) | (k % 3 == 0), "title"), F.when(k % 3 == 0, "url"), F.lit("more")))
+    rows = t.table(spark, sf_dir, "supplier").select(k.alias("source_id"), columns.alias("columns"))
+    return audit.missing_columns(rows, ["id", "title", "url"]).select("source_id", F.array_join("missing", ",").alias("missing"))
+
+
+@query("utc_times", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS at FROM orders")
+def utc_times(spark, sf_dir):
+    return t.table(spark, sf_dir, "orders").select("o_orderkey", versions.utc_text(F.to_utc_timestamp(F.col("o_orderdate").cast("timestamp"), "UTC")).alias("at"))
+
+
 def unmapped_page(discovered: DataFrame, mapped: DataFrame, limit: int) -> DataFrame:
     """The first unmapped discoveries in order, and whether there are more."""
     rest = discovered.join(mapped, "id", "left_anti").orderBy("domain", "title", "id").limit(limit + 1)
@@ -445,3 +458,59 @@ def unmapped(spark, sf_dir):
     o = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("domain"), F.col("o_orderstatus").alias("title"))
     mapped = t.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
     return unmapped_page(o, mapped, 20).select("id", "domain", "truncated")
+
+
+# --- feeds ----------------------------------------------------------------------------------------
+
+
+def _pages(rows: DataFrame, element, place: str, size: int = 500) -> DataFrame:
+    """(page, payload): feed pages of ``element`` under ``place``, in order of ``k``."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("k", element.alias("e")))), lambda x: x["e"])
+    by = rows.groupBy(F.floor(F.col("k") / size).alias("page")).agg(listed.alias("x"))
+    return by.select("page", F.parse_json(F.to_json(F.struct(F.col("x").alias(place)))).alias("payload"))
+
+
+@query("feed_changes", """SELECT 'npm-changes' AS source, 'u' || user_id AS name, event_id % 3 = 0 AS deleted, 60 AS priority, event_id // 500 * 1000000 + event_id % 500 AS ord FROM events WHERE event_id % 7 <> 0
+    UNION ALL SELECT 'packagist-changes', 'u/' || user_id, event_id % 2 = 0, 60, event_id // 500 * 1000000 + event_id % 500 FROM events WHERE event_id % 3 <> 2""")
+def feed_changes(spark, sf_dir):
+    """Ordered changes of two registries; documents that are no packages and other actions are left out."""
+    e = t.table(spark, sf_dir, "events").select(F.col("event_id").alias("k"), F.col("user_id").cast("string").alias("u"))
+    npm = F.struct(F.when(F.col("k") % 7 == 0, "_design/x").otherwise(F.concat(F.lit("u"), "u")).alias("id"), (F.col("k") % 3 == 0).alias("deleted"))
+    action = F.when(F.col("k") % 3 == 2, "resync").when(F.col("k") % 2 == 0, "Delete").otherwise("update")
+    packagist = F.struct(action.alias("type"), F.concat(F.lit("u/"), "u", F.lit("~dev")).alias("package"))
+    both = feeds.feed_rows(_pages(e, npm, "results"), "npm-changes").unionByName(feeds.feed_rows(_pages(e, packagist, "actions"), "packagist-changes"))
+    return both.select("source", "name", "deleted", "priority", "ord")
+
+
+@query("feed_names", """SELECT 'pypi.org' AS registry, 'pypi-simple' AS source, c_name AS name, 10 AS priority FROM customer UNION ALL SELECT 'pub.dev', 'pubdev-package-names', c_name, 30 FROM customer UNION ALL SELECT 'npmjs.org', 'npm-all-docs', c_name, 15 FROM customer
+    UNION ALL SELECT 'packagist.org', 'packagist-popular', c_name, least(100, 40 + least(40, c_custkey * 9000 // 100000) + least(20, c_custkey * 7 // 100))::INT FROM customer UNION ALL SELECT 'packagist.org', 'packagist-all', c_name, 20 FROM customer
+    UNION ALL SELECT 'rubygems.org', 'rubygems-latest', c_name, 45 FROM customer""")
+def feed_names(spark, sf_dir):
+    c = t.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_name")
+    name = F.col("c_name")
+    popular = F.struct(name.alias("name"), (F.col("k") * 9000).alias("downloads"), (F.col("k") * 7).alias("favers"))
+    keyed = c.groupBy(F.floor(F.col("k") / 500).alias("page")).agg(F.parse_json(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("c_name", F.struct(F.lit("library").alias("type"))))).alias("package")))).alias("payload"))
+    bare = _pages(c, F.struct(name.alias("name")), "x").select("page", F.expr("try_variant_get(payload, '$.x', 'variant')").alias("payload"))
+    every = [
+        feeds.feed_rows(_pages(c, F.struct(name.alias("name")), "projects"), "pypi-simple"), feeds.feed_rows(_pages(c, name, "packages"), "pubdev-package-names"), feeds.feed_rows(_pages(c, F.struct(name.alias("key")), "rows"), "npm-all-docs"),
+        feeds.feed_rows(_pages(c, popular, "packages"), "packagist-popular"), feeds.feed_rows(keyed, "packagist-all"), feeds.feed_rows(bare, "rubygems-latest"),
+    ]
+    out = every[0]
+    for more in every[1:]:
+        out = out.unionByName(more)
+    return out.select("registry", "source", "name", "priority")
+
+
+@query("feed_cursors", "SELECT CAST(max(event_id) AS VARCHAR) AS seq, 'https://x.org/2' AS next, '77' AS serial, TRUE AS resync FROM events")
+def feed_cursors(spark, sf_dir):
+    e = t.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 500).alias("page"), "event_id")
+    npm = e.groupBy("page").agg(F.parse_json(F.to_json(F.struct(F.max("event_id").alias("last_seq")))).alias("payload"))
+    one = lambda j: spark.createDataFrame([(0, "{}"), (1, j)], "page int, j string").select("page", F.expr("parse_json(j)").alias("payload"))
+    row = (feeds.feed_cursor(npm, "npm-changes"), feeds.feed_cursor(one('{"nextUrl": "https://x.org/2"}'), "pubdev-package-names"), feeds.feed_cursor(one('{"meta": {"_last-serial": 77}}'), "pypi-simple"), feeds.needs_resync(one('{"actions": [{"type": "Resync"}]}')))
+    return spark.createDataFrame([row], "seq string, next string, serial string, resync boolean")
+
+
+@query("public_queue", t.with_derived("sources") + """ SELECT source_id, domain, rights_tier, 'LOCAL_CACHE_ONLY' AS raw_action FROM sources WHERE NOT starts_with(rights_tier, 'D_')""")
+def public_queue(spark, sf_dir):
+    s = t.derived(spark, sf_dir, "sources").withColumn("source_url", F.lit("https://x.org"))
+    return feeds.public_queue(s).select("source_id", "domain", "rights_tier", "raw_action")
