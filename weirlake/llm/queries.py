@@ -89,7 +89,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+        "n_near", F.array_join("near_items", ",").alias("near_items"),
+    )
 
 
 OP6_SQL = r"""
@@ -105,10 +108,21 @@ grams AS (
     FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n)),
 hits AS (SELECT doc_id, i, g.n, item_id FROM grams g JOIN wins v ON g.win = v.win AND g.n = v.n),
 counted AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+term_counts AS (SELECT term, count(*) AS c FROM (SELECT unnest(w) AS term FROM d) GROUP BY term),
+listed AS (SELECT item_id, win, n, string_split(win, ' ') AS ws FROM wins),
+offsets AS (SELECT item_id, win, n, ws, unnest(range(1, n + 1)) AS o FROM listed),
+ranked AS (SELECT item_id, win, n, any_value(ws) AS ws, count(c) AS known, min(struct_pack(c := c, o := o)) AS rarest FROM offsets LEFT JOIN term_counts ON term = ws[o] GROUP BY item_id, win, n),
+anchors AS (SELECT item_id, ws, ws[rarest.o] AS term FROM ranked WHERE known = n),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+close AS (
+    SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM (SELECT doc_id, w, p, w[p] AS term FROM places) JOIN anchors USING (term)
+    WHERE list_has_all(w[greatest(p - 9, 1):p + 9], ws)),
+near AS (SELECT doc_id, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near_items FROM close GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near, coalesce(near_items, '') AS near_items
+FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 
