@@ -22,11 +22,15 @@ from weirlake.llm.common import once_a_worker, saved
 
 #: Bounds of the fitting sample: documents of each language, and characters of one of them.
 SAMPLE_DOCS = 300
+#: Documents of all languages together in the fitting sample.
+SAMPLE_TOTAL = 12_000
 SAMPLE_CHARS = 20_000
 FEATURES = 1 << 17
 #: A table of so many language names at most is broadcast.
 MOST_LANGS = 10_000
-MOST_WORDS = 300_000
+MOST_WORDS = 200_000
+#: Texts looked at together: their new words are in memory with all their features.
+TEXTS = 400
 #: Words chained at once in a worker.
 CHAIN = 400_000
 BLOCK = 128
@@ -259,16 +263,18 @@ def held_out(row_id: Column, folds: int = 3, fold: int = 1) -> Column:
 def fit_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS):
     """A field fitted to (doc_id, text, lang) from a bounded sample of rows that are not held out.
 
-    Up to about ``sample_docs`` whole documents of each language, of at most ``sample_chars`` characters.
+    Up to about ``sample_docs`` whole documents of each language, of at most ``sample_chars`` characters, and no more than
+    ``SAMPLE_TOTAL`` in all, shared equally where there are many languages.
     """
     rows = docs.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out(F.col("doc_id"))).filter(F.char_length("text") <= sample_chars)
     # One row a language: how many documents it has, and so what share of them to draw.
     counts = saved(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total")), "languages")
     langs = counts.count()
+    sample_docs = max(1, min(sample_docs, SAMPLE_TOTAL // max(1, langs)))
     share = F.least(F.lit(1.0), F.lit(1.2 * sample_docs) / F.col("total"))
     drawn = rows.join(F.broadcast(counts) if langs <= MOST_LANGS else counts, "lang").filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
     texts: dict[str, list[str]] = {}
-    for r in drawn.select("lang", "text").limit(4 * sample_docs * max(1, langs)).collect():
+    for r in drawn.select("lang", "text").limit(2 * SAMPLE_TOTAL).collect():
         texts.setdefault(r["lang"], []).append(r["text"])
     texts = {k: sorted(v)[:sample_docs] for k, v in sorted(texts.items())}
     return fit_crf(texts)
@@ -298,8 +304,8 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         langs = labeller.langs
         for b in batches:
             pred, score, shares = [], [], []
-            for at in range(0, b.num_rows, 1000):
-                texts = [words_of(t) if (t := x.as_py()) and langs else [] for x in b["text"].slice(at, 1000)]
+            for at in range(0, b.num_rows, TEXTS):
+                texts = [words_of(t) if (t := x.as_py()) and langs else [] for x in b["text"].slice(at, TEXTS)]
                 for t, s in zip(texts, labeller.shares(texts), strict=True):
                     k = int(s.argmax()) if t else -1
                     pred.append(langs[k] if t else "und")
