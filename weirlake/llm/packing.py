@@ -9,6 +9,7 @@ the pieces of that length, so pieces are placed where they lie.
 
 from __future__ import annotations
 
+import itertools
 import sys
 import zlib
 from array import array
@@ -39,10 +40,19 @@ class Ids(Blocks):
             ids.byteswap()
         return ids.tobytes()
 
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's begin, and the last one's end)."""
+        values, which, at = self.batch(texts)
+        pool = np.frombuffer(b"".join(values), "<u4")
+        many = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        start, n = (np.cumsum(many) - many)[which], many[which]
+        total = np.concatenate([[0], np.cumsum(n)])
+        return pool[np.repeat(start - total[:-1], n) + np.arange(total[-1])], total[at]
+
 
 def pieces_of(docs: DataFrame, vocabulary: str, size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth): ``nth`` counts a part's pieces of that length from 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = once_a_worker(f"ids {vocabulary}", lambda: Ids(load_spec(vocabulary)))
@@ -50,8 +60,9 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int, end_id: int, id_col:
         part, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for b in batches:
             row, piece, length, crc, nth = [], [], [], [], []
-            for i, t in enumerate(b["text"]):
-                every = ids.of(t.as_py()) + end
+            flat, at = ids.of(b["text"])
+            for i, (first, last) in enumerate(itertools.pairwise(at.tolist())):
+                every = flat[first:last].tobytes() + end
                 for k in range(0, len(every), step):
                     own = every[k : k + step]
                     n = len(own) // 4

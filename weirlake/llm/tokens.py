@@ -14,14 +14,16 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirlake.llm.common import once_a_worker
 
 #: Blocks, and pieces, that a Python worker remembers are twice as many at most.
-MOST_WORDS = 300_000
+MOST_WORDS = 500_000
 #: Longer blocks and pieces are looked at whenever they occur.
 LONG_WORD = 64
 #: Characters below this have no combining forms; for those the rules can be run by ``re``, where it gives what the library gives.
@@ -126,6 +128,7 @@ class Blocks:
     """
 
     def __init__(self, spec: dict, of_piece, of_special, combine):
+        # White space at an end leaves an empty block there, which is nothing, as it should be.
         self.pieces, self.of_piece, self.of_special, self.combine = Pieces(spec), of_piece, of_special, combine
         self.blocks, self.old_blocks, self.known, self.old_known = {}, {}, {}, {}
 
@@ -150,10 +153,10 @@ class Blocks:
         if not ask:
             return
         joined = b"\n".join(ask).decode()
-        if not self.pieces.flat(joined):
+        if self.pieces.quick is None or not self.pieces.flat(joined):
             easy = []
             for w in ask:
-                if self.pieces.flat(w.decode()):
+                if self.pieces.quick is not None and self.pieces.flat(w.decode()):
                     easy.append(w)
                 else:
                     self.blocks[w] = self.combine(self.of_special(p) if special else self._piece(p) for special, p in self.pieces(w.decode()))
@@ -169,12 +172,15 @@ class Blocks:
                 value = known.get(p)
                 got.append(self._piece(p) if value is None else value)
 
-    def of(self, text: bytes):
-        blocks = text.split()
+    def batch(self, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+        """(value of each distinct block, which of them each block is, where each text's blocks begin, and the last one's end)."""
+        parts = pc.ascii_split_whitespace(texts)
+        coded = parts.flatten().dictionary_encode()
+        blocks = coded.dictionary.cast(pa.binary()).to_pylist()
         new = set(blocks).difference(self.blocks)
         if new:
             self._learn(new)
-        out = self.combine(map(self.blocks.__getitem__, blocks))
+        values = list(map(self.blocks.__getitem__, blocks))
         for w in new:
             if len(w) > LONG_WORD:
                 del self.blocks[w]
@@ -182,7 +188,7 @@ class Blocks:
             self.old_blocks, self.blocks = self.blocks, {}
         if len(self.known) > MOST_WORDS:
             self.old_known, self.known = self.known, {}
-        return out
+        return values, coded.indices.to_numpy(), parts.offsets.to_numpy()
 
 
 def _byte_symbols() -> list[str]:
@@ -206,6 +212,12 @@ class Counts(Blocks):
         self.end, self.symbol = model.get("end_of_word_suffix") or "", _byte_symbols()
         super().__init__(spec, self.merged, lambda special: 1, sum)
 
+    def of(self, texts: pa.Array) -> np.ndarray:
+        """Each text's number of tokens."""
+        values, which, at = self.batch(texts)
+        total = np.concatenate([[0], np.cumsum(np.array(values, np.int64)[which])])
+        return total[at[1:]] - total[at[:-1]]
+
     def merged(self, piece: str) -> int:
         """Tokens of a piece: its bytes less the merges."""
         sym: list[str | None] = [self.symbol[b] for b in piece.encode()]
@@ -242,13 +254,12 @@ def count_tokens(
     counts as empty (0 tokens); repeated rows and null ids keep a row each; an empty table gives none;
     other columns are not read. Whole texts are counted.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = once_a_worker(f"counts {vocabulary}", lambda: Counts(load_spec(vocabulary)))
         for b in batches:
-            n = [counts.of(t.as_py()) for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["n_bytes"], pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["n_bytes"], pa.array(counts.of(b["text"]))], ["doc_id", "n_bytes", "n_tokens"])
 
     sized = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
     out = sized.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
