@@ -37,7 +37,7 @@ BUCKET = 32
 #: A text in so many long lists, too far from a template to be linked to what is near it, waits for a template of its own.
 SPREAD = 8
 #: Texts that make a template. Links do not depend on it; a good one makes differences short.
-VOTERS = 16
+VOTERS = 24
 MOST_WORDS = 200_000
 #: Counters of the sketch that orders shingles, and how many go in a row.
 SKETCH = 1 << 18
@@ -247,25 +247,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, file
 
 
 def _templates(voters: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(gid, t): the shingles that more than half of a group's voters have, at most twice as many as a voter has."""
+    """(gid, t): the shingles that more than half of a group's few voters have, at most twice as many as a voter has."""
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def most(table: pa.Table) -> pa.Table:
         make = _shingler(words)
-        for b in batches:
-            gids, tokens, counts = [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            sets: dict[int, list[np.ndarray]] = {}
-            for gid, z in zip(b["gid"].to_pylist(), b["z"], strict=True):
-                sets.setdefault(gid, []).append(make.set_of(zlib.decompress(z.as_py())))
-            for gid, own in sets.items():
-                token, n = np.unique(np.concatenate(own), return_counts=True)
-                gids += [gid] * len(token)
-                tokens.append(token)
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(gids, pa.int64()), pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(counts))], ["gid", "token", "n"])
-
-    votes = voters.groupBy("gid").agg(F.count(F.lit(1)).alias("votes"))
-    count = voters.join(texts, "node").select("gid", "z").mapInArrow(spell, "gid long, token long, n long").groupBy("gid", "token").agg(F.sum("n").alias("n"))
-    return count.join(votes, "gid").filter(2 * F.col("n") > F.col("votes")).groupBy("gid").agg(F.collect_list("token").alias("t"))
+        sets = [make.set_of(zlib.decompress(z.as_py())) for z in table["z"]]
+        token, n = np.unique(np.concatenate(sets), return_counts=True)
+        return pa.table({"gid": table["gid"].slice(0, 1), "t": pa.array([token[2 * n > len(sets)].view(np.int64)], pa.list_(pa.int64()))})
+
+    return voters.join(texts, "node").select("gid", "z").groupBy("gid").applyInArrow(most, "gid long, t array<long>")
 
 
 def _votes(node, votes, gid):
