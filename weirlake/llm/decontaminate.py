@@ -110,11 +110,15 @@ def candidates(stored: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def lists_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
-    """(key, term, positions) of the (key, term) asked for; only texts that may be asked for move."""
+    """(kid, term, positions) of the (kid, key, terms) asked for; only texts that may be asked for move, and none of their other words.
+
+    ``terms`` are words of the benchmark's windows, so there are no more than it has, whatever the text.
+    """
     some = may_be_among(rows.select("key", "text"), F.col("key"), asked.select("key"), "asked").filter("asked").dropDuplicates(["key"])
-    words = with_words(some.join(asked.select("key").distinct(), "key", "left_semi").select("key", "text"))
-    entry = words.select("key", F.posexplode(F.slice("words", 1, F.size("words"))).alias("pos", "term")).join(asked, ["key", "term"])
-    return saved(entry.groupBy("key", "term").agg(F.collect_set("pos").alias("positions")), "lists")
+    words = saved(with_words(some.join(asked, "key").select("kid", "terms", "text")), "asked-words")
+    places = lambda t: F.filter(F.transform("words", lambda w, i: F.when(w == t, i)), lambda i: i.isNotNull())
+    found = words.select("kid", F.explode(F.transform("terms", lambda t: F.struct(t.alias("term"), places(t).alias("positions")))).alias("x"))
+    return saved(found.select("kid", "x.term", "x.positions"), "lists")
 
 
 def intersected(rows: DataFrame, found: DataFrame, windows: DataFrame, reach: int) -> DataFrame:
@@ -122,17 +126,19 @@ def intersected(rows: DataFrame, found: DataFrame, windows: DataFrame, reach: in
 
     ``found`` is (key, wid). Windows that a text has neither way are left out.
     """
+    keys = saved(found.select("key").distinct().withColumn("kid", F.monotonically_increasing_id()), "asked-keys")
+    found = found.join(keys, "key").select("kid", "wid")
     each_term = _sent(windows.select("wid", "n", F.posexplode("terms").alias("rank", "t")).select("wid", "n", "rank", "t.offset", "t.term"))
     whole = saved(found.join(each_term, "wid"), "asked-terms")
-    lists = lists_of(rows, whole.select("key", "term").distinct())
+    lists = lists_of(rows, whole.groupBy("kid").agg(F.collect_set("term").alias("terms")).join(keys, "kid"))
     # A group has a row a word of one window.
-    group = whole.join(lists, ["key", "term"]).groupBy("key", "wid", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "offset", "positions"))).alias("lists")).filter(F.size("lists") == F.col("n"))
+    group = whole.join(lists, ["kid", "term"]).groupBy("kid", "wid", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "offset", "positions"))).alias("lists")).filter(F.size("lists") == F.col("n"))
     shift = lambda x: F.transform(x["positions"], lambda p: p - x["offset"])
     wide = lambda x: F.flatten(F.transform(x["positions"], lambda p: F.sequence(p - reach, p + reach)))
     head, rest = F.col("lists")[0], F.slice("lists", 2, F.size("lists"))
     starts = F.aggregate(rest, shift(head), lambda acc, x: F.array_intersect(acc, shift(x)))
     near = F.aggregate(rest, head["positions"], lambda acc, x: F.array_intersect(acc, wide(x)))
-    return group.select("key", "wid", starts.alias("starts"), near.alias("near")).filter("size(starts) > 0 or size(near) > 0")
+    return group.select("kid", "wid", starts.alias("starts"), near.alias("near")).filter("size(starts) > 0 or size(near) > 0").join(keys, "kid").drop("kid")
 
 
 def contaminated(
