@@ -20,7 +20,7 @@ _STABLE = r"¡-§©«-®°±¶·»¿-ıĴ-ľŁ-ňŊ-ž"
 #: Control characters that cleaning drops (fixed values).
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 #: White space other than line feeds that may be left at a line's ends.
-_SPACE = r"[\t\x0b\x0c\r \x85   -     　]"
+_SPACE = "\t\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LEAST_QUALITY = 0.35
 
 
@@ -50,7 +50,7 @@ def clean_native(text: Column) -> Column:
     t = F.regexp_replace(F.coalesce(text, F.lit("")), _CONTROL, "")
     t = F.regexp_replace(t, r"\r\n?", "\n")
     t = F.regexp_replace(t, r"[ \t]+", " ")
-    t = F.regexp_replace(t, rf"(?md)^{_SPACE}+|{_SPACE}+$", "")
+    t = F.array_join(F.transform(F.split(t, "\n"), lambda line: F.trim(line, F.lit(_SPACE))), "\n")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
     return F.regexp_replace(t, r"^\n+|\n+\z", "")
 

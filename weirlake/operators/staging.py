@@ -44,6 +44,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bytes, by Spark's estimate, up to which an input of few files is dealt out.
+SMALL = 256 << 20
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows``, dealt to all cores where they come from fewer files than there are cores and are small; else as they lie.
+
+    Spark reads a file's row group in one task, so a small table in one file would keep one core busy.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if not 0 < len(rows._jdf.inputFiles()) < cores:
+        return rows
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size <= SMALL else rows
+
+
 def may_be_among(rows: DataFrame, key: Column, keys: DataFrame, mark: str) -> DataFrame:
     """``rows`` with a column ``mark``: false where ``key`` is surely not in the one column of ``keys``.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weirlake.functions import markup, scoring, text, urls, versions
 from weirlake.functions.bind import once
 from weirlake.operators import audit, changes, claims, corpus, ledger, sinks, stages, technologies
+from weirlake.operators.staging import spread
 from weirlake.plans import tables as t
 from weirlake.plans.query import search_documents
 from weirlake.plans.registered import ORACLES, QUERIES, query
@@ -46,7 +47,7 @@ _SCORED = rf"""SELECT *, CASE WHEN length(c) = 0 THEN 0.0::DOUBLE WHEN length(c)
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(t.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query("doc_clean_stats", f"SELECT doc_id, length(c) AS n_chars, md5(c) AS digest FROM ({_CLEANED})")
