@@ -9,7 +9,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.operators.staging import fresh, may_be_among, shared_dir, without  # noqa: F401
+from weirlake.operators.staging import fresh, may_be_among, shared_dir, spread, without  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import ascii_lower, may_be_among, saved, scratch
+from weirlake.llm.common import ascii_lower, may_be_among, saved, scratch, spread
 
 #: What stands between words: any ASCII character but digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -155,7 +155,7 @@ def contaminated(
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text).alias("text"))
     with scratch(spark, "postings", "hits"):
-        return _contaminated(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), items, size)
+        return _contaminated(spread(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), items, size)
 
 
 def _contaminated(rows: DataFrame, items: DataFrame, size: int) -> DataFrame:

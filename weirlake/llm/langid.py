@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker, saved
+from weirlake.llm.common import once_a_worker, saved, spread
 
 #: Bounds of the fitting sample: documents of each language, and characters of one of them.
 SAMPLE_DOCS = 300
@@ -288,7 +288,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     from; repeated rows keep a row each; ties go to the first name; other columns are not read, but for
     those of ``carry``, which come out unchanged as a struct ``carried``.
     """
-    rows = docs.select(
+    rows = spread(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
         F.struct(F.lit(True).alias("_"), *(F.col(c) for c in carry)).alias("carried"),
     )
@@ -319,4 +319,5 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = lambda b: [b["carried"]] if carry else []
     asked = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text", *(["carried"] if carry else []))
     more = f", carried {rows.schema['carried'].dataType.simpleString()}" if carry else ""
-    return asked.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, shares array<double>" + more)
+    # Written here, so that texts go to the workers in small batches.
+    return saved(asked.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, shares array<double>" + more), "languages-found")

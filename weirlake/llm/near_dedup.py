@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import counted, few, once_a_worker, saved, scratch
+from weirlake.llm.common import counted, few, once_a_worker, saved, scratch, spread
 
 #: Pairs of minhashes in each collection; tables are their product.
 SIDE = 8
@@ -485,7 +485,7 @@ def near_duplicates(
 
 
 def _near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
+    rows = spread(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("tid"), "text")
     seen, total = counted(signatures(rows, words), "near-signatures")
     files = few(total, 50_000)

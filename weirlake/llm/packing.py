@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker, saved
+from weirlake.llm.common import once_a_worker, saved, spread
 from weirlake.llm.tokens import Blocks, _byte_symbols, load_spec
 
 
@@ -52,7 +52,7 @@ class Ids(Blocks):
 
 def pieces_of(docs: DataFrame, vocabulary: str, size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth): ``nth`` counts a part's pieces of that length from 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = spread(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = once_a_worker(f"ids {vocabulary}", lambda: Ids(load_spec(vocabulary)))

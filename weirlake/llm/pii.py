@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import saved
+from weirlake.llm.common import saved, spread
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("ssn", "iban", "local_phone", "hidden_email", "person")
@@ -242,7 +242,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     for base spans, which stay whatever it is. Null text counts as empty and has no spans; repeated rows and null
     ids keep a row each; an empty table gives none; without any span nothing is trained; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = spread(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("kind", pa.string()), ("votes", pa.string()), ("looks", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

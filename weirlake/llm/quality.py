@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import bernoulli, saved
+from weirlake.llm.common import bernoulli, saved, spread
 
 #: Rows of the fitting sample: trusted positives, and unlabelled rows. The only bounds here; scoring reads every row.
 POSITIVES = 6_000
@@ -131,7 +131,7 @@ def score_quality(
     each. Labels other than 1 are not used. With no positives to learn from every score is 0.5. An
     empty table gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = spread(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality")).filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     trusted = known.filter("quality = 1").select("doc_id").distinct()
     web = rows.filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
@@ -156,4 +156,5 @@ def score_quality(
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(score, pa.float64())], ["doc_id", "held_out", "score"])
 
     out = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double")
+    out = saved(out, "quality")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import once_a_worker
+from weirlake.llm.common import once_a_worker, saved, spread
 
 #: Blocks, and pieces, that a Python worker remembers are twice as many at most.
 MOST_WORDS = 500_000
@@ -254,7 +254,7 @@ def count_tokens(
     counts as empty (0 tokens); repeated rows and null ids keep a row each; an empty table gives none;
     other columns are not read. Whole texts are counted.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = spread(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = once_a_worker(f"counts {vocabulary}", lambda: Counts(load_spec(vocabulary)))
@@ -262,5 +262,5 @@ def count_tokens(
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["n_bytes"], pa.array(counts.of(b["text"]))], ["doc_id", "n_bytes", "n_tokens"])
 
     sized = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    out = sized.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+    out = saved(sized.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long"), "token-counts")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
