@@ -75,3 +75,13 @@ def test_corpus_manifest_says_what_the_shards_hold(spark, tmp_path):
     other = corpus.write_corpus(rows.filter("doc_id <> 3"), str(tmp_path), "c", "doc_id")
     assert one["records_sha256"] == two["records_sha256"] != other["records_sha256"] and one["stats"] == two["stats"]
     assert spark.read.json(f"{tmp_path}/a/shards").count() == one["stats"]["documents_written"] == 40
+
+
+def test_small_inputs_of_few_files_are_spread(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(1000).repartition(9).write.parquet(str(tmp_path / "many"))
+    one, many = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "many"))
+    cores = spark.sparkContext.defaultParallelism
+    dealt = staging.spread(one)
+    assert dealt.count() == 1000 and dealt.select(F.spark_partition_id()).distinct().count() == cores
+    assert "Exchange" not in plan_of(staging.spread(many)) and "Exchange" not in plan_of(staging.spread(spark.range(5)))
