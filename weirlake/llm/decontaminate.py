@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import ascii_lower, may_be_among, saved, scratch, spread
+from weirlake.llm.common import ascii_lower, few, may_be_among, saved, scratch, spread
 
 #: What stands between words: any ASCII character but digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -106,7 +106,7 @@ def candidates(stored: DataFrame, windows: DataFrame) -> DataFrame:
     entry = stored.filter(F.size("postings") > 0).select("key", F.explode("postings").alias("p")).select("key", "p.term", "p.near")
     first = windows.select("wid", F.col("anchor.term").alias("term"), F.transform(F.slice("terms", 2, 2), lambda x: x["term"]).alias("next"))
     met = entry.join(_sent(first), "term").filter(F.forall("next", lambda w: F.array_contains("near", w)))
-    return saved(met.select("key", "wid").distinct(), "candidates")
+    return saved(met.select("key", "wid").distinct(), "candidates", few(stored.count(), 50_000))
 
 
 def lists_of(rows: DataFrame, asked: DataFrame) -> DataFrame:
@@ -126,10 +126,11 @@ def intersected(rows: DataFrame, found: DataFrame, windows: DataFrame, reach: in
 
     ``found`` is (key, wid). Windows that a text has neither way are left out.
     """
-    keys = saved(found.select("key").distinct().withColumn("kid", F.monotonically_increasing_id()), "asked-keys")
+    total = found.count()
+    keys = saved(found.select("key").distinct().withColumn("kid", F.monotonically_increasing_id()), "asked-keys", few(total, 100_000))
     found = found.join(keys, "key").select("kid", "wid")
     each_term = _sent(windows.select("wid", "n", F.posexplode("terms").alias("rank", "t")).select("wid", "n", "rank", "t.offset", "t.term"))
-    whole = saved(found.join(each_term, "wid"), "asked-terms")
+    whole = saved(found.join(each_term, "wid"), "asked-terms", few(total, 20_000))
     lists = lists_of(rows, whole.groupBy("kid").agg(F.collect_set("term").alias("terms")).join(keys, "kid"))
     # A group has a row a word of one window.
     group = whole.join(lists, ["kid", "term"]).groupBy("kid", "wid", "n").agg(F.array_sort(F.collect_list(F.struct("rank", "offset", "positions"))).alias("lists")).filter(F.size("lists") == F.col("n"))

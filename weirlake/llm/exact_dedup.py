@@ -164,7 +164,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     Only rows that may have copies move; all others stay where they lie.
     """
     found = exact_dedup(spark, docs, id_col, text_col).filter("group_size > 1")
-    found = saved(found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")), "dedup-rows")
+    found = saved(found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")), "dedup-rows", few(docs.count(), 250_000))
     sha = sha256(F.coalesce(F.col(text_col), F.lit("")))
     left = without(docs, found.filter("not kept").select("doc_id", "text_sha256"), F.col(id_col), sha)
     alike = found.filter("kept and rows > 1")
