@@ -32,8 +32,10 @@ SIDE = 8
 HASHES = 4 * SIDE
 #: Of the minhashes, at least so many agree for any similarity from 0.8 on, but for 3 pairs in 100 million.
 AGREE = 12
-#: Larger buckets, and longer lists, are families.
+#: Larger buckets are families.
 BUCKET = 32
+#: Lists of shared differences that more open texts than this are in are families of their own.
+LIST = 64
 #: A text in so many long lists, too far from a template to be linked to what is near it, waits for a template of its own.
 SPREAD = 8
 #: Texts that make a template. Links do not depend on it; a good one makes differences short.
@@ -369,7 +371,7 @@ def _settled(groups: DataFrame, voters: DataFrame, texts: DataFrame, words: int,
 
     waiting = None
     if wait:
-        long = shown.groupBy("gid", "token").agg(F.sum(F.col("open").cast("int")).alias("asking")).filter(F.col("asking") > BUCKET)
+        long = shown.groupBy("gid", "token").agg(F.sum(F.col("open").cast("int")).alias("asking")).filter(F.col("asking") > LIST)
         waiting = shown.filter("far").join(long, ["gid", "token"]).groupBy("gid", "node").count().filter(F.col("count") > SPREAD).select("gid", "node")
         waiting, n = counted(waiting, "near-waiting", few(listed, 250_000))
         if n:
@@ -378,7 +380,7 @@ def _settled(groups: DataFrame, voters: DataFrame, texts: DataFrame, words: int,
             waiting = None
     lists = shown.groupBy("gid", "token").agg(F.count(F.lit(1)).alias("many"), F.sum(F.col("open").cast("int")).alias("asking"), F.expr("bit_xor(xxhash64(node))").alias("who"))
     lists = saved(lists.filter("many > 1 and asking > 0"), "near-listed", few(listed, 250_000))
-    short = shown.join(lists.filter(F.col("asking") <= BUCKET).select("gid", "token"), ["gid", "token"])
+    short = shown.join(lists.filter(F.col("asking") <= LIST).select("gid", "token"), ["gid", "token"])
     # What two differences share comes no earlier than the first shingle they share.
     x = short.filter("open").select("gid", "token", F.col("node").alias("x"), F.col("e").alias("ex"), F.col("rest").alias("rx"))
     y = short.select("gid", "token", F.col("node").alias("y"), F.col("e").alias("ey"), F.col("rest").alias("ry"))
@@ -389,7 +391,7 @@ def _settled(groups: DataFrame, voters: DataFrame, texts: DataFrame, words: int,
     found = both.filter(whole * F.size(F.array_intersect("da", "db")) >= F.col("ea") + F.col("eb")).select("a", "b")
     links = links.unionByName(saved(found, "near-links", few(n, 20_000)))
     # Lists of the same texts are one group.
-    long = lists.filter(F.col("asking") > BUCKET).groupBy("gid", "many", "who").agg(F.min("token").alias("token")).select("gid", "token")
+    long = lists.filter(F.col("asking") > LIST).groupBy("gid", "many", "who").agg(F.min("token").alias("token")).select("gid", "token")
     more, n = counted(shown.join(long, ["gid", "token"]).select(F.xxhash64("gid", "token").alias("gid"), "node"), "near-groups", few(listed, 50_000))
     return links, (more, n) if n else None, waiting
 
