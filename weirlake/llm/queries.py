@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirlake.functions.bind import let
+from weirlake.llm.common import UPPER, few, saved, scratch
 from weirlake.llm.decontaminate import contaminated
 from weirlake.llm.exact_dedup import exact_dedup
 from weirlake.llm.langid import identify_languages
+from weirlake.llm.mixing import mix_sources
 from weirlake.llm.near_dedup import near_duplicates
 from weirlake.llm.packing import pack
+from weirlake.llm.periods import periodic_runs
 from weirlake.llm.pii import find_pii
 from weirlake.llm.quality import score_quality
+from weirlake.llm.ranking import TERM, build_index, search
 from weirlake.llm.secrets import BASE, MORE, find_secrets, written
 from weirlake.llm.tokens import count_tokens
 from weirlake.llm.url_filter import filter_urls
@@ -151,6 +156,86 @@ SELECT doc_id,
 FROM documents
 """
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with scratch(spark, "ranking-best", "ranking-queries", "ranked-items"):
+        found = search(build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+        return saved(found, "ranked-items", few(found.count(), 250_000))
+
+
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{TERM}') AS w FROM documents),
+b AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term FROM benchmark),
+n AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_words FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+df AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, n GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS c FROM b GROUP BY item_id, term),
+m AS (SELECT doc_id, 75 + (25 * len(w) * n_docs) // n_words AS m FROM d, n WHERE len(w) > 0),
+scored AS (
+    SELECT item_id, doc_id, sum(c * df.w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM q JOIN tf USING (term) JOIN df USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def looped(text: Column, row_id: Column) -> Column:
+    """The text of a tenth of all rows with a repeated block: from a word on, the words from there to a period later, again and again.
+
+    Which rows, where and which period follow from the crc32 of the id. Other texts, those without words and those of null ids stay.
+    """
+    hashed = F.crc32(row_id.cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+
+    def loop(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (g % 8 + 3))).cast("int")
+        block = F.slice(words, a + 1, p)
+        rest = F.slice(F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), rest), " ")).otherwise("")
+
+    return F.when(hashed % 10 == 0, let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), loop)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", looped(F.col("text"), F.col("doc_id")).alias("text")))
+    every = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    best = F.col("strongest")
+    out = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return saved(out, "periodic-runs")
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, 3 * source_size AS cap, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight FROM s),
+levels AS (
+    SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER (lower ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_left,
+           sum(weight) OVER (lower ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+    FROM w WINDOW lower AS (ORDER BY cap::DOUBLE / weight, source)),
+capped AS (SELECT *, cap * open <= words_left * weight AS is_capped FROM levels),
+level AS (
+    SELECT sum(source_size) - coalesce(sum(cap) FILTER (is_capped), 0) AS words_left, coalesce(sum(weight) FILTER (NOT is_capped), 1) AS open FROM capped),
+targets AS (
+    SELECT source, source_size, CASE WHEN is_capped THEN cap::DOUBLE ELSE level.words_left::DOUBLE * weight / level.open::DOUBLE END AS target FROM capped, level),
+parts AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole, floor(target - whole * source_size)::BIGINT AS rest FROM targets),
+placed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key ROWS UNBOUNDED PRECEDING) AS upto FROM d)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN upto <= rest OR upto - size <= rest AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed JOIN parts ON placed.source IS NOT DISTINCT FROM parts.source
+"""
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_secret_scans": op2_secret_scans,
@@ -162,10 +247,15 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_mix": op13_source_mix,
 }
 
 ORACLES = {
     "op2_secret_scans": _op2_sql(),
     "op6_decontamination": OP6_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op13_source_mix": OP13_SQL,
 }
