@@ -22,13 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import BATCH, counted, few, saved, spread
+from weirlake.llm.common import BATCH, counted, few, saved, small_batches, spread
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A block ends at so many documents, or distinct words of documents.
 DOCS, ENTRIES = 64, 1 << 17
-#: Blocks a task goes through together, from the greatest bound down.
+#: Blocks a task goes through together, from the greatest bound down; as many are decoded together.
 BLOCKS = 32
+DECODED = "spark.sql.parquet.columnarReaderBatchSize"
 #: Blocks with the greatest bounds that are scored for a query's first threshold.
 SEEDS = 4
 #: Distinct words of queries in one pass over the index; more queries take more passes.
@@ -62,11 +63,18 @@ def weight(n_docs: int, df: int) -> int:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """The block index of all documents; see ``search`` for nulls, repeats and columns.
 
-    Lengths are counted first, in the JVM, since impacts rest on them. A document without words is in no block.
+    Lengths are counted first, since impacts rest on them. A document without words is in no block.
     """
     rows = spread(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    length = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TERM)).cast("long")
-    n_docs, n_words = rows.select(length.alias("n")).filter("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = [len(terms_of(text.as_py())) for text in b["text"]]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(bool, n))], pa.int64()), pa.array([sum(n)], pa.int64())], ["docs", "words"])
+
+    counts = rows.select("text").mapInArrow(lengths, "docs long, words long")
+    with small_batches(rows.sparkSession):
+        n_docs, n_words = counts.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
 
     def block(number: int, ids: list, docs_: list[Counter]) -> tuple:
         vocabulary: dict[bytes, int] = {}
@@ -259,8 +267,9 @@ def search(index: Index, queries: DataFrame, k: int = 20, id_col: str = "item_id
     total = items.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(TERM))), F.lit(0))).first()[0]
     passes = -(-total // PASS)
     found = spark.createDataFrame([], "query long, doc_id long, score long")
-    before = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, str(BLOCKS))
+    before = {name: spark.conf.get(name) for name in (BATCH, DECODED)}
+    for name in before:
+        spark.conf.set(name, str(BLOCKS))
     try:
         for turn in range(passes if index.n_words else 0):
             own = items.filter(F.pmod(F.xxhash64("query"), F.lit(passes)) == turn).select("query", "text")
@@ -269,7 +278,8 @@ def search(index: Index, queries: DataFrame, k: int = 20, id_col: str = "item_id
             if asked:
                 found = found.unionByName(_pass(index, asked, k))
     finally:
-        spark.conf.set(BATCH, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     ask = items.select("query", "item_id")
