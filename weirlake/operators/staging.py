@@ -36,6 +36,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``staged``, and the folder, for ``discarded`` once nothing reads it any more."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discarded(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders of ``staged_at``."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
