@@ -63,14 +63,15 @@ def without_repeated_lines(rows: DataFrame, row_id: str, text: str = "text", sco
     lists, _ = staged_at(found.groupBy("_told").agg(F.collect_set("at").alias("_places")), "line-places")
     discarded(spark, at)
 
-    mark, own = fresh(rows, "_mark"), fresh(rows, "_own")
-    asked = may_be_among(rows.withColumn(own, told), F.col(own), lists.select("_told"), mark)
+    mark, own, key, at_ = (fresh(rows, n) for n in ("_mark", "_own", "_told", "_places"))
+    lists = lists.toDF(key, at_)
+    asked = may_be_among(rows.withColumn(own, told), F.col(own), lists.select(key), mark)
     same = asked.filter(~F.col(mark)).select(*rows.columns, F.lit(0).alias(removed))
-    met = asked.filter(F.col(mark)).join(lists, F.col(own) == F.col("_told"), "left")
+    met = asked.filter(F.col(mark)).join(lists, F.col(own) == F.col(key), "left")
 
     def kept(lines: Column) -> Column:
-        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places")), lambda i: F.get(lines, i)), "\n")
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(at_)), lambda i: F.get(lines, i)), "\n")
 
-    cleaned = F.when(F.col("_places").isNull(), F.col(text)).otherwise(let(split_lines(F.col(text)), kept))
-    changed = met.select(*(cleaned.alias(c) if c == text else F.col(c) for c in rows.columns), F.coalesce(F.size("_places"), F.lit(0)).alias(removed))
+    cleaned = F.when(F.col(at_).isNull(), F.col(text)).otherwise(let(split_lines(F.col(text)), kept))
+    changed = met.select(*(cleaned.alias(c) if c == text else F.col(c) for c in rows.columns), F.coalesce(F.size(at_), F.lit(0)).alias(removed))
     return same.unionByName(changed)

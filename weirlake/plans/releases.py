@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirlake.operators import lines, merkle, mixture, release, sampling, splits
+from weirlake.operators import lines, merkle, mixture, release, review, sampling, splits
 from weirlake.operators.staging import shared_dir, staged
 from weirlake.plans import tables as t
 from weirlake.plans.registered import query
@@ -230,3 +230,59 @@ def release_statistics(spark, sf_dir):
     kept, _ = release.run_stages(t.table(spark, sf_dir, "documents"), _stages(), f"{folder}/stages")
     release.publish(kept, folder, "corpus-0001", "split", F.col("lang"), F.col("source"), F.expr("char_length(text) div 4"))
     return spark.read.parquet(f"{folder}/corpus-0001/source-stats.parquet")
+
+
+METRICS_SQL = r"""
+s AS (SELECT doc_id, lang, coalesce(text, '') AS s, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+metrics AS (SELECT doc_id, lang, length(s) AS n_chars, len(w) AS n_words, 10000 * length(regexp_replace(s, '[^\p{L}]', '', 'g')) // greatest(length(s), 1) AS letters, 10000 * length(regexp_replace(s, '[^0-9]', '', 'g')) // greatest(length(s), 1) AS digits,
+    10000 * length(regexp_replace(s, '[\p{L}\p{N}\x09-\x0D\x20]', '', 'g')) // greatest(length(s), 1) AS symbols, 10000 * len(list_distinct(w)) // greatest(len(w), 1) AS distinct_words,
+    CASE WHEN len(w) > 1 THEN 10000 * (len(w) - 1 - len(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])))) // (len(w) - 1) ELSE 0 END AS repeated_pairs,
+    10000 * (len(l) - len(list_distinct(l))) // len(l) AS repeated_lines, 10000 * len(regexp_extract_all(s, 'https?://')) // greatest(len(w), 1) AS links, 10000 * (length(s) - length(replace(s, chr(65533), ''))) // greatest(length(s), 1) AS broken FROM s),
+scored AS (SELECT *, CASE WHEN n_words = 0 THEN 0 ELSE 4000 * least(letters, 8000) // 8000 + 3000 * least(distinct_words, 7000) // 7000 + 2000 - 2000 * least(symbols, 1000) // 1000 + 1000 - 1000 * least(repeated_lines, 10000) // 10000 END::BIGINT AS score FROM metrics),
+labelled AS (SELECT scored.*, quality = 1 AS good, ('0x' || substr(sha256(scored.doc_id::VARCHAR), 1, 8))::BIGINT % 5 = 0 AS held_out FROM scored JOIN labels ON scored.doc_id = labels.doc_id WHERE quality IS NOT NULL),
+c AS (SELECT lang AS domain, false AS rest, score, count(*) AS n, count(*) FILTER (good) AS g FROM labelled WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, score UNION ALL SELECT NULL, true, score, count(*), count(*) FILTER (good) FROM labelled WHERE NOT held_out GROUP BY score),
+sums AS (SELECT *, sum(n) OVER up AS un, sum(g) OVER up AS ug, sum(n) OVER down AS dn, sum(g) OVER down AS dg FROM c
+    WINDOW up AS (PARTITION BY domain, rest ORDER BY score DESC), down AS (PARTITION BY domain, rest ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+fitted AS (SELECT domain, rest, pass_at, least(drop_at, pass_at) AS drop_at, labelled FROM (
+    SELECT domain, rest, min(score) FILTER (ug >= un * 0.98) AS pass_at, max(score) FILTER (dn > 0 AND dn - dg >= dn * 0.98) AS drop_at, sum(n)::BIGINT AS labelled FROM sums GROUP BY domain, rest) WHERE rest OR labelled >= 50),
+decided AS (SELECT scored.*, CASE WHEN n_words = 0 THEN 'DROP' WHEN score >= coalesce(f.pass_at, CASE WHEN f.domain IS NULL THEN r.pass_at END) THEN 'PASS' WHEN score < coalesce(f.drop_at, CASE WHEN f.domain IS NULL THEN r.drop_at END) THEN 'DROP' ELSE 'REVIEW' END AS decision
+    FROM scored LEFT JOIN (SELECT * FROM fitted WHERE NOT rest) f ON scored.lang = f.domain, (SELECT * FROM fitted WHERE rest) r)
+"""
+
+
+def _scored(spark, sf_dir):
+    return review.with_metrics(t.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("text").withColumn("score", review.score())
+
+
+def _review(spark, sf_dir):
+    """(scored documents, labelled ones with the held-out fold, thresholds fitted to the others)."""
+    rows = staged(_scored(spark, sf_dir), "scored")
+    labels = t.table(spark, sf_dir, "labels").filter("quality is not null").select("doc_id", (F.col("quality") == 1).alias("good"))
+    labelled = staged(rows.join(labels, "doc_id").withColumn("held_out", splits.bucket(F.col("doc_id"), 5) == 0), "labelled")
+    fitted = review.fitted_thresholds(labelled.filter("not held_out").select(F.col("lang").alias("domain"), "score", "good"), 0.98, least=50)
+    return rows, labelled, staged(fitted, "thresholds")
+
+
+@query("quality_metrics", f"WITH {METRICS_SQL} SELECT doc_id, n_chars, n_words, letters, digits, symbols, distinct_words, repeated_pairs, repeated_lines, links, broken, score FROM scored")
+def quality_metrics(spark, sf_dir):
+    return _scored(spark, sf_dir).drop("lang")
+
+
+@query("quality_thresholds", f"WITH {METRICS_SQL} SELECT domain, rest, pass_at, drop_at, labelled FROM fitted")
+def quality_thresholds(spark, sf_dir):
+    """Scores from which documents pass, and below which they are dropped, with a precision of 98 % each, by language."""
+    return _review(spark, sf_dir)[2]
+
+
+@query("quality_decisions", f"""WITH {METRICS_SQL} SELECT doc_id, score, decision, array_to_string(list_filter([{", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in review.REASONS)}], lambda x: x IS NOT NULL), ',') AS reasons FROM decided""")
+def quality_decisions(spark, sf_dir):
+    rows, _, thresholds = _review(spark, sf_dir)
+    return review.decided(rows, thresholds, "lang").select("doc_id", "score", "decision", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("quality_precision", f"""WITH {METRICS_SQL} SELECT decision, count(*) AS labelled, count(*) FILTER (good) AS good, round(count(*) FILTER (good) / count(*), 6) AS good_share FROM decided JOIN (SELECT doc_id, good FROM labelled WHERE held_out) USING (doc_id) GROUP BY decision""")
+def quality_precision(spark, sf_dir):
+    """How the decisions fare on labelled documents that no threshold was fitted to."""
+    _, labelled, thresholds = _review(spark, sf_dir)
+    out = review.decided(labelled.filter("held_out"), thresholds, "lang").groupBy("decision").agg(F.count(F.lit(1)).alias("labelled"), F.count_if("good").alias("good"))
+    return out.withColumn("good_share", F.round(F.col("good") / F.col("labelled"), 6))
