@@ -108,10 +108,11 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, sure: float = 0.1) -> float:
     """
     found = []
     for turn in (0, 1):
+        # A single row leaves one of the halves empty, which cannot be fitted to or scored.
+        if not all(len(x[half::2]) for x in (p, u) for half in (turn, 1 - turn)):
+            continue
         w, middle, spread = fit_nnpu(p[turn::2], u[turn::2], 0.5, steps=400, clip=False)
         sp, su = (np.sort(_design(x[1 - turn :: 2], middle, spread) @ w) for x in (p, u))
-        if not len(sp) or not len(su):
-            continue
         bounds = np.unique(np.quantile(sp, np.linspace(0, 0.98, 99)))
         qp, qu = (1 - np.searchsorted(x, bounds) / len(x) for x in (sp, su))
         slack = np.sqrt(np.log(4 / sure) / (2 * len(sp))) + np.sqrt(np.log(4 / sure) / (2 * len(su)))
