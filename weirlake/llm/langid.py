@@ -35,19 +35,27 @@ TEXTS = 400
 CHAIN = 400_000
 BLOCK = 128
 WORD = re.compile(r"[^\W\d_]+")
+#: Longer runs of letters, such as texts written without spaces, are as many words of at most so many letters.
+LONGEST = 40
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """The runs of letters of a text, lower-cased; numerals that are no letters (``½``, ``²``, ``①``) part them."""
+    words = WORD.findall(text.lower())
+    if not all(map(str.isalpha, words)):
+        words = [x for w in words for x in "".join(c if c.isalpha() else " " for c in w).split()]
+    if max(map(len, words), default=0) > LONGEST:
+        words = [w[at : at + LONGEST] for w in words for at in range(0, len(w), LONGEST)]
+    return words
 
 
 def features_of(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Hashed features as (words that have it, hash) for each kind and place; a word is there once at most.
 
     Kinds are the word itself, prefixes up to 3, suffixes up to 4, character trigrams with the word's
-    edges, and each character beyond ASCII. Of words over 40 characters both ends count.
+    edges, and each character beyond ASCII. Words have ``LONGEST`` letters at most (``words_of``).
     """
-    short = [f"^{w if len(w) <= 40 else w[:20] + w[-20:]}$" for w in words]
+    short = [f"^{w}$" for w in words]
     size = np.fromiter(map(len, short), np.int64, len(short))
     width = int(size.max(initial=0))
     code = np.array(short, dtype=f"U{max(width, 1)}").view(np.uint32).reshape(len(short), -1).astype(np.uint64)
@@ -263,10 +271,12 @@ def held_out(row_id: Column, folds: int = 3, fold: int = 1) -> Column:
 def fit_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS):
     """A field fitted to (doc_id, text, lang) from a bounded sample of rows that are not held out.
 
-    Up to about ``sample_docs`` whole documents of each language, of at most ``sample_chars`` characters, and no more than
-    ``SAMPLE_TOTAL`` in all, shared equally where there are many languages.
+    Up to about ``sample_docs`` documents of each language, of longer ones a window of ``sample_chars`` characters that begins at a
+    place drawn by the id's hash, and no more than ``SAMPLE_TOTAL`` in all, shared equally where there are many languages.
     """
-    rows = docs.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out(F.col("doc_id"))).filter(F.char_length("text") <= sample_chars)
+    rows = docs.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out(F.col("doc_id")))
+    begin = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("window")), F.char_length("text").cast("long") - sample_chars + 1).cast("int") + 1
+    window = F.when(F.char_length("text") <= sample_chars, F.col("text")).otherwise(F.substr("text", begin, F.lit(sample_chars)))
     # One row a language: how many documents it has, and so what share of them to draw.
     counts = saved(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total")), "languages")
     langs = counts.count()
@@ -274,7 +284,7 @@ def fit_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     share = F.least(F.lit(1.0), F.lit(1.2 * sample_docs) / F.col("total"))
     drawn = rows.join(F.broadcast(counts) if langs <= MOST_LANGS else counts, "lang").filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
     texts: dict[str, list[str]] = {}
-    for r in drawn.select("lang", "text").limit(2 * SAMPLE_TOTAL).collect():
+    for r in drawn.select("lang", window.alias("text")).limit(2 * SAMPLE_TOTAL).collect():
         texts.setdefault(r["lang"], []).append(r["text"])
     texts = {k: sorted(v)[:sample_docs] for k, v in sorted(texts.items())}
     return fit_crf(texts)
