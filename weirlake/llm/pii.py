@@ -11,7 +11,9 @@ never given out and stand for what is surely not real, and the proposals of the
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ DIGIT = re.compile(r"[0-9]")
 SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)")
 LOCAL_PHONE = re.compile(r"(?<![\w+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![\w-])")
-HIDDEN_EMAIL = re.compile(r"(?<!\w)[A-Za-z0-9._-]+\x20?[\[({]\x20?at\x20?[\])}]\x20?[A-Za-z0-9-]+\x20?(?:[\[({]\x20?dot\x20?[\])}]|\.)\x20?[A-Za-z]{2,}(?!\w)")
+#: Of a written-out address the part from the bracketed "at" on; what stands before is looked up from there.
+HIDDEN_EMAIL = re.compile(r"[\[({]\x20?at\x20?[\])}]\x20?[A-Za-z0-9-]+\x20?(?:[\[({]\x20?dot\x20?[\])}]|\.)\x20?[A-Za-z]{2,}(?!\w)")
 PERSON = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20[A-Z][a-z]+(?:\x20[A-Z][a-z]+)?(?!\w)")
 
 #: Gazetteer: common given names, mail domains' endings and country codes of account numbers (fixed lists).
@@ -160,16 +163,42 @@ def voted(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int,
     return out
 
 
+_LOCAL_BOX = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._-")
+_PART_OF_WORD = re.compile(r"\w")
+
+
+def _hidden_emails(text: str) -> list[tuple[int, int]]:
+    """(start, end) of written-out addresses: the first place of the run before the bracket that is not inside a word."""
+    out, free = [], 0
+    for m in HIDDEN_EMAIL.finditer(text):
+        end = m.start() - (m.start() > free and text[m.start() - 1] == " ")
+        at = end
+        while at > free and text[at - 1] in _LOCAL_BOX:
+            at -= 1
+        while at < end and at > 0 and _PART_OF_WORD.match(text[at - 1]):
+            at += 1
+        if at < end:
+            out.append((at, m.end()))
+            free = m.end()
+    return out
+
+
+def _apart(spans: list[tuple[int, int, str]], taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The spans that overlap none of ``taken``, which are by start: none begins before the span's end and ends after its start."""
+    starts = [a for a, _, _ in taken]
+    ends = [0, *accumulate((b for _, b, _ in taken), max)]
+    return [x for x in spans if ends[bisect_left(starts, x[1])] <= x[0]]
+
+
 def proposals(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the method's own patterns, by start; those that overlap a base span are left out."""
     found = []
     if DIGIT.search(text):
-        found += [(m, "ssn") for m in SSN.finditer(text)] + [(m, "local_phone") for m in LOCAL_PHONE.finditer(text)] + [(m, "iban") for m in IBAN.finditer(text)]
+        found += [(*m.span(), kind) for kind, p in (("ssn", SSN), ("local_phone", LOCAL_PHONE), ("iban", IBAN)) for m in p.finditer(text)]
     if "at" in text and any(c in text for c in "[({"):
-        found += [(m, "hidden_email") for m in HIDDEN_EMAIL.finditer(text)]
-    found += [(m, "person") for m in PERSON.finditer(text)]
-    spans = [(m.start(), m.end(), kind) for m, kind in found if not any(m.start() < b and a < m.end() for a, b, _ in taken)]
-    return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
+        found += [(s, e, "hidden_email") for s, e in _hidden_emails(text)]
+    found += [(*m.span(), "person") for m in PERSON.finditer(text)]
+    return sorted(_apart(found, taken), key=lambda x: (x[0], KINDS.index(x[2])))
 
 
 def estimate_reliability(counts: dict[str, int], known: dict[str, int] | None = None, rounds: int = 50, prior: float = 0.5) -> tuple[dict[str, float], np.ndarray]:
