@@ -70,7 +70,8 @@ def anchored(windows: DataFrame, docs: DataFrame) -> DataFrame:
     # Counted before the join, so each task sends a word once, however often its texts have it. A
     # semi-join here would be pushed below the count and send every word.
     count = words.select(each().alias("term")).groupBy("term").count()
-    known = saved(count.join(asked, "term"), "terms", 1)
+    # The few that are asked for are brought together after they were counted, which all tasks take part in.
+    known = saved(count.join(asked, "term").repartition(1), "terms")
     ranked = F.array_sort(F.collect_list(F.struct("count", "offset", "term"))).alias("terms")
     found = spoken.join(known, "term").groupBy("wid").agg(ranked).join(windows, "wid").filter(F.size("terms") == F.col("n"))
     return found.withColumn("anchor", F.col("terms")[0])
