@@ -86,7 +86,8 @@ def token_items(baskets: DataFrame, least: int) -> DataFrame:
     told = baskets.select("row", "label", F.explode("tokens").alias("token")).groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), *who)
     told = told.join(share, "label")
     token = told.groupBy("token").agg(F.sum("n").alias("freq"), F.max(F.col("n") / F.col("share")).alias("most"), F.expr("bit_xor(h1)").alias("h1"), F.expr("bit_xor(h2)").alias("h2"))
-    token = saved(token.filter(F.col("freq") >= least), "url-tokens", 1)
+    # Few are frequent; they are brought together after all tasks took part in counting.
+    token = saved(token.filter(F.col("freq") >= least).repartition(1), "url-tokens")
     name = token.groupBy("freq", "h1", "h2").agg(F.min("token").alias("item"))
     return saved(token.join(name, ["freq", "h1", "h2"]).select("token", "item", "freq", (F.col("most") / F.col("freq")).alias("lift")), "url-items", 1)
 
