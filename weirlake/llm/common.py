@@ -9,6 +9,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirlake.functions.bind import let
 from weirlake.operators.staging import fresh, may_be_among, shared_dir, spread, without  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -86,25 +87,35 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def running(values: Column, f) -> Column:
+    """Running totals of an array under an associative ``f``, by doubling: each step joins every value with that 1, 2, 4, ... places before."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def step(acc: Column, k: Column) -> Column:
+        far = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda v, i: F.when(i >= far, f(F.get(acc, i - far), v)).otherwise(v))
+
+    return F.aggregate(steps, values, step)
+
+
 def spans_of(text: Column, pattern: str, kind: str, keep=None, group: int = 0) -> Column:
     """Array of (s, e, kind, v) for the leftmost non-overlapping matches of a Java regex, JVM-side.
 
     ``split`` gives the text between matches and ``regexp_extract_all`` the matches, so offsets
-    (code points, end exclusive) follow from running lengths. ``keep`` filters on the value of ``group``.
+    (code points, end exclusive) follow from running lengths, in time n log n for n matches. ``keep`` filters on the value of ``group``.
     """
     gaps = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     parts = F.arrays_zip(gaps.alias("g"), whole.alias("m"), value.alias("v"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,kind:string,v:string>>").alias("out"))
 
-    def step(acc, x):
-        s = acc["at"] + F.char_length(x["g"])
-        e = s + F.coalesce(F.char_length(x["m"]), F.lit(0))
-        one = F.array(F.struct(s.alias("s"), e.alias("e"), F.lit(kind).alias("kind"), x["v"].alias("v")))
-        return F.struct(e.alias("at"), F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], one)).alias("out"))
+    def placed(xs: Column) -> Column:
+        lengths = F.transform(xs, lambda x: F.char_length(x["g"]) + F.coalesce(F.char_length(x["m"]), F.lit(0)))
+        one = lambda ends: F.transform(F.slice(xs, F.lit(1), F.size(xs) - 1), lambda x, i: F.struct((F.get(ends, i) - F.char_length(x["m"])).alias("s"), F.get(ends, i).alias("e"), F.lit(kind).alias("kind"), x["v"].alias("v")))
+        return let(running(lengths, lambda a, b: a + b), one)
 
-    out = F.aggregate(parts, start, step, lambda acc: acc["out"])
+    # The last part is what follows the last match.
+    out = let(parts, placed)
     out = out if keep is None else F.filter(out, keep)
     return out
 

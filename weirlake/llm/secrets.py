@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirlake.llm.common import ascii_lower, saved, spans_of
+from weirlake.functions.bind import let
+from weirlake.llm.common import ascii_lower, running, saved, spans_of
 from weirlake.llm.trigrams import trigram_query
 
 
@@ -107,12 +108,18 @@ def written(spans: Column) -> Column:
 
 def redact(found: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """(doc_id, text) of ``find_secrets`` with every found span replaced; overlapping spans merge."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, x):
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        fresh = x["s"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+    def pieces(xs: Column, chars: Column) -> Column:
+        """What is left between spans, and a mask for each run of overlapping ones; ``upto`` is where all spans so far end."""
+        upto = running(F.transform(xs, lambda x: x["e"]), F.greatest)
 
-    text = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))))
+        def cut(ends: Column) -> Column:
+            before = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+            own = F.transform(xs, lambda x, i: F.when(x["s"] >= before(i), F.array_append(F.slice(chars, before(i) + 1, x["s"] - before(i)), F.lit(mask))).otherwise(F.array().cast("array<string>")))
+            last = F.get(ends, F.size(ends) - 1)
+            return F.concat(F.flatten(own), F.slice(chars, last + 1, F.greatest(F.size(chars) - last, F.lit(0))))
+
+        return F.array_join(let(upto, cut), "")
+
+    text = F.when(F.size("found") == 0, F.col("text")).otherwise(let(F.struct(F.col("found").alias("xs"), F.split("text", "").alias("chars")), lambda b: pieces(b["xs"], b["chars"])))
     return found.select("doc_id", text.alias("text"))
