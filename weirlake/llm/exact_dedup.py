@@ -21,7 +21,7 @@ STATE = "spark.sql.streaming.stateStore."
 STATE_CONF = {
     STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     STATE + "rocksdb.boundedMemoryUsage": "true",
-    STATE + "rocksdb.maxMemoryUsageMB": "256",
+    STATE + "rocksdb.maxMemoryUsageMB": "64",
     STATE + "rocksdb.changelogCheckpointing.enabled": "true",
     # Else each state partition holds megabytes of preallocated, empty files.
     STATE + "rocksdb.allowFAllocate": "false",
