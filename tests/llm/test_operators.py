@@ -166,6 +166,38 @@ def test_mined_rules_equal_counting(spark):
     assert got == want and "block" in want.values()
 
 
+def test_rules_of_wide_urls_equal_counting(spark):
+    """URLs of some 20 items: every rule of up to four items, those with items beyond ``breadth`` included, as counted by hand."""
+    rnd = random.Random(9)
+    words = [f"w{chr(97 + i)}" for i in range(22)]
+    rows = []
+    for i in range(240):
+        own = sorted(w for w in words if rnd.random() < 0.85)
+        # Two words that say nothing alone, and together a little: their lift puts neither among the first items.
+        rows.append((f"http://s{i % 5}.net/" + "/".join(own), "block" if {"wu", "wv", "wq"} <= set(own) and rnd.random() < 0.9 or rnd.random() < 0.2 else "allow"))
+    rows += [("http://s0.net/" + "/".join(words[:18]), "block")] * 40 + [(None, "block"), ("http://s0.net/", None)]
+    df = spark.createDataFrame(rows, "url string, label string")
+    whole = [(u, v) for u, v in rows if u and v]
+    toks = [({"scheme:http", "site:net." + u.split("/")[2].split(".")[0], *("path:" + w for w in u.split("/")[3:] if w)}, v) for u, v in whole]
+    n, share = len(toks), collections.Counter(v for _, v in toks)
+    least = 84
+    stats = collections.defaultdict(collections.Counter)
+    for own, v in toks:
+        for k in range(1, 5):
+            for c in itertools.combinations(sorted(own), k):
+                stats[c][v] += 1
+    want = {(x, v, round(m / sum(c.values()), 9), round(m / n, 9)) for x, c in stats.items() for v, m in c.items() if m >= least and m / sum(c.values()) >= 0.6 and m / sum(c.values()) / (share[v] / n) >= 1.1}
+    best = {(x, v): conf for x, v, conf, _ in want}
+    shorter = lambda x: (y for k in range(1, len(x)) for y in itertools.combinations(x, k))
+    want = {r for r in want if not any(best.get((y, r[1]), -1) >= r[2] for y in shorter(r[0]))}
+    kept = {}
+    for breadth in (6, 12):
+        rules, items = url_filter.mine_rules(df, min_support=least / n, breadth=breadth)
+        assert all(r["token"] == r["item"] for r in items.collect())
+        kept[breadth] = {(tuple(r["tokens"]), r["verdict"], round(r["confidence"], 9), round(r["support"], 9)) for r in rules.collect()}
+    assert kept[6] == kept[12] == want and len(want) > 10 and any(len(r[0]) > 1 for r in want)
+
+
 def test_repeated_long_urls(spark):
     """A long URL that is labelled again and again, and variants of it, make no more itemsets than a row may."""
     rnd = random.Random(6)

@@ -53,7 +53,7 @@ def url_tokens(url: Column) -> Column:
     scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
     tag = lambda name, xs: F.transform(xs, lambda x: F.concat(F.lit(name), x))
     every = F.concat(
-        tag("scheme:", F.array(scheme)), tag("site:", F.array(site)), tag("host:", F.slice(back, 3, 1000)), tag("path:", words),
+        tag("scheme:", F.array(scheme)), tag("site:", F.array(site)), tag("host:", F.slice(back, F.lit(3), F.greatest(F.size(back) - 2, F.lit(0)))), tag("path:", words),
         tag("query:", keys), F.when(F.locate("#", url) > 0, F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")),
     )
     return F.array_distinct(every)
@@ -107,9 +107,9 @@ def mine_rules(
     Rows without url or label are left out. Rules that say less than the label's own share does
     (``min_lift``) go, as do those with a shorter rule of the same verdict and no less confidence.
     ``anchor`` is the rule's rarest item, where the index files it; its tokens are items (``token_items``).
-    ``least`` is a support in rows, where ``min_support`` is less; a row is mined for its ``breadth`` most telling
-    items, and rules have ``longest`` items at most: these bound how many itemsets a row makes, however long its
-    URL is and however often it is repeated.
+    ``least`` is a support in rows, where ``min_support`` is less; rules have ``longest`` items at most, and all such
+    rules are found. FP-growth makes every itemset of a row, so it gets the items that are always among a row's
+    ``breadth`` most telling ones; itemsets with any other item are counted by ``grown_rules``.
     """
     spark = labelled.sparkSession
     rows = labelled.filter("url is not null and label is not null").select(F.monotonically_increasing_id().alias("row"), url_tokens(F.col("url")).alias("tokens"), "label")
@@ -122,14 +122,21 @@ def mine_rules(
     if support > 1:
         return none, items
     baskets = with_items(rows, items, "row").join(rows.select("row", "label"), "row")
-    baskets = baskets.select(F.array_append(F.slice("items", 1, breadth), F.concat(F.lit(LABEL), F.col("label"))).alias("items"))
     # Rows without any frequent item count for supports all the same.
-    bare = rows.join(baskets_rows(rows, items), "row", "left_anti").select(F.array(F.concat(F.lit(LABEL), F.col("label"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(saved(baskets.unionByName(bare), "url-sets"))
+    bare = rows.join(baskets_rows(rows, items), "row", "left_anti").select(F.array().cast("array<string>").alias("items"), "label")
+    sets = saved(baskets.select("items", "label").unionByName(bare), "url-sets")
+    late = F.slice("items", F.lit(breadth + 1), F.greatest(F.size("items") - breadth, F.lit(0)))
+    wide = [r[0] for r in sets.select(F.explode(late).alias("item")).distinct().collect()]  # items: bounded by the support
+    narrow = F.array_except("items", F.lit(wide)) if wide else F.col("items")
+    mined = sets.select(F.array_append(narrow, F.concat(F.lit(LABEL), F.col("label"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(mined)
     rules = model.associationRules.filter(F.col("consequent")[0].startswith(LABEL)).filter(~F.exists("antecedent", lambda x: x.startswith(LABEL)))
-    rules = rules.filter((F.col("lift") >= min_lift) & (F.size("antecedent") <= longest)).select(
-        F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1000).alias("verdict"), "confidence", "support"
+    rules = rules.filter(F.size("antecedent") <= longest).select(
+        F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1000).alias("verdict"), "confidence", "support", "lift"
     )
+    if wide:
+        rules = rules.unionByName(grown_rules(sets, wide, math.ceil(support * total), total, longest).filter(F.col("confidence") >= min_confidence))
+    rules = rules.filter(F.col("lift") >= min_lift).drop("lift")
     rules = saved(rules, "url-rules")
     # Each rule names the shorter rules it contains; there are fewer than 2 ** longest of them.
     part = F.expr("transform(sequence(1, int(shiftleft(1, size(tokens))) - 2), m -> filter(tokens, (x, i) -> shiftright(m, i) & 1 = 1))")
@@ -141,6 +148,37 @@ def mine_rules(
     return rules.join(anchor, ["tokens", "verdict"]).select("tokens", "anchor", "verdict", "confidence", "support"), items
 
 
+def grown_rules(sets: DataFrame, wide: list[str], least: int, total: int, longest: int) -> DataFrame:
+    """(tokens, verdict, confidence, support, lift) of the itemsets of up to ``longest`` items with any of ``wide``.
+
+    ``sets`` is (items, label). Equal rows are one with a weight. Sets grow an item at a time in one order, ``wide``
+    ones first, so that each is made once a row, and only from sets that ``least`` rows have with one label. Counts
+    combine map-side; a row of n items makes n over ``longest`` sets at most, never 2 ** n.
+    """
+    first = F.array_sort(F.array_intersect("items", F.lit(wide)))
+    rows = sets.withColumn("first", first).filter(F.size("first") > 0).groupBy("first", F.array_sort(F.array_except("items", F.lit(wide))).alias("others"), "label").agg(F.count(F.lit(1)).alias("n"))
+    rows = saved(rows, "url-wide")
+    of_label = sets.groupBy("label").agg((F.count(F.lit(1)) / total).alias("share"))
+    after = lambda xs, at: F.slice(xs, at + 2, F.greatest(F.size(xs) - at - 1, F.lit(0)))
+    state = rows.select(F.posexplode("first").alias("at", "item"), "first", "others", "label", "n").select(
+        F.array("item").alias("own"), F.concat(after("first", F.col("at")), F.col("others")).alias("rest"), "label", "n"
+    )
+    out = None
+    for size in range(1, longest + 1):
+        counts = state.groupBy("own", "label").agg(F.sum("n").alias("n"))
+        every = counts.groupBy("own").agg(F.sum("n").alias("all"), F.max("n").alias("most")).filter(F.col("most") >= least)
+        counts = saved(counts.join(every, "own").select("own", "label", "n", "all"), "url-grown")
+        found = counts.filter(F.col("n") >= least).join(F.broadcast(of_label), "label").select(  # a row a label
+            F.array_sort("own").alias("tokens"), F.col("label").alias("verdict"), (F.col("n") / F.col("all")).alias("confidence"), (F.col("n") / total).alias("support"),
+            (F.col("n") / F.col("all") / F.col("share")).alias("lift"),
+        )
+        out = found if out is None else out.unionByName(found)
+        if size < longest:
+            live = state.join(counts.select("own").distinct(), "own", "left_semi").select("own", F.posexplode("rest").alias("at", "item"), "rest", "label", "n")
+            state = live.select(F.array_append("own", F.col("item")).alias("own"), after("rest", F.col("at")).alias("rest"), "label", "n")
+    return out
+
+
 def baskets_rows(rows: DataFrame, items: DataFrame) -> DataFrame:
     """The rows that have an item."""
     return rows.select("row", F.explode("tokens").alias("token")).join(F.broadcast(items.select("token")), "token", "left_semi").select("row").distinct()
