@@ -178,7 +178,12 @@ def keyword_scores(text: Column, taxonomy: dict[str, tuple[str, ...]]) -> Column
         found = F.filter(F.array_sort(F.array(*hits)), lambda x: x["minus"] < 0)
         return F.transform(found, lambda x: F.struct((-x["minus"]).alias("score"), x["name"].alias("name")))
 
-    return let(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " ")), scores)
+    return let(keyword_text(text), scores)
+
+
+def keyword_text(text: Column) -> Column:
+    """A text as keywords are looked for in it: lower-cased, with single blanks, none at its ends; null is empty."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\s+", " "))
 
 
 def infer_domains(source_domain: Column, text: Column, taxonomy: dict[str, tuple[str, ...]]) -> Column:
@@ -186,17 +191,18 @@ def infer_domains(source_domain: Column, text: Column, taxonomy: dict[str, tuple
 
     Otherwise the best topic leads with 0.65 and 0.05 a hit, up to six; without any hit: multidomain, 0.5.
     """
-    names = lambda xs: F.transform(xs, lambda x: x["name"])
-    fixed = (F.coalesce(source_domain, F.lit("")) != "") & (source_domain != "multidomain")
+    return let(keyword_scores(text, taxonomy), lambda scores: domains_of(source_domain, scores))
 
-    def chosen(scores: Column) -> Column:
-        best = F.get(scores, F.lit(0))
-        open_ = F.struct(best["name"].alias("primary"), names(F.slice(scores, 2, 3)).alias("secondary"), F.least(F.lit(0.98), 0.65 + F.least(best["score"], F.lit(6)) * 0.05).alias("confidence"))
-        none = F.struct(F.lit("multidomain").alias("primary"), F.array().cast("array<string>").alias("secondary"), F.lit(0.5).alias("confidence"))
-        own = F.struct(source_domain.alias("primary"), F.slice(F.filter(names(scores), lambda n: n != source_domain), 1, 3).alias("secondary"), F.lit(1.0).alias("confidence"))
-        return F.when(fixed, own).when(F.size(scores) == 0, none).otherwise(open_)
 
-    return let(keyword_scores(text, taxonomy), chosen)
+def domains_of(source_domain: Column, scores: Column) -> Column:
+    """``infer_domains`` from ranked scores, an array of (score, name); ``scores`` is used more than once."""
+    names = lambda xs: F.transform(xs, lambda x: x["name"])
+    fixed = (F.coalesce(source_domain, F.lit("")) != "") & (source_domain != "multidomain")
+    best = F.get(scores, F.lit(0))
+    open_ = F.struct(best["name"].alias("primary"), names(F.slice(scores, 2, 3)).alias("secondary"), F.least(F.lit(0.98), 0.65 + F.least(best["score"], F.lit(6)) * 0.05).alias("confidence"))
+    none = F.struct(F.lit("multidomain").alias("primary"), F.array().cast("array<string>").alias("secondary"), F.lit(0.5).alias("confidence"))
+    own = F.struct(source_domain.alias("primary"), F.slice(F.filter(names(scores), lambda n: n != source_domain), 1, 3).alias("secondary"), F.lit(1.0).alias("confidence"))
+    return F.when(fixed, own).when(F.size(scores) == 0, none).otherwise(open_)
 
 
 #: Document types in order of precedence, with their keywords (fixed values).
