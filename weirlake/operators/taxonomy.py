@@ -63,9 +63,11 @@ def topic_scores(rows: DataFrame, key: str, text: Column, taxonomy: DataFrame) -
     same = F.substring(F.col("window"), F.col("p") + 1, F.col("length")) == F.col("keyword")
     # Shorter heads, at a text's end, were looked up under their own length already.
     found = places.filter(F.char_length("head") == F.col("q")).join(index, "head").filter(same)
-    at = F.col("at") + F.col("p")
-    hits = found.groupBy("_k", "topic", "keyword", "length", "overlaps").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("overlaps"), at))).alias("places"))
-    n = F.when(F.col("overlaps"), _apart(F.col("places"), F.col("length"))).otherwise(F.col("n"))
+    # Most keywords are added up by topic where they are found; only those that can overlap themselves keep their places.
+    own = lambda c: F.when(F.col("overlaps"), c)
+    hits = found.groupBy("_k", "topic", own(F.col("keyword")).alias("again"), own(F.col("length")).alias("length"), own(F.col("at") + F.col("p")).alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    hits = hits.repartition("_k").groupBy("_k", "topic", "again", "length").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("place")).alias("places"))
+    n = F.when(F.col("again").isNull(), F.col("n")).otherwise(_apart(F.col("places"), F.col("length")))
     topics = hits.groupBy("_k", "topic").agg(F.sum(n).alias("score"))
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), F.col("topic").alias("name"))))
     return topics.groupBy("_k").agg(ranked.alias("r")).select(F.col("_k").alias(key), F.transform("r", lambda x: F.struct((-x["minus"]).alias("score"), x["name"].alias("name"))).alias("scores"))
