@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from weirlake.functions.bind import let
+
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 _HREF = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"']"
 
@@ -33,6 +35,39 @@ def html_links(html: Column) -> Column:
     return F.filter(F.transform(links, lambda x: unescape(F.trim(x))), lambda x: x != "")
 
 
+def html_anchors(html: Column) -> Column:
+    """Array of (href, label) of the anchors that are closed before the next one begins; scripts and styles are no markup.
+
+    Pages are split where anchors begin, so that the time grows with the page's length whatever is left open in it.
+    """
+    shown = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style|noscript)\b.*?</\1\s*>", " ")
+    value = r"(?is)^(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+
+    def anchor(piece):
+        href = F.concat(*(F.regexp_extract(piece, value, i) for i in (1, 2, 3)))
+        label = F.regexp_replace(F.regexp_extract(piece, r"(?is)^[^>]*>(.*?)</a\s*>", 1), r"(?s)<[^>]+>", " ")
+        return F.struct(unescape(F.trim(href)).alias("href"), F.trim(unescape(label)).alias("label"), piece.rlike(r"(?i)</a\s*>").alias("closed"))
+
+    pieces = F.split(shown, r"(?i)<a(?=\s)")
+    return F.filter(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), anchor), lambda x: x["closed"] & (x["href"] != ""))
+
+
+def labelled_links(text: Column) -> Column:
+    """Array of (href, label) of a markdown text's links that have a label; a title holds no ``](``.
+
+    A text is split where labels end and targets begin, in time that grows with its length.
+    """
+    target = r"(?s)^([^)\s]+)(?:\s++[^)]*)?\)"
+
+    def links(ps):
+        # What follows the target before, and the last bracket that closes, from the first that opens.
+        label = lambda p: F.regexp_extract(F.regexp_replace(F.regexp_replace(p, target, ""), r"(?s)^.*\]", ""), r"(?s)^[^\[]*\[(.+)$", 1)
+        found = F.transform(F.slice(ps, F.lit(2), F.size(ps)), lambda p, i: F.struct(F.regexp_replace(F.regexp_extract(p, target, 1), "^[<>]+|[<>]+$", "").alias("href"), label(F.get(ps, i)).alias("label")))
+        return F.filter(found, lambda x: (x["href"] != "") & (x["label"] != ""))
+
+    return let(F.split(F.coalesce(text, F.lit("")), r"\]\("), links)
+
+
 class _Text(HTMLParser):
     def __init__(self) -> None:
         super().__init__()

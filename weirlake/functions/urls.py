@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weirlake.functions.bind import let
+
 #: Tracking parameters (fixed values).
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "gclid", "fbclid")
 TRACKING_KEYS = ("ref", "source", "campaign", "mc_cid", "mc_eid")
 TRACKING_PREFIXES = ("utm_", "ref_")
 #: Hosts that only show a registry's own page of a package (fixed values).
 LANDING_HOSTS = ("central.sonatype.com", "search.maven.org", "repo1.maven.org", "repo.maven.apache.org", "appdoc.app", "www.appdoc.app")
+#: Hosts of registries' pages and of social media, which are no documentation (fixed values).
+LOW_VALUE_HOSTS = (
+    "central.sonatype.com", "search.maven.org", "repo1.maven.org", "repo.maven.apache.org", "www.npmjs.com", "npmjs.com", "pypi.org", "www.nuget.org", "nuget.org", "crates.io",
+)
+SOCIAL_HOSTS = ("twitter.com", "x.com", "facebook.com", "linkedin.com", "discord.com", "discord.gg", "youtube.com", "www.youtube.com")
 #: Words, extensions and paths of documentation, extensions that link lists leave out, names of registries and their package URL types (fixed values).
 DOC_MARKERS = ("docs", "documentation", "guide", "guides", "manual", "reference")
 DOC_EXTENSIONS = ("md", "mdx", "markdown", "rst", "adoc", "asciidoc", "txt")
@@ -182,6 +189,34 @@ def same_host_links(base: Column, hrefs: Column) -> Column:
     return F.array_distinct(F.filter(links, ok))
 
 
+def resolved(base: Column, href: Column) -> Column:
+    """``href`` as an absolute URL, seen from ``base``: relative paths, ``.`` and ``..``, a query or a fragment alone."""
+    h = F.trim(href)
+    origin, folder = F.concat(part(base, "scheme"), F.lit("://"), part(base, "netloc")), F.regexp_extract(part(base, "path"), r"(?s)^(.*/)", 1)
+    tail = F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1)
+    own = F.regexp_extract(h, r"(?s)^([^?#]*)", 1)
+    from_base = F.concat(origin, part(base, "path"))
+    query = F.when(part(base, "query") == "", "").otherwise(F.concat(F.lit("?"), part(base, "query")))
+
+    def joined(path):
+        parts = F.split(F.regexp_replace(path, "^/", ""), "/")
+        # A dot at the end names a folder, so a slash follows.
+        step = lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.array_append(acc, x))
+        kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+        dots = path.rlike(r"(?:^|/)\.{1,2}$")
+        return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(dots & (F.size(kept) > 0), "/").otherwise(""))
+
+    relative = F.when(own == "", F.concat(from_base, F.when(tail.startswith("?"), tail).otherwise(F.concat(query, tail)))).otherwise(
+        F.concat(origin, joined(F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own))), tail)
+    )
+    return F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(part(base, "scheme"), F.lit(":"), h)).otherwise(relative)
+
+
+def documentation_candidate(url: Column) -> Column:
+    """The canonical form of a URL that may be documentation; null for registries' pages, social media and what is not http(s)."""
+    return let(canonical_documentation_url(url), lambda u: F.when(~part(u, "host").isin(*LOW_VALUE_HOSTS, *SOCIAL_HOSTS), u))
+
+
 def normalize_registry(value: Column) -> Column:
     """The registry's canonical host for any of its usual names."""
     key = F.lower(F.trim(F.coalesce(value, F.lit(""))))
