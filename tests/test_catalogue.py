@@ -3,7 +3,7 @@
 import pytest
 from conftest import SF, assert_same
 
-from weirlake.plans import catalogue, decisions, matching, releases, roundtrips  # noqa: F401
+from weirlake.plans import catalogue, decisions, discovery, matching, releases, roundtrips  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLES))

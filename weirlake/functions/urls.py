@@ -191,30 +191,27 @@ def same_host_links(base: Column, hrefs: Column) -> Column:
 
 def resolved(base: Column, href: Column) -> Column:
     """``href`` as an absolute URL, seen from ``base``: relative paths, ``.`` and ``..``, a query or a fragment alone."""
-    h = F.trim(href)
-    origin, folder = F.concat(part(base, "scheme"), F.lit("://"), part(base, "netloc")), F.regexp_extract(part(base, "path"), r"(?s)^(.*/)", 1)
-    tail = F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1)
-    own = F.regexp_extract(h, r"(?s)^([^?#]*)", 1)
-    from_base = F.concat(origin, part(base, "path"))
-    query = F.when(part(base, "query") == "", "").otherwise(F.concat(F.lit("?"), part(base, "query")))
-
     def joined(path):
-        parts = F.split(F.regexp_replace(path, "^/", ""), "/")
         # A dot at the end names a folder, so a slash follows.
         step = lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.array_append(acc, x))
-        kept = F.aggregate(parts, F.array().cast("array<string>"), step)
-        dots = path.rlike(r"(?:^|/)\.{1,2}$")
-        return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(dots & (F.size(kept) > 0), "/").otherwise(""))
+        kept = F.aggregate(F.split(F.regexp_replace(path, "^/", ""), "/"), F.array().cast("array<string>"), step)
+        return let(kept, lambda k: F.concat(F.lit("/"), F.array_join(k, "/"), F.when(path.rlike(r"(?:^|/)\.{1,2}$") & (F.size(k) > 0), "/").otherwise("")))
+
+    def relative(b, h):
+        own, tail, path = F.regexp_extract(h, r"(?s)^([^?#]*)", 1), F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1), b["path"]
+        same = F.concat(path, F.when(tail.startswith("?") | (b["query"] == ""), "").otherwise(F.concat(F.lit("?"), b["query"])))
+        folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+        onto = let(F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own)), joined)
+        return F.concat(b["scheme"], F.lit("://"), b["netloc"], F.when(own == "", same).otherwise(onto), tail)
 
-    relative = F.when(own == "", F.concat(from_base, F.when(tail.startswith("?"), tail).otherwise(F.concat(query, tail)))).otherwise(
-        F.concat(origin, joined(F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own))), tail)
-    )
-    return F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(part(base, "scheme"), F.lit(":"), h)).otherwise(relative)
+    parts = F.struct(*(part(base, x).alias(x) for x in ("scheme", "netloc", "path", "query")))
+    absolute = lambda h: F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(part(base, "scheme"), F.lit(":"), h))
+    return let(F.trim(href), lambda h: F.coalesce(absolute(h), let(parts, lambda b: relative(b, h))))
 
 
 def documentation_candidate(url: Column) -> Column:
     """The canonical form of a URL that may be documentation; null for registries' pages, social media and what is not http(s)."""
-    return let(canonical_documentation_url(url), lambda u: F.when(~part(u, "host").isin(*LOW_VALUE_HOSTS, *SOCIAL_HOSTS), u))
+    return let(let(url, canonical_documentation_url), lambda u: F.when(~part(u, "host").isin(*LOW_VALUE_HOSTS, *SOCIAL_HOSTS), u))
 
 
 def normalize_registry(value: Column) -> Column:
