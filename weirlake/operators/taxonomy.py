@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from weirlake.operators.staging import fresh
 HEAD = 5
 #: Texts are gone through in pieces of so many characters at least.
 PIECE = 64
-#: A taxonomy of up to so many keywords is broadcast; a larger one is joined by its heads.
+#: A taxonomy of up to so many keywords is sent to all tasks as an automaton; a larger one is joined by its heads.
 MOST_SENT = 200_000
 
 
@@ -42,12 +45,48 @@ def _apart(places: Column, length: Column) -> Column:
     return F.aggregate(places, start, step, lambda acc: acc["n"])
 
 
+def _by_automaton(texts: DataFrame, key: str, keywords: list[tuple[str, str]]) -> DataFrame:
+    """``topic_scores`` of ``texts`` (key, text) where they lie: one automaton a task finds all keywords of a text in one pass."""
+    topics: dict[str, list[str]] = {}
+    for topic, keyword in keywords:
+        topics.setdefault(keyword, []).append(topic)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        words = ahocorasick.Automaton()
+        for i, w in enumerate(topics):
+            words.add_word(w, (i, len(w)))
+        words.make_automaton()
+        of = list(topics.values())
+        kind = pa.list_(pa.struct([("score", pa.int64()), ("name", pa.string())]))
+        for b in batches:
+            scores = []
+            for x in b.column(1):
+                found: dict[int, int] = {}
+                free: dict[int, int] = {}
+                for end, (i, length) in words.iter(x.as_py()):
+                    if end - length >= free.get(i, -1):
+                        found[i] = found.get(i, 0) + 1
+                        free[i] = end
+                sums: dict[str, int] = {}
+                for i, n in found.items():
+                    for topic in of[i]:
+                        sums[topic] = sums.get(topic, 0) + n
+                scores.append([{"score": n, "name": t} for t, n in sorted(sums.items(), key=lambda p: (-p[1], p[0]))] or None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, kind)], [key, "scores"])
+
+    kind = texts.schema[key].dataType.simpleString()
+    return texts.mapInArrow(run, f"`{key}` {kind}, scores array<struct<score:bigint,name:string>>").filter("scores is not null")
+
+
 def topic_scores(rows: DataFrame, key: str, text: Column, taxonomy: DataFrame) -> DataFrame:
     """(key, scores) of the rows that any keyword occurs in; scores are (score, name), the highest first, then by name.
 
     A score is the number of non-overlapping occurrences of a topic's keywords in the lower-cased text with single
-    blanks, each keyword counted for itself, inside words too. Each place of a text is looked up by the characters that
-    begin there; only what agrees is compared in full. Texts move as counts, never whole. ``key`` is unique; rows
+    blanks, each keyword counted for itself, inside words too. A taxonomy of up to ``MOST_SENT`` keywords goes to the tasks
+    as an automaton, and nothing is shuffled. With a larger one each place of a text is looked up by the characters that
+    begin there; only what agrees is compared in full, and texts move as counts, never whole. ``key`` is unique; rows
     whose key is null are not scored, null texts are empty.
     """
     index = keyword_index(taxonomy)
@@ -55,11 +94,13 @@ def topic_scores(rows: DataFrame, key: str, text: Column, taxonomy: DataFrame) -
     none = rows.select(key).limit(0).withColumn("scores", F.array().cast("array<struct<score:bigint,name:string>>"))
     if not facts["n"]:
         return none
+    if facts["n"] <= MOST_SENT:
+        own = rows.filter(F.col(key).isNotNull()).select(key, keyword_text(text).alias("_text"))
+        return _by_automaton(own, key, [tuple(r) for r in index.select("topic", "keyword").collect()])
     size = max(PIECE, facts["longest"])
     pieces = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.inline(_pieces(keyword_text(text), size, facts["longest"] - 1)))
     heads = F.flatten(F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda p: F.array(*(F.struct(p.alias("p"), F.substring(F.col("window"), p + 1, F.lit(q)).alias("head"), F.lit(q).alias("q")) for q in facts["heads"]))))
     places = pieces.select("_k", "at", "window", F.inline(heads))
-    index = F.broadcast(index) if facts["n"] <= MOST_SENT else index
     same = F.substring(F.col("window"), F.col("p") + 1, F.col("length")) == F.col("keyword")
     # Shorter heads, at a text's end, were looked up under their own length already.
     found = places.filter(F.char_length("head") == F.col("q")).join(index, "head").filter(same)
