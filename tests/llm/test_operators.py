@@ -740,3 +740,35 @@ def test_native_plans_have_no_python(spark, docs):
 
 def test_vocabulary_is_a_word_end_file():
     assert json.load(open(VOCABULARY, encoding="utf-8"))["model"]["end_of_word_suffix"] == "</w>"
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    blocks = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = blocks()
+    out = near_dedup.saved(spark.range(20_000).withColumn("key", F.xxhash64("id")).repartition(5, "key"), "shuffled")
+    assert out.count() == 20_000
+    deadline = time.time() + 20
+    while (left := blocks() - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not {f for f in left if f.endswith(".data")}
+
+
+def test_near_duplicates_in_passes(spark, monkeypatch):
+    """Tables and pairs in many passes give what one pass gives."""
+    rnd = random.Random(8)
+    base = [[f"w{rnd.randrange(500)}" for _ in range(60)] for _ in range(12)]
+    texts = [" ".join([f"x{rnd.randrange(99)}" if rnd.random() < 0.02 * (i % 5) else w for w in base[i % 12]]) for i in range(96)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    of = lambda: sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark, table, 3, 80).collect())
+    whole, seen, real = of(), collections.Counter(), near_dedup.saved
+
+    def saved(df, name, files=None):
+        seen[name] += 1
+        return real(df, name, files)
+
+    monkeypatch.setattr(near_dedup, "saved", saved)
+    monkeypatch.setattr(near_dedup, "PASS_KEYS", 1_000)
+    monkeypatch.setattr(near_dedup, "PASS_PAIRS", 10)
+    assert of() == whole
+    assert len({c for _, _, c in whole}) < len(texts)
+    assert seen["near-sizes"] > 1 and seen["near-links"] > 1

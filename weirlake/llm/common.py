@@ -14,6 +14,8 @@ from weirlake.operators.staging import fresh, may_be_among, shared_dir, spread,
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whether a statement's shuffle files go when it ends, not when the driver's garbage collector finds them unused.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextlib.contextmanager
@@ -31,6 +33,17 @@ def small_batches(spark: SparkSession, rows: int = 2_000):
         spark.conf.set(BATCH, before)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What is written meanwhile leaves no shuffle files behind: many steps one after the other take the disk of the largest, not of all."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 #: What ``saved`` wrote in each scope that is open, the innermost last.
 _SCOPES: list[list[tuple[str, str]]] = []
 
@@ -65,7 +78,7 @@ def saved(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     path = shared_dir(spark, name)
     if _SCOPES:
         _SCOPES[-1].append((name, path))
-    with small_batches(spark):
+    with small_batches(spark), shuffles_dropped(spark):
         (df if files is None else df.coalesce(max(1, files))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

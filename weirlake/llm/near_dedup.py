@@ -40,7 +40,10 @@ LIST = 64
 SPREAD = 8
 #: Texts that make a template. Links do not depend on it; a good one makes differences short.
 VOTERS = 24
-MOST_WORDS = 200_000
+MOST_WORDS = 50_000
+#: Keys that are grouped at a time, and pairs whose texts move at a time: a pass leaves no shuffle files behind.
+PASS_KEYS = 8_000_000
+PASS_PAIRS = 100_000
 #: Counters of the sketch that orders shingles, and how many go in a row.
 SKETCH = 1 << 18
 SEGMENT = 1 << 12
@@ -136,13 +139,13 @@ def keys_of(sig: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))).reshape(len(sig), SIDE * SIDE)
 
 
-def table_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node): a node's key in each of the tables."""
+def table_keys(nodes: DataFrame, turn: int = 0, passes: int = 1) -> DataFrame:
+    """(key, node): a node's key in each of the tables, or in those of one of several passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = keys_of(np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint32).reshape(-1, HASHES))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(b["node"].to_numpy(), SIDE * SIDE))], ["key", "node"])
+            keys = keys_of(np.frombuffer(b"".join(b["sig"].to_pylist()), np.uint32).reshape(-1, HASHES))[:, turn::passes]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(b["node"].to_numpy(), keys.shape[1]))], ["key", "node"])
 
     return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
 
@@ -157,6 +160,14 @@ def _members(keys: DataFrame, rows: int) -> DataFrame:
     return keys.select("key", "node").join(saved(sizes, "near-sizes", few(rows, 250_000)), "key")
 
 
+def _buckets(nodes: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """``_members`` of all tables, and how many rows: in passes over some of the tables each, so that only a pass's keys are shuffled at a time."""
+    passes = min(SIDE, few(SIDE * SIDE * total, PASS_KEYS))
+    each = SIDE * SIDE * total // passes
+    parts = [counted(_members(table_keys(nodes, turn, passes), each), "near-buckets", few(each, 250_000)) for turn in range(passes)]
+    return reduce(DataFrame.unionByName, (p for p, _ in parts)), sum(n for _, n in parts)
+
+
 def _pairs_within(members: DataFrame, by: str, cols: list[str]) -> DataFrame:
     """Pairs (a, b), a.node < b.node, within groups whose size the caller has bounded."""
     group = members.groupBy(by).agg(F.array_sort(F.collect_set(F.struct(*cols))).alias("g")).filter("size(g) > 1")
@@ -220,9 +231,11 @@ def _texts_of(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, files: int | None = None) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.
 
-    A text may be the ``a`` of very many pairs: it goes to as many salts as its pairs fill.
+    A text may be the ``a`` of very many pairs: it goes to as many salts as its pairs fill. Both texts of each pair
+    meet in a task, so pairs go in passes of some two a text: what is shuffled at a time is in proportion to the texts.
     """
     pairs, many = counted(pairs, "near-pairs", files)
+    passes = few(many, max(PASS_PAIRS, 2 * texts.count()))
     # The salt spreads an ``a`` over tasks; how many salts follows from how many pairs it has.
     salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("salts"))
     salts = saved(salts.filter("salts > 1"), "near-salts", few(many, 250_000))
@@ -230,7 +243,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, file
     left = texts.select(F.col("node").alias("a"), F.col("z").alias("za")).join(salts, "a", "left")
     left = left.select("a", "za", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
     right = texts.select(F.col("node").alias("b"), F.col("z").alias("zb"))
-    both = spread.join(right, "b").join(left, ["a", "salt"])
+
+    def both(turn: int) -> DataFrame:
+        mine = lambda df: df if passes == 1 else df.filter(F.pmod(F.xxhash64("a", "salt"), F.lit(passes)) == turn)
+        return mine(spread).join(right, "b").join(mine(left), ["a", "salt"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, last, own = _shingler(words), None, None
@@ -245,7 +261,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, file
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], ["a", "b"])
 
-    return saved(both.select("a", "za", "b", "zb").mapInArrow(run, "a long, b long"), "near-links", few(many, 5_000))
+    links = [saved(both(turn).select("a", "za", "b", "zb").mapInArrow(run, "a long, b long"), "near-links", few(many // passes, 5_000)) for turn in range(passes)]
+    return reduce(DataFrame.unionByName, links)
 
 
 def _templates(voters: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -495,7 +512,7 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str, tex
     nodes = seen.filter("n > 0").groupBy("k1", "k2", "n").agg(first, F.max("sig").alias("sig"))
     nodes = saved(nodes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "n", "first", F.col("first.tid").alias("tid"), "sig"), "near-nodes", files)
 
-    met, met_rows = counted(_members(table_keys(nodes), SIDE * SIDE * total), "near-buckets", few(SIDE * SIDE * total, 250_000))
+    met, met_rows = _buckets(nodes, total)
     close = _pairs_within(met.filter(F.col("many") <= BUCKET), "key", ["node"]).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     close = _plausible(close, nodes, percent)
     large = saved(met.filter(F.col("many") > BUCKET), "near-large", few(met_rows, 250_000))
