@@ -187,3 +187,16 @@ def test_registries_and_layers(spark, tmp_path):
     assert registry.expand_groups({"sources": {"s": {"x": 1}}, "source_groups": {"g": {"members": ["s", "t"], "options": {"x": 0, "y": 2}}}}) == {"sources": {"s": {"x": 1, "y": 2}, "t": {"x": 0, "y": 2}}}
     with pytest.raises(ValueError):
         registry.checked_identifier("a; drop")
+
+
+def test_csv_encoding_is_that_of_all_lines(spark, tmp_path):
+    """A first file with a header alone, and plain text longer than any sample, say nothing of what follows."""
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts/part-0.csv").write_bytes(b"")
+    (tmp_path / "parts/part-1.csv").write_bytes(b"name;n\n")
+    (tmp_path / "parts/part-2.csv").write_bytes("name;n\ncafé;1\n".encode("latin-1"))
+    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "parts")).collect()] == [("café", "1")]
+    plain = "name,n\n" + "plain,1\n" * (files.SAMPLE // 8 + 1)
+    for name, end, encoding, got in (("l.csv", "é\x81,2\n", "latin-1", "é\x81"), ("c.csv", "é€,2\n", "cp1252", "é€"), ("u.csv", "é€,2\n", "utf-8", "é€")):
+        (tmp_path / name).write_bytes((plain + end).encode(encoding))
+        assert [r.name for r in files.read_csv(spark, str(tmp_path / name)).filter("n = '2'").collect()] == [got]

@@ -123,13 +123,13 @@ def ranked(rows: DataFrame, order: list[str], rank: str = "rank") -> DataFrame:
 
 
 def head_bytes(spark: SparkSession, path: str, most: int) -> bytes:
-    """The first bytes of a file, or of the first file of a folder or pattern, wherever Spark can read it."""
+    """The first bytes of a file, or of the first file of a folder or pattern that is not empty, wherever Spark can read it."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(hadoop.Path(path)) or []
     files = []
     for s in found:
-        files += [x.getPath() for x in fs.listStatus(s.getPath()) if x.isFile() and not x.getPath().getName().startswith(("_", "."))] if s.isDirectory() else [s.getPath()]
+        files += [x.getPath() for x in fs.listStatus(s.getPath()) if x.isFile() and x.getLen() > 0 and not x.getPath().getName().startswith(("_", "."))] if s.isDirectory() else [s.getPath()]
     if not files:
         return b""
     stream = fs.open(min(files, key=lambda p: p.getName()))

@@ -37,9 +37,26 @@ def sniff_csv(sample: bytes) -> tuple[str, str]:
     return encoding, max(DELIMITERS, key=lambda d: (header.count(d), -DELIMITERS.index(d)))
 
 
+def _encoding(spark: SparkSession, path: str) -> str:
+    """utf-8, cp1252 or latin-1, from all lines of all files; Spark reads lines as the bytes that they are."""
+    lines = spark.read.option("lineSep", "\n").text(path).select("value")
+    none = "[" + "".join(chr(b) for b in range(0x80, 0xA0) if not bytes([b]).decode("cp1252", "ignore")) + "]"
+    odd = F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike(none)
+    seen = lines.agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(odd).alias("odd")).first()
+    if seen.utf8 is not False:
+        return "utf-8"
+    return "latin-1" if seen.odd else "cp1252"
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All cells as text; delimiter and encoding sniffed; a byte-order mark is no part of the header."""
+    """All cells as text; a byte-order mark is no part of the header.
+
+    The delimiter is sniffed from the first file's header, the encoding is the first of ``ENCODINGS`` that all lines of
+    all files are in: the first file may have a header alone, and any file may begin with plain text.
+    """
     encoding, delimiter = sniff_csv(head_bytes(spark, path, SAMPLE))
+    if encoding != "latin-1":
+        encoding = _encoding(spark, path)
     name = "UTF-8" if encoding.startswith("utf-8") else "ISO-8859-1"
     df = spark.read.option("header", True).option("sep", delimiter).option("encoding", name).option("multiLine", True).option("escape", '"').csv(path)
     df = df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
