@@ -109,6 +109,12 @@ def test_crawl_is_breadth_first_and_bounded(spark):
     assert web.page_chunks(spark.createDataFrame([("u", "<p>" + "word " * 1000 + "</p>")], "url string, html string"), "s").count() == 2
 
 
+def test_link_catalogue_has_a_link_once_a_page_of_many_rows(spark):
+    rows = [("https://h/a", "<a href='x.pdf'>x</a><a href='y'>y</a>"), ("https://h/a", "<a href='y'>y</a><a href='z'>z</a>"), ("https://h/b", "<a href='y'>y</a>")]
+    got = sorted((r.page_url, r.url, r.is_download) for r in web.link_catalogue(spark.createDataFrame(rows, "url string, html string")).collect())
+    assert got == [("https://h/a", "x.pdf", True), ("https://h/a", "y", False), ("https://h/a", "z", False), ("https://h/b", "y", False)]
+
+
 def test_crawl_counts_stored_pages_and_follows_long_chains(spark):
     page = lambda to: "".join(f"<a href='/{x}'>x</a>" for x in to)
     wide = [("https://h/seed", page(f"p{i:03}" for i in range(600))), *((f"https://h/p{i:03}", "") for i in range(500, 600))]

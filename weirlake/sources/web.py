@@ -15,8 +15,8 @@ GIT_TEXT = r"(?i)\.(md|mdx|markdown|rst|adoc|asciidoc|txt)$"
 
 
 def link_catalogue(pages: DataFrame, pattern: str = DOWNLOADS) -> DataFrame:
-    """(page_url, url, is_download) of the links of pages (url, html), a link once a page."""
-    links = pages.select(F.col("url").alias("page_url"), F.explode(F.array_distinct(html_links(F.col("html")))).alias("url"))
+    """(page_url, url, is_download) of the links of pages (url, html), a link once a page, however many rows the page has."""
+    links = pages.select(F.col("url").alias("page_url"), F.explode(F.array_distinct(html_links(F.col("html")))).alias("url")).distinct()
     return links.withColumn("is_download", part(F.col("url"), "path").rlike(pattern))
 
 
