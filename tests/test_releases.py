@@ -307,3 +307,19 @@ def test_precision_on_rows_that_nothing_was_fitted_to(spark):
     found = {r.decision: (r.labelled, r.good_share) for r in releases.quality_precision(spark, "/root/testdata/sf0.01").collect()}
     assert found["PASS"][0] >= 50 and found["PASS"][1] >= 0.97
     assert found["DROP"][1] <= 0.03
+
+
+def test_resumed_stages_get_rows_in_parts_of_bounded_size(spark, monkeypatch):
+    """Rows dealt otherwise are not dealt by a few languages."""
+    confs, given = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}, []
+    real = releases.release.run_stages
+    monkeypatch.setattr(releases.release, "run_stages", lambda rows, *rest: given.append(rows) or real(rows, *rest))
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        releases.stages_resumed(spark, SF)
+        parts = collections.Counter(r.part for r in given[1].withColumn("part", F.spark_partition_id()).collect()).values()
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    assert max(parts) < sum(parts) / 4

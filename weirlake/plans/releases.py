@@ -205,10 +205,10 @@ def _stages():
 @query("stages_resumed", f"""WITH kept AS ({KEPT_SQL}) SELECT * FROM (VALUES (1, 'long-enough', false), (1, 'split', false), (2, 'long-enough', true), (2, 'split', true)) AS r(run, stage, resumed),
     (SELECT (SELECT count(*) FROM documents) AS all_docs, (SELECT count(*) FROM kept) AS output_docs) AS n""")
 def stages_resumed(spark, sf_dir):
-    """Two stages twice, the second time from the same rows dealt otherwise: nothing is made again."""
+    """Two stages twice, the second time from the same rows dealt otherwise, in parts of bounded size: nothing is made again."""
     docs, folder = t.table(spark, sf_dir, "documents"), shared_dir(spark, "stages")
     n, out = docs.count(), []
-    for run, rows in ((1, docs), (2, docs.repartition(3, "lang"))):
+    for run, rows in ((1, docs), (2, docs.hint("rebalance", "doc_id"))):
         _, manifests = release.run_stages(rows, _stages(), folder)
         out += [(run, m["stage"], m["resumed"], n, m["output_docs"]) for m in manifests]
     return spark.createDataFrame(out, "run int, stage string, resumed boolean, all_docs long, output_docs long")
