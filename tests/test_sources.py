@@ -294,3 +294,13 @@ def test_command_line(spark, capsys, tmp_path):
     assert cli.main(["sql", "SELECT count(*) AS n FROM nation", SF], spark) == 0 and json.loads(capsys.readouterr().out) == {"n": 25}
     assert cli.main(["search", "token", SF, "--rows", "1"], spark) == 0
     assert cli.main(["corpus", SF, str(tmp_path / "c"), "v1"], spark) == 0
+
+
+def test_marks_meet_in_parts_by_rows(spark, monkeypatch):
+    """Rows whose columns repeat few values are dealt by their number, not by the few bytes that they are shuffled in."""
+    monkeypatch.setattr(ledger, "EACH", 100)
+    state = spark.range(1600).selectExpr("id AS source_id", "id % 7 AS artifact_id", "'OLD' AS last_result", "true AS downloaded", "false AS removed", "'e' AS error", "'s' AS signature", "'t0' AS last_checked", "'t0' AS last_downloaded")
+    marks = state.select("source_id", "artifact_id", F.lit("ghost").alias("mark"), "signature", "error")
+    rows = ledger.mark(state, marks, "t1").withColumn("part", F.spark_partition_id()).collect()
+    assert len(rows) == 1600 and {r.last_result for r in rows} == {"UPSTREAM_GHOST"}
+    assert len({r.part for r in rows}) > 20

@@ -79,14 +79,22 @@ MARKS = {
 }
 
 
+#: Rows that a task of ``mark`` gets, of both tables together.
+EACH = 500_000
+
+
 def mark(state: DataFrame, marks: DataFrame, now: str) -> DataFrame:
     """Upstream state after (source_id, artifact_id, mark, signature, error): one mark an artifact.
 
     ``state`` has last_result, downloaded, removed, error, signature, last_checked, last_downloaded. A
     ghost keeps the signature it was seen with, so that only a new one brings it back.
+
+    Rows are counted first and dealt in parts of some ``EACH``: their columns repeat few values, so by the bytes that they
+    are shuffled in they would be put together into parts far larger in memory.
     """
     new = marks.select(*KEYS, "mark", F.col("signature").alias("_sig"), F.col("error").alias("_err"))
-    both = state.join(new, KEYS, "full_outer")
+    parts = max(state.sparkSession.sparkContext.defaultParallelism, -(-(state.count() + marks.count()) // EACH))
+    both = state.repartition(parts, *KEYS).join(new.repartition(parts, *KEYS), KEYS, "full_outer")
 
     def value(column: str) -> Column:
         out = F.col(column)
