@@ -87,3 +87,11 @@ def test_markup(spark):
     assert [tuple(x) for x in run(spark, [site], markup.sitemap_entries)[0]] == [("https://x/a?b&c", "2024"), ("https://x/b", None)]
     assert run(spark, ["# c\na=1\nb : 2\na=3"], markup.properties) == [{"b": "2", "a": "3"}]
     assert run(spark, ["<m:x><m:release>1.2</m:release></m:x>"], lambda c: markup.xml_text(c, "release")) == ["1.2"]
+
+
+def test_parsed_pages_are_held_in_small_parts():
+    import pyarrow as pa
+
+    parts = list(markup.html_text_parsed.func(iter([pa.array(["<p>a</p>", None] * 500), pa.array([], pa.string())])))
+    assert max(map(len, parts)) <= markup.PAGES
+    assert [t for p in parts for t in p.to_pylist()] == ["a", None] * 500

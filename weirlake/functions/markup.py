@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -84,9 +86,16 @@ class _Text(HTMLParser):
             self.parts.append(data)
 
 
-@F.pandas_udf(StringType())
-def html_text_parsed(pages: pd.Series) -> pd.Series:
-    """Text nodes outside script, style and noscript, one a line, by a real parser; clean it afterwards."""
+#: Pages whose texts are held at a time.
+PAGES = 256
+
+
+@F.arrow_udf(StringType())
+def html_text_parsed(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Text nodes outside script, style and noscript, one a line, by a real parser; clean it afterwards.
+
+    Of an Arrow batch only ``PAGES`` pages and their texts are Python strings at a time.
+    """
 
     def one(page):
         if page is None:
@@ -96,7 +105,11 @@ def html_text_parsed(pages: pd.Series) -> pd.Series:
         p.close()
         return "\n".join(p.parts)
 
-    return pages.map(one)
+    for batch in pages:
+        for at in range(0, len(batch), PAGES):
+            yield pa.array([one(page.as_py()) for page in batch.slice(at, PAGES)], pa.string())
+        if not len(batch):
+            yield pa.array([], pa.string())
 
 
 def markdown_links(text: Column) -> Column:
